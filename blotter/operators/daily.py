@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.schema import STAT_COLS
+from blotter.session import materialize
 
 BACKFILL_FRAME = "frame"
 BACKFILL_PER_CITY = "per_city"
@@ -32,9 +33,11 @@ def city_day_summary(inc: DataFrame) -> DataFrame:
         F.struct(_order_col(inc).alias("ord"), *[F.col(c) for c in STAT_COLS]),
         _order_col(inc),
     )
-    return inc.groupBy("date", "city").agg(
-        F.count(F.lit(1)).alias("crime_count"),
-        first.alias("first"),
+    return materialize(
+        inc.groupBy("date", "city").agg(
+            F.count(F.lit(1)).alias("crime_count"),
+            first.alias("first"),
+        )
     )
 
 
@@ -87,8 +90,11 @@ def _ffill(c: str, by: str, order: str) -> Column:
 
 
 def _bfill(c: str, by: str, order: str) -> Column:
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return F.first(F.col(c), ignorenulls=True).over(w)
+    """Next non-null at or after the row. Written as a running frame over the
+    reversed order: Spark evaluates growing frames incrementally, while a
+    current..unbounded-following frame is re-aggregated for every row."""
+    w = Window.partitionBy(by).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.last(F.col(c), ignorenulls=True).over(w)
 
 
 def backfill_frame(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -105,9 +111,10 @@ def backfill_frame(df: DataFrame, cols: list[str]) -> DataFrame:
     per_day = df.groupBy("date").agg(
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("city"))).alias(f"_d_{c}") for c in cols]
     )
-    w_next = Window.orderBy("date").rowsBetween(1, Window.unboundedFollowing)
+    # one row a day: the window over the days is bounded by the calendar, not the data
+    w_next = Window.orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, -1)
     next_day = per_day.select(
-        "date", *[F.first(F.col(f"_d_{c}"), ignorenulls=True).over(w_next).alias(f"_b_{c}") for c in cols]
+        "date", *[F.last(F.col(f"_d_{c}"), ignorenulls=True).over(w_next).alias(f"_b_{c}") for c in cols]
     )
     joined = same_day.join(next_day, ["date"], "left")
     rest = [x for x in df.columns if x not in cols]

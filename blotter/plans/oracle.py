@@ -126,3 +126,160 @@ SELECT "City", "Crime Type", "Count",
        ELSE '' END AS label
 FROM aligned
 """
+
+
+# --- dense daily series ------------------------------------------------------
+
+_STATS = ["population", "total_officers", "male_officer", "female_officer",
+          "officers_per_1000_people", "crime_rate_per_1000_people"]
+_STATS_SEL = ", ".join(_STATS)
+
+DAILY_CTES = f"""
+counts AS (SELECT date, city, count(*) AS crime_count FROM incidents WHERE city IS NOT NULL GROUP BY ALL),
+bounds AS (SELECT min(date) AS lo, max(date) AS hi FROM incidents),
+cities AS (SELECT DISTINCT city FROM incidents WHERE city IS NOT NULL),
+days AS (SELECT CAST(g.d AS DATE) AS date FROM bounds, generate_series(bounds.lo, bounds.hi, INTERVAL 1 DAY) g(d)),
+dense AS (
+  SELECT d.date, c.city, coalesce(n.crime_count, 0) AS crime_count, CAST(year(d.date) AS INTEGER) AS year
+  FROM days d CROSS JOIN cities c LEFT JOIN counts n ON n.date = d.date AND n.city = c.city),
+stats AS (
+  SELECT year, city, {_STATS_SEL} FROM (
+    SELECT *, row_number() OVER (PARTITION BY year, city ORDER BY row_order) AS rn
+    FROM incidents WHERE city IS NOT NULL) WHERE rn = 1),
+joined AS (SELECT d.*, {", ".join("s." + c for c in _STATS)} FROM dense d LEFT JOIN stats s USING (city, year)),
+ff AS (
+  SELECT date, city, crime_count, year,
+    {", ".join(f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in _STATS)}
+  FROM joined WINDOW w AS (PARTITION BY city ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+bf AS (
+  SELECT date, city, crime_count, year,
+    {", ".join(f"first_value({c} IGNORE NULLS) OVER w AS {c}" for c in _STATS)}
+  FROM ff WINDOW w AS (ORDER BY date, city ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+bf_city AS (
+  SELECT date, city, crime_count, year,
+    {", ".join(f"first_value({c} IGNORE NULLS) OVER w AS {c}" for c in _STATS)}
+  FROM ff WINDOW w AS (PARTITION BY city ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+daily_city AS (SELECT * FROM bf WHERE {" AND ".join(c + " IS NOT NULL" for c in _STATS)})
+"""
+
+SQL["daily_city_counts"] = with_(DAILY_CTES) + "SELECT * FROM counts"
+SQL["daily_city_dense"] = with_(DAILY_CTES) + "SELECT * FROM dense"
+SQL["city_year_stats"] = with_(DAILY_CTES) + "SELECT * FROM stats"
+SQL["daily_city_filled"] = with_(DAILY_CTES) + "SELECT * FROM daily_city"
+SQL["daily_city_filled_per_city"] = with_(DAILY_CTES) + (
+    "SELECT * FROM bf_city WHERE " + " AND ".join(c + " IS NOT NULL" for c in _STATS)
+)
+
+# --- staffing -------------------------------------------------------------------
+
+TREND_CTES = """
+trends AS (
+  SELECT CAST(date_trunc('month', date) AS DATE) AS month_start, city, population, total_officers, male_officer,
+         female_officer, officers_per_1000_people, min(row_order) AS first_order
+  FROM incidents GROUP BY ALL),
+statewide AS (
+  SELECT month_start, CAST(sum(population) AS BIGINT) AS population,
+    CAST(sum(total_officers) AS BIGINT) AS total_officers,
+    CAST(sum(male_officer) AS BIGINT) AS male_officer, CAST(sum(female_officer) AS BIGINT) AS female_officer,
+    CAST(sum(total_officers) AS DOUBLE) / nullif(CAST(sum(population) AS DOUBLE), 0) * 1000.0
+      AS officers_per_1000_people
+  FROM trends GROUP BY month_start),
+per_month AS (
+  SELECT month_start, city, arg_max(male_officer, first_order) AS male_officer,
+    arg_max(female_officer, first_order) AS female_officer,
+    arg_max(total_officers, first_order) AS total_officers
+  FROM trends WHERE city IS NOT NULL GROUP BY ALL)
+"""
+
+SQL["officer_trends"] = with_(TREND_CTES) + "SELECT * FROM trends"
+SQL["statewide_staffing"] = with_(TREND_CTES) + "SELECT * FROM statewide"
+SQL["city_staffing"] = with_(TREND_CTES) + (
+    "SELECT city, month_start, population, total_officers, male_officer, female_officer, "
+    "officers_per_1000_people, first_order FROM trends "
+    "WHERE city IN (SELECT city FROM incidents WHERE city IS NOT NULL)"
+)
+SQL["gender_by_month"] = with_(TREND_CTES) + "SELECT * FROM per_month"
+SQL["gender_text_by_month"] = with_(TREND_CTES) + """
+SELECT month_start,
+  string_agg(city || ': ' || format('{:,}', male_officer), chr(10) ORDER BY city) AS male_text,
+  string_agg(city || ': ' || format('{:,}', female_officer), chr(10) ORDER BY city) AS female_text
+FROM per_month GROUP BY month_start
+"""
+SQL["force_status"] = with_(TREND_CTES) + """
+SELECT city, month_start, total_officers, male_officer, female_officer, officers_per_1000_people,
+  strftime((SELECT max(month_start) FROM trends WHERE city IS NOT NULL), '%B %Y') AS as_of
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY city ORDER BY month_start DESC, first_order DESC) AS rn
+  FROM trends WHERE city IS NOT NULL) WHERE rn = 1
+"""
+SQL["statewide_status"] = with_(TREND_CTES) + """
+SELECT month_start, population, total_officers, male_officer, female_officer, officers_per_1000_people,
+  strftime(month_start, '%B %Y') AS as_of
+FROM statewide ORDER BY month_start DESC LIMIT 1
+"""
+SQL["city_cards"] = with_(DAILY_CTES) + """
+SELECT city, date, total_officers, population, officers_per_1000_people, crime_rate_per_1000_people
+FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY date DESC) AS rn FROM daily_city) WHERE rn = 1
+"""
+
+# --- lookups ------------------------------------------------------------------
+
+_LSTATS = ["population", "total_officers", "officers_per_1000_people", "crime_rate_per_1000_people"]
+
+SQL["city_stats_latest"] = with_(DAILY_CTES) + (
+    "SELECT city, "
+    + ", ".join(f"arg_max({c}, date) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _LSTATS)
+    + " FROM daily_city GROUP BY city"
+)
+SQL["city_stats_last_row"] = with_() + (
+    "SELECT city, "
+    + ", ".join(f"arg_max({c}, row_order) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _LSTATS)
+    + " FROM incidents WHERE city IS NOT NULL GROUP BY city"
+)
+SQL["location_totals"] = with_() + """
+SELECT location_area, CAST(count(*) AS DOUBLE) AS location_total_crimes
+FROM incidents WHERE location_area IS NOT NULL GROUP BY 1
+"""
+SQL["location_daily_mean"] = with_() + """
+SELECT location_area, count(*) / (SELECT CAST(count(DISTINCT date) AS DOUBLE) FROM incidents) AS avg_location_daily_freq
+FROM incidents WHERE location_area IS NOT NULL GROUP BY 1
+"""
+
+LOOKUP_CTES = """
+dom AS (
+  SELECT c.city, h.hour FROM (SELECT DISTINCT city FROM incidents WHERE city IS NOT NULL) c
+  CROSS JOIN (SELECT DISTINCT hour FROM incidents) h),
+obs AS (SELECT DISTINCT city, hour FROM incidents WHERE city IS NOT NULL),
+cnt AS (
+  SELECT city, hour, offense_category_clean AS o, count(*) AS n FROM incidents
+  WHERE city IS NOT NULL AND offense_category_clean IS NOT NULL GROUP BY ALL),
+top AS (
+  SELECT city, hour, o FROM (
+    SELECT *, row_number() OVER (PARTITION BY city, hour ORDER BY n DESC, o ASC) AS rn FROM cnt) WHERE rn = 1),
+typ AS (SELECT obs.city, obs.hour, coalesce(top.o, 'Other') AS hour_typical_crime FROM obs LEFT JOIN top USING (city, hour)),
+hour_typical AS (SELECT dom.city, dom.hour, typ.hour_typical_crime FROM dom LEFT JOIN typ USING (city, hour)),
+div_day AS (
+  SELECT date, hour, city, count(DISTINCT offense_category_clean) AS k FROM incidents
+  WHERE city IS NOT NULL GROUP BY ALL),
+div_obs AS (
+  SELECT city, hour, sum(k) / (SELECT CAST(count(DISTINCT date) AS DOUBLE) FROM incidents) AS v
+  FROM div_day GROUP BY ALL),
+hour_diversity AS (
+  SELECT dom.city, dom.hour, coalesce(div_obs.v, 0.0) AS avg_crime_diversity FROM dom LEFT JOIN div_obs USING (city, hour))
+"""
+
+SQL["hour_typical"] = with_(LOOKUP_CTES) + "SELECT * FROM hour_typical"
+SQL["hour_diversity"] = with_(LOOKUP_CTES) + "SELECT * FROM hour_diversity"
+SQL["domains"] = with_(LOOKUP_CTES) + """
+SELECT 'city' AS domain, v AS value, row_number() OVER (ORDER BY v) - 1 AS pos
+FROM (SELECT DISTINCT city AS v FROM incidents WHERE city IS NOT NULL)
+UNION ALL
+SELECT 'location_area', v, row_number() OVER (ORDER BY v) - 1
+FROM (SELECT DISTINCT location_area AS v FROM incidents WHERE location_area IS NOT NULL)
+UNION ALL
+SELECT 'hour_typical_crime', v, row_number() OVER (ORDER BY v) - 1
+FROM (SELECT DISTINCT hour_typical_crime AS v FROM hour_typical WHERE hour_typical_crime IS NOT NULL)
+UNION ALL
+SELECT 'year', CAST(v AS VARCHAR), row_number() OVER (ORDER BY v DESC) - 1
+FROM (SELECT DISTINCT year AS v FROM incidents)
+"""

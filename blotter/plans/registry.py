@@ -90,3 +90,118 @@ def q_offense_pivot(spark, sf):
 def q_offense_share(spark, sf):
     aligned = H.class_distribution(_named(incidents(spark, sf)), by=["City"])
     return H.class_share(aligned, by=["City"])
+
+
+# --- dense daily series: A1, A2, A16, J1, J2, W1, W2, P8 -------------------
+
+from blotter.operators import daily as D  # noqa: E402
+from blotter.operators import lookups as L  # noqa: E402
+from blotter.operators import staffing as S  # noqa: E402
+
+
+@register("daily_city_counts")
+def q_daily_city_counts(spark, sf):
+    return D.daily_city_counts(incidents(spark, sf))
+
+
+@register("daily_city_dense")
+def q_daily_city_dense(spark, sf):
+    return D.daily_city_dense(incidents(spark, sf))
+
+
+@register("city_year_stats")
+def q_city_year_stats(spark, sf):
+    return D.city_year_stats(incidents(spark, sf))
+
+
+@register("daily_city_filled")
+def q_daily_city_filled(spark, sf):
+    return D.daily_city(incidents(spark, sf))
+
+
+@register("daily_city_filled_per_city")
+def q_daily_city_filled_per_city(spark, sf):
+    return D.daily_city(incidents(spark, sf), backfill=D.BACKFILL_PER_CITY)
+
+
+# --- staffing: A3, A22, P6, O2, A29, F22, W7, A27 ---------------------------
+
+
+@register("officer_trends")
+def q_officer_trends(spark, sf):
+    return S.officer_trends(incidents(spark, sf))
+
+
+@register("statewide_staffing")
+def q_statewide_staffing(spark, sf):
+    return S.statewide_staffing(S.officer_trends(incidents(spark, sf)))
+
+
+@register("city_staffing")
+def q_city_staffing(spark, sf):
+    inc = incidents(spark, sf)
+    cities = inc.where(F.col("city").isNotNull()).select("city").distinct()
+    return S.city_staffing(S.officer_trends(inc), cities)
+
+
+@register("gender_by_month")
+def q_gender_by_month(spark, sf):
+    return S.last_per_city_month(S.officer_trends(incidents(spark, sf)))
+
+
+@register("gender_text_by_month")
+def q_gender_text_by_month(spark, sf):
+    return S.gender_text_by_month(S.last_per_city_month(S.officer_trends(incidents(spark, sf))))
+
+
+@register("force_status")
+def q_force_status(spark, sf):
+    return S.force_status(S.officer_trends(incidents(spark, sf)))
+
+
+@register("statewide_status")
+def q_statewide_status(spark, sf):
+    return S.statewide_status(S.statewide_staffing(S.officer_trends(incidents(spark, sf))))
+
+
+@register("city_cards")
+def q_city_cards(spark, sf):
+    return S.city_cards(D.daily_city(incidents(spark, sf)))
+
+
+# --- lookups: A7-A15 ------------------------------------------------------
+
+
+@register("city_stats_latest")
+def q_city_stats_latest(spark, sf):
+    return L.city_stats_latest(D.daily_city(incidents(spark, sf)))
+
+
+@register("city_stats_last_row")
+def q_city_stats_last_row(spark, sf):
+    return L.city_stats_last(incidents(spark, sf))
+
+
+@register("location_totals")
+def q_location_totals(spark, sf):
+    return L.location_totals(incidents(spark, sf))
+
+
+@register("location_daily_mean")
+def q_location_daily_mean(spark, sf):
+    return L.location_daily_mean(incidents(spark, sf))
+
+
+@register("hour_typical")
+def q_hour_typical(spark, sf):
+    return L.hour_typical(incidents(spark, sf))
+
+
+@register("hour_diversity")
+def q_hour_diversity(spark, sf):
+    return L.hour_diversity(incidents(spark, sf))
+
+
+@register("domains")
+def q_domains(spark, sf):
+    return L.domains(incidents(spark, sf))

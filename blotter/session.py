@@ -40,3 +40,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Write a small intermediate once (reliable checkpoint in the shared
+    ``spark.checkpoint.dir``) so several consumers read it instead of
+    re-running its lineage over the raw table; also cuts the lineage so a
+    lost executor does not replay the raw scan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
