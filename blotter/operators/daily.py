@@ -127,6 +127,9 @@ def daily_city(inc: DataFrame, backfill: str = BACKFILL_FRAME, dropna: bool = Tr
     """J1 + W1 + W2 + P8: the dense grid with city-year stats, forward filled per
     city by date, then backward filled (whole frame in (date, city) order as the
     reference does, or per city with ``backfill='per_city'``), rows with any null dropped.
+
+    The result (days x cities rows) is materialised once: every forecast part
+    reads it several times.
     """
     s = city_day_summary(inc)
     dense = daily_city_dense(inc, s)
@@ -141,7 +144,7 @@ def daily_city(inc: DataFrame, backfill: str = BACKFILL_FRAME, dropna: bool = Tr
         out = backfill_frame(ff, STAT_COLS)
     else:
         raise ValueError(f"unknown backfill mode: {backfill}")
-    return out.na.drop("any") if dropna else out
+    return materialize(out.na.drop("any") if dropna else out)
 
 
 def with_profile_columns(daily: DataFrame) -> DataFrame:

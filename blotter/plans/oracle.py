@@ -283,3 +283,281 @@ UNION ALL
 SELECT 'year', CAST(v AS VARCHAR), row_number() OVER (ORDER BY v DESC) - 1
 FROM (SELECT DISTINCT year AS v FROM incidents)
 """
+
+
+# --- scalar features -----------------------------------------------------------------
+
+from blotter.functions.calendar import holiday_name_sql, holiday_sql  # noqa: E402
+from blotter.schema import LOCATION_TYPE_KEYWORDS, PROPERTY_CLASSES, VIOLENT_CLASSES  # noqa: E402
+
+
+def _loc_type_sql(x: str) -> str:
+    whens = []
+    for t, kws in LOCATION_TYPE_KEYWORDS:
+        cond = " OR ".join(f"contains(lower({x}), '{k}')" for k in kws)
+        whens.append(f"WHEN {cond} THEN '{t}'")
+    return f"coalesce(CASE {' '.join(whens)} ELSE 'other' END, 'other')"
+
+
+def _class_sql(x: str) -> str:
+    return f"(CASE WHEN {x} IN ({CLASSES_IN}) THEN {x} ELSE 'Other' END)"
+
+
+def _broad_sql(x: str) -> str:
+    return (
+        f"(CASE WHEN {x} IN ({_lit_list(VIOLENT_CLASSES)}) THEN 'Violent' "
+        f"WHEN {x} IN ({_lit_list(PROPERTY_CLASSES)}) THEN 'Property' ELSE 'Other' END)"
+    )
+
+
+SQL["location_types"] = with_() + f"""
+SELECT location_area, {_loc_type_sql('location_area')} AS location_type
+FROM (SELECT DISTINCT location_area FROM incidents)
+"""
+SQL["broad_classes"] = with_() + f"""
+SELECT offense_category_name, {_class_sql('offense_category_name')} AS offense_class,
+  {_broad_sql(_class_sql('offense_category_name'))} AS broad_class
+FROM (SELECT DISTINCT offense_category_name FROM incidents)
+"""
+SQL["payday_features"] = with_() + """
+SELECT date,
+  CAST(day(date) IN (1, 15) OR day(date) = day(last_day(date)) AS INTEGER) AS is_payday,
+  least(abs(day(date) - 1), abs(day(date) - 15), abs(day(date) - day(last_day(date)))) AS days_from_payday
+FROM (SELECT DISTINCT date FROM incidents)
+"""
+
+
+def _sincos(x: str, n: int, name: str) -> str:
+    return (f"sin(2 * pi() * CAST({x} AS DOUBLE) / {float(n)}) AS {name}_sin, "
+            f"cos(2 * pi() * CAST({x} AS DOUBLE) / {float(n)}) AS {name}_cos")
+
+
+SQL["calendar_features"] = with_() + f"""
+SELECT date, CAST(isodow(date) - 1 AS INTEGER) AS dayofweek, CAST(month(date) AS INTEGER) AS month,
+  CAST(day(date) AS INTEGER) AS day_of_month, CAST(weekofyear(date) AS INTEGER) AS week_of_year,
+  CAST(dayofyear(date) AS INTEGER) AS day_of_year, CAST(quarter(date) AS INTEGER) AS quarter,
+  CAST(isodow(date) IN (6, 7) AS INTEGER) AS is_weekend, CAST(isodow(date) = 1 AS INTEGER) AS is_monday,
+  CAST(isodow(date) = 5 AS INTEGER) AS is_friday,
+  {_sincos('month(date)', 12, 'month')}, {_sincos('isodow(date) - 1', 7, 'dow')},
+  {_sincos('day(date)', 31, 'day_of_month')}, {_sincos('weekofyear(date)', 52, 'week')}
+FROM (SELECT DISTINCT date FROM incidents)
+"""
+SQL["holiday_flags"] = with_(DAILY_CTES) + f"""
+SELECT date, CAST({holiday_sql('date')} AS INTEGER) AS is_holiday,
+  CAST({holiday_sql('CAST(date + INTERVAL 1 DAY AS DATE)')} AS INTEGER) AS is_day_before_holiday,
+  CAST({holiday_sql('CAST(date - INTERVAL 1 DAY AS DATE)')} AS INTEGER) AS is_day_after_holiday,
+  {holiday_name_sql('date')} AS holiday_name
+FROM days
+"""
+
+# --- forecast -------------------------------------------------------------------------
+
+from blotter.operators.forecast import (  # noqa: E402
+    DEMO_CITY_MODELS,
+    DEMO_GLOBAL,
+    DYNAMIC_FEATURES,
+    STATIC_FEATURES,
+)
+from blotter.schema import FORECAST_FEATURES  # noqa: E402
+
+_COEF_COLS = ["intercept", *FORECAST_FEATURES]
+
+
+def _coef_values() -> str:
+    rows = ["(NULL, " + ", ".join(repr(float(DEMO_GLOBAL[c])) for c in _COEF_COLS) + ")"]
+    for city, scale in DEMO_CITY_MODELS.items():
+        rows.append(f"('{city}', " + ", ".join(repr(float(DEMO_GLOBAL[c] * scale)) for c in _COEF_COLS) + ")")
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") t(city, " + ", ".join(_COEF_COLS) + ")"
+
+
+def _static_feature_sql(d: str) -> dict[str, str]:
+    dow = f"(isodow({d}) - 1)"
+    mon = f"month({d})"
+    return {
+        "day_of_week": dow,
+        "month": mon,
+        "quarter": f"quarter({d})",
+        "day_of_year": f"dayofyear({d})",
+        "is_weekend": f"CAST(isodow({d}) IN (6, 7) AS INTEGER)",
+        "is_monday": f"CAST(isodow({d}) = 1 AS INTEGER)",
+        "is_friday": f"CAST(isodow({d}) = 5 AS INTEGER)",
+        "month_sin": f"sin(2 * pi() * CAST({mon} AS DOUBLE) / 12.0)",
+        "month_cos": f"cos(2 * pi() * CAST({mon} AS DOUBLE) / 12.0)",
+        "dow_sin": f"sin(2 * pi() * CAST({dow} AS DOUBLE) / 7.0)",
+        "dow_cos": f"cos(2 * pi() * CAST({dow} AS DOUBLE) / 7.0)",
+        "is_holiday": f"CAST({holiday_sql(d)} AS INTEGER)",
+        "is_day_before_holiday": f"CAST({holiday_sql(f'CAST({d} + INTERVAL 1 DAY AS DATE)')} AS INTEGER)",
+        "is_day_after_holiday": f"CAST({holiday_sql(f'CAST({d} - INTERVAL 1 DAY AS DATE)')} AS INTEGER)",
+        "population": "l.population",
+        "total_officers": "l.total_officers",
+        "officers_per_1000_people": "l.officers_per_1000_people",
+        "crime_rate_per_1000_people": "l.crime_rate_per_1000_people",
+    }
+
+
+def _static_sql() -> str:
+    feats = _static_feature_sql("t.date")
+    expr = "m.intercept"
+    for f in STATIC_FEATURES:
+        expr = f"({expr} + m.{f} * CAST({feats[f]} AS DOUBLE))"
+    return expr
+
+
+FORECAST_CTES = """
+params AS (SELECT CAST(max(date) + INTERVAL 1 DAY AS DATE) AS origin FROM daily_city),
+hist AS (
+  SELECT h.date, h.city, h.crime_count, h.population, h.total_officers, h.officers_per_1000_people,
+    h.crime_rate_per_1000_people, month(h.date) AS month, isodow(h.date) - 1 AS dow, dayofyear(h.date) AS doy
+  FROM daily_city h, params p WHERE h.date < p.origin),
+city_avg AS (SELECT city, avg(crime_count) AS city_avg FROM hist GROUP BY city),
+md AS (SELECT city, month, dow, avg(crime_count) AS md_avg FROM hist GROUP BY ALL),
+dw AS (SELECT city, dow, avg(crime_count) AS dow_avg FROM hist GROUP BY ALL),
+flagged AS (
+  SELECT h.*, h.month IN (month(p.origin), month(CAST(p.origin + INTERVAL 29 DAY AS DATE))) AS in_m
+  FROM hist h, params p),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY city ORDER BY date DESC) AS rn_all,
+    row_number() OVER (PARTITION BY city, in_m ORDER BY date DESC) AS rn_m
+  FROM flagged),
+seed_n AS (SELECT city, sum(CAST(in_m AS INTEGER)) AS n_m FROM ranked GROUP BY city),
+seeds AS (
+  SELECT r.city, list(CAST(r.crime_count AS DOUBLE) ORDER BY r.date) AS seed
+  FROM ranked r JOIN seed_n s USING (city)
+  WHERE (s.n_m >= 7 AND r.in_m AND r.rn_m <= 14) OR (s.n_m < 7 AND r.rn_all <= 14)
+  GROUP BY r.city),
+recent AS (SELECT city, avg(crime_count) AS recent FROM ranked WHERE rn_all <= 14 GROUP BY city),
+latest AS (
+  SELECT city, population, total_officers, officers_per_1000_people, crime_rate_per_1000_people
+  FROM ranked WHERE rn_all = 1),
+tgt AS (
+  SELECT c.city, CAST(g.i AS INTEGER) AS step, CAST(p.origin + CAST(g.i AS INTEGER) * INTERVAL 1 DAY AS DATE) AS date
+  FROM (SELECT DISTINCT city FROM hist) c, params p, range(0, 30) g(i)),
+analog AS (
+  SELECT t.city, t.date, avg(h.crime_count) AS analog
+  FROM tgt t JOIN hist h ON h.city = t.city
+   AND least(abs(h.doy - dayofyear(t.date)), 366 - abs(h.doy - dayofyear(t.date))) <= 14
+  GROUP BY ALL),
+coef AS (__COEF__),
+model AS (
+  SELECT c.city, cc.city IS NOT NULL AS use_city,
+    __MODEL_COLS__
+  FROM (SELECT DISTINCT city FROM hist) c LEFT JOIN coef cc ON cc.city = c.city
+  CROSS JOIN (SELECT * FROM coef WHERE city IS NULL) g),
+fdays AS (
+  SELECT t.city, t.step, t.date, __STATIC__ AS static,
+    coalesce(a.analog, coalesce(md.md_avg, dw.dow_avg, ca.city_avg)) AS analog,
+    coalesce(r.recent, coalesce(md.md_avg, dw.dow_avg, ca.city_avg)) AS recent,
+    coalesce(md.md_avg, dw.dow_avg, ca.city_avg) AS seasonal,
+    CAST(__HOLIDAY__ AS INTEGER) AS is_holiday
+  FROM tgt t JOIN latest l ON l.city = t.city JOIN model m ON m.city = t.city
+  JOIN recent r ON r.city = t.city JOIN city_avg ca ON ca.city = t.city
+  LEFT JOIN md ON md.city = t.city AND md.month = month(t.date) AND md.dow = isodow(t.date) - 1
+  LEFT JOIN dw ON dw.city = t.city AND dw.dow = isodow(t.date) - 1
+  LEFT JOIN analog a ON a.city = t.city AND a.date = t.date),
+rec(city, step, buf, pred) AS (
+  SELECT city, -1, seed, CAST(NULL AS DOUBLE) FROM seeds
+  UNION ALL
+  SELECT city, step,
+    CASE WHEN len(list_append(buf, pred)) > 14
+         THEN list_slice(list_append(buf, pred), len(buf) + 1 - 13, len(buf) + 1)
+         ELSE list_append(buf, pred) END,
+    pred
+  FROM (
+    SELECT city, step, buf,
+      CASE WHEN use_city THEN model
+           ELSE greatest(0.6 * model + 0.25 * analog + 0.1 * recent + 0.05 * seasonal + trend, 0.0) END AS pred
+    FROM (
+      SELECT *, greatest(__DYN__, 0.0) AS model,
+        CASE WHEN len(buf) >= 14
+             THEN (list_avg(list_slice(buf, len(buf) - 6, len(buf)))
+                   - list_avg(list_slice(buf, len(buf) - 13, len(buf) - 7))) * 0.08
+             ELSE 0.0 END AS trend
+      FROM (
+        SELECT *, CASE WHEN n7 >= 1 THEN b7[n7] ELSE 0.0 END AS lag_1,
+          CASE WHEN n7 >= 3 THEN b7[n7 - 2] WHEN n7 >= 1 THEN b7[n7] ELSE 0.0 END AS lag_3,
+          CASE WHEN n7 >= 7 THEN b7[n7 - 6] ELSE b7[1] END AS lag_7,
+          CASE WHEN n7 >= 1 THEN list_avg(b7) ELSE 0.0 END AS roll,
+          CASE WHEN n7 >= 2 THEN list_aggregate(b7, 'stddev_pop') ELSE 0.0 END AS std,
+          CASE WHEN n7 >= 1 THEN list_max(b7) ELSE 0.0 END AS mx,
+          CASE WHEN n7 >= 1 THEN list_min(b7) ELSE 0.0 END AS mn
+        FROM (
+          SELECT r.city, d.step, r.buf, d.static, d.analog, d.recent, d.seasonal, m.use_city,
+            __MCOEF__,
+            list_slice(r.buf, greatest(len(r.buf) - 6, 1), len(r.buf)) AS b7,
+            len(list_slice(r.buf, greatest(len(r.buf) - 6, 1), len(r.buf))) AS n7
+          FROM rec r JOIN fdays d ON d.city = r.city AND d.step = r.step + 1
+          JOIN model m ON m.city = r.city))))),
+forecast AS (
+  SELECT r.city AS "City", d.date AS "Date", r.pred AS "Predicted Count", d.is_holiday,
+    CASE WHEN m.use_city THEN 'City-specific' ELSE 'Statewide' END AS policy
+  FROM rec r JOIN fdays d ON d.city = r.city AND d.step = r.step JOIN model m ON m.city = r.city
+  WHERE r.step >= 0)
+"""
+
+_DYN_VALUE = {
+    "lag_1": "lag_1", "lag_3": "lag_3", "lag_7": "lag_7", "roll_mean_7": "roll", "rolling_mean_7": "roll",
+    "roll_std_7": "std", "rolling_std_7": "std", "roll_max_7": "mx", "roll_min_7": "mn",
+}
+
+
+def _forecast_ctes() -> str:
+    dyn = "static"
+    for f in DYNAMIC_FEATURES:
+        dyn = f"({dyn} + c_{f} * {_DYN_VALUE[f]})"
+    return (
+        FORECAST_CTES.replace("__COEF__", _coef_values())
+        .replace("__MODEL_COLS__", ", ".join(
+            f"CASE WHEN cc.city IS NOT NULL THEN coalesce(cc.{c}, 0.0) ELSE coalesce(g.{c}, 0.0) END AS {c}"
+            for c in _COEF_COLS))
+        .replace("__STATIC__", _static_sql())
+        .replace("__HOLIDAY__", holiday_sql("t.date"))
+        .replace("__MCOEF__", ", ".join(f"m.{f} AS c_{f}" for f in DYNAMIC_FEATURES))
+        .replace("__DYN__", dyn)
+    )
+
+
+def with_recursive(*ctes: str) -> str:
+    return "WITH RECURSIVE " + with_(*ctes)[len("WITH "):]
+
+
+SQL["forecast_history_features"] = with_(DAILY_CTES) + """
+SELECT date, city, crime_count, lag_1,
+  CASE WHEN n7 >= 3 THEN lag3 ELSE lag_1 END AS lag_3,
+  CASE WHEN n7 >= 7 THEN lag7 ELSE coalesce(first7, 0.0) END AS lag_7,
+  coalesce(mean7, 0.0) AS roll_mean_7,
+  CASE WHEN n7 >= 2 THEN std7 ELSE 0.0 END AS roll_std_7,
+  coalesce(max7, 0.0) AS roll_max_7, coalesce(min7, 0.0) AS roll_min_7,
+  CASE WHEN n14 >= 14 THEN (mean7 - mean_prev) * 0.08 ELSE 0.0 END AS trend
+FROM (
+  SELECT date, city, crime_count,
+    count(x) OVER (PARTITION BY city ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS n7,
+    count(x) OVER (PARTITION BY city ORDER BY date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS n14,
+    coalesce(lag(x, 1) OVER (PARTITION BY city ORDER BY date), 0.0) AS lag_1,
+    lag(x, 3) OVER (PARTITION BY city ORDER BY date) AS lag3,
+    lag(x, 7) OVER (PARTITION BY city ORDER BY date) AS lag7,
+    first_value(x) OVER (PARTITION BY city ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS first7,
+    avg(x) OVER (PARTITION BY city ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS mean7,
+    stddev_pop(x) OVER (PARTITION BY city ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS std7,
+    max(x) OVER (PARTITION BY city ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS max7,
+    min(x) OVER (PARTITION BY city ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS min7,
+    avg(x) OVER (PARTITION BY city ORDER BY date ROWS BETWEEN 14 PRECEDING AND 8 PRECEDING) AS mean_prev
+  FROM (SELECT *, CAST(crime_count AS DOUBLE) AS x FROM daily_city))
+"""
+
+SQL["seasonal_profile"] = with_(DAILY_CTES, FORECAST_CTES.split("flagged AS")[0].rstrip().rstrip(",")) + """
+SELECT md.city, md.month, md.dow AS day_of_week, md.md_avg, dw.dow_avg, ca.city_avg
+FROM md JOIN dw USING (city, dow) JOIN city_avg ca USING (city)
+"""
+SQL["analog_profile"] = with_recursive(DAILY_CTES, _forecast_ctes()) + "SELECT city, date, analog FROM analog"
+SQL["recent_level"] = with_recursive(DAILY_CTES, _forecast_ctes()) + "SELECT city, recent FROM recent"
+SQL["forecast_seed"] = with_recursive(DAILY_CTES, _forecast_ctes()) + """
+SELECT city, CAST(i - 1 AS INTEGER) AS pos, seed[i] AS value
+FROM seeds, range(1, 15) g(i) WHERE i <= len(seed)
+"""
+SQL["forecast_30d"] = with_recursive(DAILY_CTES, _forecast_ctes()) + "SELECT * FROM forecast"
+SQL["forecast_totals"] = with_recursive(DAILY_CTES, _forecast_ctes()) + """
+SELECT "City", CAST(round_even(sum("Predicted Count"), 0) AS BIGINT) AS total FROM forecast GROUP BY 1
+"""
+SQL["forecast_missing"] = with_recursive(DAILY_CTES, _forecast_ctes()) + """
+SELECT DISTINCT city FROM incidents WHERE city IS NOT NULL AND city NOT IN (SELECT "City" FROM forecast)
+"""

@@ -205,3 +205,130 @@ def q_hour_diversity(spark, sf):
 @register("domains")
 def q_domains(spark, sf):
     return L.domains(incidents(spark, sf))
+
+
+# --- scalar features: F1-F6, F9, J8 -----------------------------------------------
+
+from blotter.functions import calendar as C  # noqa: E402
+from blotter.functions import features as FX  # noqa: E402
+from blotter.operators import forecast as FC  # noqa: E402
+
+
+@register("location_types")
+def q_location_types(spark, sf):
+    locs = incidents(spark, sf).select("location_area").distinct()
+    return locs.select("location_area", FX.location_type("location_area").alias("location_type"))
+
+
+@register("broad_classes")
+def q_broad_classes(spark, sf):
+    offs = incidents(spark, sf).select("offense_category_name").distinct()
+    return offs.select(
+        "offense_category_name",
+        FX.offense_class("offense_category_name").alias("offense_class"),
+        FX.broad_class(FX.offense_class("offense_category_name")).alias("broad_class"),
+    )
+
+
+def _dates(spark, sf) -> DataFrame:
+    return incidents(spark, sf).select("date").distinct()
+
+
+@register("payday_features")
+def q_payday_features(spark, sf):
+    return _dates(spark, sf).select("date", *[v.alias(k) for k, v in C.payday_features("date").items()])
+
+
+@register("calendar_features")
+def q_calendar_features(spark, sf):
+    d = F.col("date")
+    dow, month, dom, week = C.weekday(d), F.month(d), F.dayofmonth(d), C.iso_week(d)
+    cols = {
+        "dayofweek": dow,
+        "month": month,
+        "day_of_month": dom,
+        "week_of_year": week,
+        "day_of_year": F.dayofyear(d),
+        "quarter": F.quarter(d),
+        **C.weekend_flags(d),
+    }
+    for name, x, n in (("month", month, 12), ("dow", dow, 7), ("day_of_month", dom, 31), ("week", week, 52)):
+        s, c = C.cyclic(x, n)
+        cols[f"{name}_sin"], cols[f"{name}_cos"] = s, c
+    return _dates(spark, sf).select("date", *[v.alias(k) for k, v in cols.items()])
+
+
+@register("holiday_flags")
+def q_holiday_flags(spark, sf):
+    days = D.daily_city_dense(incidents(spark, sf)).select("date").distinct()
+    return days.select(
+        "date",
+        *[v.alias(k) for k, v in C.holiday_flags("date").items()],
+        C.holiday_name("date").alias("holiday_name"),
+    )
+
+
+# --- forecast: W3-W5, J6, J7, A17-A21, O8, M1-M4, A26, U5 ---------------------------
+
+
+def _daily(spark, sf) -> DataFrame:
+    return D.daily_city(incidents(spark, sf))
+
+
+@register("forecast_history_features")
+def q_forecast_history_features(spark, sf):
+    return FC.history_features(_daily(spark, sf))
+
+
+@register("seasonal_profile")
+def q_seasonal_profile(spark, sf):
+    daily = _daily(spark, sf)
+    hist = FC.forecast_history(daily, FC.origin_after_last_day(daily))
+    city_avg, md, dw = FC.seasonal_profile(hist)
+    return md.join(dw, ["city", "day_of_week"]).join(city_avg, ["city"])
+
+
+@register("analog_profile")
+def q_analog_profile(spark, sf):
+    daily = _daily(spark, sf)
+    origin = FC.origin_after_last_day(daily)
+    hist = FC.forecast_history(daily, origin)
+    tgt = FC.targets(hist.select("city").distinct(), origin)
+    return FC.analog_profile(hist, tgt)
+
+
+@register("recent_level")
+def q_recent_level(spark, sf):
+    daily = _daily(spark, sf)
+    origin = FC.origin_after_last_day(daily)
+    return FC.recent_and_seed(FC.forecast_history(daily, origin), origin).select("city", "recent")
+
+
+@register("forecast_seed")
+def q_forecast_seed(spark, sf):
+    daily = _daily(spark, sf)
+    origin = FC.origin_after_last_day(daily)
+    seeds = FC.recent_and_seed(FC.forecast_history(daily, origin), origin)
+    return seeds.select("city", F.posexplode("seed").alias("pos", "value"))
+
+
+def _forecast(spark, sf) -> DataFrame:
+    daily = _daily(spark, sf)
+    return FC.forecast(daily, FC.demo_coefficients(spark), FC.origin_after_last_day(daily))
+
+
+@register("forecast_30d")
+def q_forecast_30d(spark, sf):
+    return _forecast(spark, sf)
+
+
+@register("forecast_totals")
+def q_forecast_totals(spark, sf):
+    return FC.forecast_totals(_forecast(spark, sf))
+
+
+@register("forecast_missing")
+def q_forecast_missing(spark, sf):
+    inc = incidents(spark, sf)
+    requested = inc.where(F.col("city").isNotNull()).select("city").distinct()
+    return FC.forecast_missing(requested, _forecast(spark, sf))
