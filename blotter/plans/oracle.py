@@ -561,3 +561,121 @@ SELECT "City", CAST(round_even(sum("Predicted Count"), 0) AS BIGINT) AS total FR
 SQL["forecast_missing"] = with_recursive(DAILY_CTES, _forecast_ctes()) + """
 SELECT DISTINCT city FROM incidents WHERE city IS NOT NULL AND city NOT IN (SELECT "City" FROM forecast)
 """
+
+
+# --- risk -----------------------------------------------------------------------------------
+
+from blotter.operators.risk import demo_classifier_rows  # noqa: E402
+from blotter.schema import LOCATION_TYPES, RISK_FEATURES, UNIVERSITY_CITIES  # noqa: E402
+
+
+def _models_values() -> str:
+    rows = []
+    for model, city, k, label, icpt, w in demo_classifier_rows():
+        c = "NULL" if city is None else f"'{city}'"
+        lab = label.replace("'", "''")
+        rows.append(f"('{model}', {c}, {k}, '{lab}', {icpt!r}, [{', '.join(repr(float(x)) for x in w)}]::DOUBLE[])")
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") t(model, city, class_id, label, intercept, weights)"
+
+
+_LT_VALUES = "(VALUES " + ", ".join(f"('{v}', {i})" for i, v in enumerate(LOCATION_TYPES)) + ") t(value, pos)"
+
+RISK_CTES = f"""
+city_stats AS (
+  SELECT city, {", ".join(f"arg_max({c}, row_order) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _LSTATS)}
+  FROM incidents WHERE city IS NOT NULL GROUP BY city),
+loc_total AS (SELECT location_area, CAST(count(*) AS DOUBLE) AS v FROM incidents WHERE location_area IS NOT NULL GROUP BY 1),
+loc_daily AS (
+  SELECT location_area, count(*) / (SELECT CAST(count(DISTINCT date) AS DOUBLE) FROM incidents) AS v
+  FROM incidents WHERE location_area IS NOT NULL GROUP BY 1),
+city_cats AS (SELECT v AS value, row_number() OVER (ORDER BY v) - 1 AS pos FROM (SELECT DISTINCT city AS v FROM incidents WHERE city IS NOT NULL)),
+loc_cats AS (SELECT v AS value, row_number() OVER (ORDER BY v) - 1 AS pos FROM (SELECT DISTINCT location_area AS v FROM incidents WHERE location_area IS NOT NULL)),
+htc_cats AS (SELECT v AS value, row_number() OVER (ORDER BY v) - 1 AS pos FROM (SELECT DISTINCT hour_typical_crime AS v FROM hour_typical WHERE hour_typical_crime IS NOT NULL)),
+lt_cats AS (SELECT * FROM {_LT_VALUES}),
+scen AS (
+  SELECT DISTINCT city, location_area, hour, date AS input_date FROM incidents
+  WHERE city IS NOT NULL AND location_area IS NOT NULL),
+f0 AS (
+  SELECT s.city, s.location_area, CAST(NULL AS VARCHAR) AS location_type_in, s.hour, s.input_date,
+    CASE WHEN lower({_loc_type_sql('s.location_area')}) IN ({_lit_list(LOCATION_TYPES)})
+         THEN lower({_loc_type_sql('s.location_area')}) ELSE 'other' END AS location_type,
+    {_sincos('s.hour', 24, 'hour')},
+    CAST(isodow(s.input_date) - 1 AS INTEGER) AS dayofweek,
+    {_sincos('isodow(s.input_date) - 1', 7, 'dow')},
+    CAST(month(s.input_date) AS INTEGER) AS month,
+    {_sincos('month(s.input_date)', 12, 'month')},
+    CAST(day(s.input_date) AS INTEGER) AS day_of_month,
+    {_sincos('day(s.input_date)', 31, 'day_of_month')},
+    CAST(weekofyear(s.input_date) AS INTEGER) AS week_of_year,
+    {_sincos('weekofyear(s.input_date)', 52, 'week')},
+    CAST(isodow(s.input_date) IN (6, 7) AS INTEGER) AS is_weekend,
+    CAST({holiday_sql('s.input_date')} AS INTEGER) AS is_holiday,
+    CAST(day(s.input_date) IN (1, 15) OR day(s.input_date) = day(last_day(s.input_date)) AS INTEGER) AS is_payday,
+    CAST(least(abs(day(s.input_date) - 1), abs(day(s.input_date) - 15),
+      abs(day(s.input_date) - day(last_day(s.input_date)))) AS INTEGER) AS days_from_payday,
+    CAST(coalesce(s.city IN ({_lit_list(UNIVERSITY_CITIES)}), false) AS INTEGER) AS is_university,
+    CASE WHEN hd.city IS NULL THEN 1.5 ELSE hd.avg_crime_diversity END AS crime_diversity,
+    CASE WHEN ld.location_area IS NULL THEN 5.0 ELSE ld.v END AS location_daily_freq,
+    CASE WHEN lt.location_area IS NULL THEN 100.0 ELSE lt.v END AS location_total_crimes,
+    {", ".join(f"CASE WHEN cs.city IS NULL THEN 0.0 ELSE CAST(cs.{c} AS DOUBLE) END AS {c}" for c in _LSTATS)},
+    CASE WHEN ht.city IS NULL THEN 'Other' ELSE coalesce(ht.hour_typical_crime, 'nan') END AS htc_raw
+  FROM scen s
+  LEFT JOIN city_stats cs ON cs.city = s.city
+  LEFT JOIN loc_total lt ON lt.location_area = s.location_area
+  LEFT JOIN loc_daily ld ON ld.location_area = s.location_area
+  LEFT JOIN hour_typical ht ON ht.city = s.city AND ht.hour = s.hour
+  LEFT JOIN hour_diversity hd ON hd.city = s.city AND hd.hour = s.hour),
+f1 AS (
+  SELECT f0.* EXCLUDE (htc_raw),
+    CASE WHEN f0.htc_raw IN (SELECT value FROM htc_cats) THEN f0.htc_raw
+         ELSE coalesce((SELECT value FROM htc_cats WHERE pos = 0), 'Other') END AS hour_typical_crime
+  FROM f0),
+risk_features AS (
+  SELECT f1.*,
+    CAST(coalesce(cc.pos, CASE WHEN (SELECT count(*) FROM city_cats) > 0 THEN 0 ELSE -1 END) AS INTEGER) AS city_code,
+    CAST(coalesce(lc.pos, CASE WHEN (SELECT count(*) FROM loc_cats) > 0 THEN 0 ELSE -1 END) AS INTEGER) AS location_area_code,
+    CAST(coalesce(tc.pos, 3) AS INTEGER) AS location_type_code,
+    CAST(coalesce(hc.pos, CASE WHEN (SELECT count(*) FROM htc_cats) > 0 THEN 0 ELSE -1 END) AS INTEGER) AS hour_typical_crime_code
+  FROM f1
+  LEFT JOIN city_cats cc ON cc.value = f1.city
+  LEFT JOIN loc_cats lc ON lc.value = f1.location_area
+  LEFT JOIN lt_cats tc ON tc.value = f1.location_type
+  LEFT JOIN htc_cats hc ON hc.value = f1.hour_typical_crime),
+xv AS (
+  SELECT city, location_area, hour, input_date,
+    [{", ".join(f"CAST({(f + '_code') if f in ('city', 'location_area', 'location_type', 'hour_typical_crime') else f} AS DOUBLE)" for f in RISK_FEATURES)}] AS x
+  FROM risk_features),
+models AS ({_models_values()}),
+spec_cities AS (SELECT DISTINCT city FROM models WHERE model = 'specific' AND city IS NOT NULL),
+logits AS (
+  SELECT x.city, x.location_area, x.hour, x.input_date, m.model, m.class_id AS pos, m.label,
+    m.intercept + list_dot_product(m.weights, x.x) AS z,
+    CASE WHEN x.city IN (SELECT city FROM spec_cities) THEN 'City-specific' ELSE 'Statewide' END AS model_source
+  FROM xv x JOIN models m
+    ON (m.model = 'broad' AND m.city IS NULL)
+    OR (m.model = 'specific' AND ((x.city IN (SELECT city FROM spec_cities) AND m.city = x.city)
+         OR (x.city NOT IN (SELECT city FROM spec_cities) AND m.city IS NULL)))),
+shifted AS (
+  SELECT *, exp(z - max(z) OVER (PARTITION BY city, location_area, hour, input_date, model)) AS e FROM logits),
+probs AS (
+  SELECT *, e / sum(e) OVER (PARTITION BY city, location_area, hour, input_date, model) AS p FROM shifted)
+"""
+
+SQL["risk_features"] = with_(LOOKUP_CTES, RISK_CTES) + "SELECT * FROM risk_features"
+SQL["risk_probabilities"] = with_(LOOKUP_CTES, RISK_CTES) + """
+SELECT city, location_area, hour, input_date, model, CAST(pos AS INTEGER) AS pos, label, p AS "Probability" FROM probs
+"""
+SQL["risk_top5"] = with_(LOOKUP_CTES, RISK_CTES) + """
+SELECT city, location_area, hour, input_date, CAST(pos AS INTEGER) AS pos, label, p AS "Probability", rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY city, location_area, hour, input_date ORDER BY p DESC, pos DESC) AS INTEGER) AS rank
+  FROM probs WHERE model = 'specific') WHERE rank <= 5
+"""
+SQL["risk_headline"] = with_(LOOKUP_CTES, RISK_CTES) + """
+SELECT b.city, b.location_area, b.hour, b.input_date, s.model_source,
+  b.label AS broad_label, b.p AS broad_probability, s.label AS specific_label, s.p AS specific_probability
+FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY city, location_area, hour, input_date ORDER BY p DESC, pos ASC) AS rn
+      FROM probs WHERE model = 'broad') WHERE rn = 1) b
+JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY city, location_area, hour, input_date ORDER BY p DESC, pos ASC) AS rn
+      FROM probs WHERE model = 'specific') WHERE rn = 1) s
+USING (city, location_area, hour, input_date)
+"""

@@ -332,3 +332,35 @@ def q_forecast_missing(spark, sf):
     inc = incidents(spark, sf)
     requested = inc.where(F.col("city").isNotNull()).select("city").distinct()
     return FC.forecast_missing(requested, _forecast(spark, sf))
+
+
+# --- risk: M5-M9, J4, J5, F10-F12, F17, A28, W8 ------------------------------------------
+
+from blotter.operators import risk as R  # noqa: E402
+
+
+def _risk_scored(spark, sf) -> DataFrame:
+    inc = incidents(spark, sf)
+    feats = R.risk_features(R.scenarios_from_incidents(inc), R.context_from_incidents(inc))
+    return R.score(feats, R.demo_classifiers(spark))
+
+
+@register("risk_features")
+def q_risk_features(spark, sf):
+    inc = incidents(spark, sf)
+    return R.risk_features(R.scenarios_from_incidents(inc), R.context_from_incidents(inc))
+
+
+@register("risk_probabilities")
+def q_risk_probabilities(spark, sf):
+    return R.probabilities(_risk_scored(spark, sf))
+
+
+@register("risk_top5")
+def q_risk_top5(spark, sf):
+    return R.top_specific(_risk_scored(spark, sf))
+
+
+@register("risk_headline")
+def q_risk_headline(spark, sf):
+    return R.headline(_risk_scored(spark, sf))
