@@ -29,14 +29,14 @@ def city_day_summary(inc: DataFrame) -> DataFrame:
 
     The null-city group is kept: its dates still count for the calendar bounds.
     """
-    first = F.min_by(
-        F.struct(_order_col(inc).alias("ord"), *[F.col(c) for c in STAT_COLS]),
-        _order_col(inc),
-    )
+    order = _order_col(inc)
+    # per-column min_by with primitive values keeps the aggregate hash-based;
+    # with a unique row order it picks the same (first) row for every column
     return materialize(
         inc.groupBy("date", "city").agg(
             F.count(F.lit(1)).alias("crime_count"),
-            first.alias("first"),
+            F.min(order).alias("ord"),
+            *[F.min_by(F.col(c), order).alias(c) for c in STAT_COLS],
         )
     )
 
@@ -75,12 +75,10 @@ def daily_city_dense(inc: DataFrame, summary: DataFrame | None = None) -> DataFr
 def city_year_stats(inc: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """A2: the first row (file order) per (year, city) -- nulls inside it kept (Q4)."""
     s = summary if summary is not None else city_day_summary(inc)
-    first = F.min_by(F.col("first"), F.col("first.ord"))
     return (
         s.where(F.col("city").isNotNull())
         .groupBy(F.year("date").alias("year"), "city")
-        .agg(first.alias("f"))
-        .select("year", "city", *[F.col(f"f.{c}").alias(c) for c in STAT_COLS])
+        .agg(*[F.min_by(F.col(c), F.col("ord")).alias(c) for c in STAT_COLS])
     )
 
 

@@ -14,20 +14,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.schema import LOOKUP_STAT_COLS
+from blotter.session import materialize
+
+SUMMARY_KEYS = ["date", "city", "hour", "location_area", "offense_category_clean"]
 
 
 def _order(df: DataFrame) -> Column:
     return F.col("row_order") if "row_order" in df.columns else F.col("date")
 
 
+def _is_summary(df: DataFrame) -> bool:
+    return "n" in df.columns
+
+
+def _weight(df: DataFrame) -> Column:
+    """Row weight: the pre-aggregated count, or 1 for incident rows."""
+    return F.col("n") if _is_summary(df) else F.lit(1)
+
+
+def lookup_summary(inc: DataFrame) -> DataFrame:
+    """One pass over incidents at (date, city, hour, location, offense) grain:
+    the count, and per staffing column the (file order, value) of its last
+    non-null row. Every lookup, domain and scenario set derives from it, so the
+    raw table is read once; it is materialised for its several consumers."""
+    order = _order(inc)
+    last = []
+    for c in LOOKUP_STAT_COLS:
+        o = F.when(F.col(c).isNotNull(), order)
+        # primitive-valued max / max_by keep the aggregate hash-based
+        last += [F.max(o).alias(f"o_{c}"), F.max_by(F.col(c), o).alias(f"v_{c}")]
+    return materialize(inc.groupBy(*SUMMARY_KEYS).agg(F.count(F.lit(1)).alias("n"), *last))
+
+
 def _last_non_null(c: str, order: Column) -> Column:
     return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c)
 
 
 def city_stats_last(inc: DataFrame) -> DataFrame:
     """A8 (raw path): last non-null value per column per city, in file order (Q6)."""
+    named = inc.where(F.col("city").isNotNull()).groupBy("city")
+    if _is_summary(inc):
+        return named.agg(*[F.max_by(f"v_{c}", f"o_{c}").alias(c) for c in LOOKUP_STAT_COLS])
     order = _order(inc)
-    return inc.where(F.col("city").isNotNull()).groupBy("city").agg(*[_last_non_null(c, order) for c in LOOKUP_STAT_COLS])
+    return named.agg(*[_last_non_null(c, order) for c in LOOKUP_STAT_COLS])
 
 
 def city_stats_latest(daily: DataFrame) -> DataFrame:
@@ -40,7 +69,7 @@ def location_totals(inc: DataFrame) -> DataFrame:
     return (
         inc.where(F.col("location_area").isNotNull())
         .groupBy("location_area")
-        .agg(F.count(F.lit(1)).cast("double").alias("location_total_crimes"))
+        .agg(F.sum(_weight(inc)).cast("double").alias("location_total_crimes"))
     )
 
 
@@ -55,18 +84,23 @@ def location_daily_mean(inc: DataFrame) -> DataFrame:
     return (
         inc.where(F.col("location_area").isNotNull())
         .groupBy("location_area")
-        .agg((F.count(F.lit(1)) / d).cast("double").alias("avg_location_daily_freq"))
+        .agg((F.sum(_weight(inc)) / d).cast("double").alias("avg_location_daily_freq"))
     )
 
 
 def hour_typical_observed(inc: DataFrame) -> DataFrame:
     """A10: most frequent offense per observed (city, hour); ties -> smallest label (Q7);
     a group whose offenses are all null -> 'Other'."""
-    return (
-        inc.where(F.col("city").isNotNull())
-        .groupBy("city", "hour")
-        .agg(F.coalesce(F.mode("offense_category_clean", True), F.lit("Other")).alias("hour_typical_crime"))
-    )
+    named = inc.where(F.col("city").isNotNull())
+    if not _is_summary(inc):
+        return named.groupBy("city", "hour").agg(
+            F.coalesce(F.mode("offense_category_clean", True), F.lit("Other")).alias("hour_typical_crime")
+        )
+    # weighted mode: counts per offense, then the largest count, smallest label
+    o = F.col("offense_category_clean")
+    per = named.groupBy("city", "hour", "offense_category_clean").agg(F.sum("n").alias("k"))
+    best = F.min_by(o, F.when(o.isNotNull(), F.struct((-F.col("k")).alias("nk"), o.alias("o"))))
+    return per.groupBy("city", "hour").agg(F.coalesce(best, F.lit("Other")).alias("hour_typical_crime"))
 
 
 def hour_diversity_observed(inc: DataFrame) -> DataFrame:
@@ -125,9 +159,10 @@ def domains(inc: DataFrame, typical: DataFrame | None = None) -> DataFrame:
         )
 
     typical = typical if typical is not None else hour_typical(inc)
+    years = inc if "year" in inc.columns else inc.select(F.year("date").alias("year"))
     return (
         ranked(inc, "city", "city")
         .unionByName(ranked(inc, "location_area", "location_area"))
         .unionByName(ranked(typical, "hour_typical_crime", "hour_typical_crime"))
-        .unionByName(ranked(inc, "year", "year", desc=True))
+        .unionByName(ranked(years, "year", "year", desc=True))
     )

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from blotter.functions import calendar as C
 from blotter.functions.features import is_university, location_type
 from blotter.operators import lookups as L
+from blotter.session import broadcast_if_small, materialize
 from blotter.schema import (
     BROAD_CLASSES,
     DEFAULT_DIVERSITY,
@@ -76,17 +77,21 @@ def _ranked_domain(values: DataFrame, col: str) -> DataFrame:
 
 
 def context_from_incidents(inc: DataFrame) -> RiskContext:
-    """Raw path (include_legacy): every lookup aggregated from incident rows."""
-    typical = L.hour_typical(inc)
+    """Raw path (include_legacy): every lookup aggregated from incident rows
+    (or from their ``lookup_summary``, which reads the raw table once).
+
+    Each table is domain-sized (cities, locations, cities x hours) and is
+    materialised once, so the scenario join reads it instead of re-deriving it."""
+    typical = materialize(L.hour_typical(inc))
     return RiskContext(
-        city_stats=L.city_stats_last(inc),
-        loc_total=L.location_totals(inc),
-        loc_daily=L.location_daily_mean(inc),
+        city_stats=materialize(L.city_stats_last(inc)),
+        loc_total=materialize(L.location_totals(inc)),
+        loc_daily=materialize(L.location_daily_mean(inc)),
         hour_typical=typical,
-        hour_diversity=L.hour_diversity(inc),
-        city_cats=_ranked_domain(inc, "city"),
-        loc_cats=_ranked_domain(inc, "location_area"),
-        htc_cats=_ranked_domain(typical, "hour_typical_crime"),
+        hour_diversity=materialize(L.hour_diversity(inc)),
+        city_cats=materialize(_ranked_domain(inc, "city")),
+        loc_cats=materialize(_ranked_domain(inc, "location_area")),
+        htc_cats=materialize(_ranked_domain(typical, "hour_typical_crime")),
     )
 
 
@@ -115,9 +120,49 @@ def _cyc(x: Column, n: int, name: str) -> dict[str, Column]:
     return {f"{name}_sin": s, f"{name}_cos": c}
 
 
+DATE_FEATURES = [
+    "dayofweek",
+    "dow_sin",
+    "dow_cos",
+    "month",
+    "month_sin",
+    "month_cos",
+    "day_of_month",
+    "day_of_month_sin",
+    "day_of_month_cos",
+    "week_of_year",
+    "week_sin",
+    "week_cos",
+    "is_weekend",
+    "is_holiday",
+    "is_payday",
+    "days_from_payday",
+]
+
+
+def date_features(dates: DataFrame, col: str) -> DataFrame:
+    """Calendar features of M5 for a table of dates."""
+    d = F.col(col)
+    dow, month, dom, week = C.weekday(d), F.month(d), F.dayofmonth(d), C.iso_week(d)
+    feats = {
+        "dayofweek": dow,
+        **_cyc(dow, 7, "dow"),
+        "month": month,
+        **_cyc(month, 12, "month"),
+        "day_of_month": dom,
+        **_cyc(dom, 31, "day_of_month"),
+        "week_of_year": week,
+        **_cyc(week, 52, "week"),
+        "is_weekend": C.weekend_flags(d)["is_weekend"],
+        "is_holiday": C.is_holiday(d),
+        **C.payday_features(d),
+    }
+    return dates.select(col, *[feats[c].alias(c) for c in DATE_FEATURES])
+
+
 def _encode(df: DataFrame, col: str, cats: DataFrame, fallback_pos: Column) -> DataFrame:
     """position in the ordered domain; unknown -> the fallback's position."""
-    dom = cats.select(F.col("value").alias(f"_v_{col}"), F.col("pos").alias(f"_p_{col}"))
+    dom = broadcast_if_small(cats).select(F.col("value").alias(f"_v_{col}"), F.col("pos").alias(f"_p_{col}"))
     out = df.join(dom, F.col(col).cast("string") == F.col(f"_v_{col}"), "left")
     return out.withColumn(f"{col}_code", F.coalesce(F.col(f"_p_{col}"), fallback_pos).cast("int")).drop(
         f"_v_{col}", f"_p_{col}"
@@ -127,24 +172,25 @@ def _encode(df: DataFrame, col: str, cats: DataFrame, fallback_pos: Column) -> D
 def risk_features(scenarios: DataFrame, ctx: RiskContext) -> DataFrame:
     """M5: the 31 classifier features per scenario, categorical ones coded (F10),
     plus the scenario keys and the uncoded labels for display."""
-    d = F.col("input_date")
-    dow, month, dom, week = C.weekday(d), F.month(d), F.dayofmonth(d), C.iso_week(d)
+    # date features once per distinct date (a calendar-sized dimension), then joined
+    dates = materialize(date_features(scenarios.select("input_date").distinct(), "input_date"))
     base = scenarios.select(
         "*",
         F.lower(F.coalesce(F.col("location_type"), location_type("location_area"))).alias("_lt"),
-    )
+    ).join(broadcast_if_small(dates), ["input_date"], "left")
     # lookups with defaults only when the key is absent (Q9)
-    stats = ctx.city_stats.select(
+    small = broadcast_if_small
+    stats = small(ctx.city_stats).select(
         F.col("city").alias("_sc"), F.lit(True).alias("_known"), *[F.col(c).alias(f"_s_{c}") for c in LOOKUP_STAT_COLS]
     )
-    typical = ctx.hour_typical.select(
+    typical = small(ctx.hour_typical).select(
         F.col("city").alias("_tc"), F.col("hour").alias("_th"), F.lit(True).alias("_t_known"), "hour_typical_crime"
     )
-    div = ctx.hour_diversity.select(F.col("city").alias("_dc"), F.col("hour").alias("_dh"), "avg_crime_diversity")
+    div = small(ctx.hour_diversity).select(F.col("city").alias("_dc"), F.col("hour").alias("_dh"), "avg_crime_diversity")
     j = (
         base.join(stats, F.col("city") == F.col("_sc"), "left")
-        .join(ctx.loc_total.withColumnRenamed("location_area", "_lt_a"), F.col("location_area") == F.col("_lt_a"), "left")
-        .join(ctx.loc_daily.withColumnRenamed("location_area", "_ld_a"), F.col("location_area") == F.col("_ld_a"), "left")
+        .join(small(ctx.loc_total).withColumnRenamed("location_area", "_lt_a"), F.col("location_area") == F.col("_lt_a"), "left")
+        .join(small(ctx.loc_daily).withColumnRenamed("location_area", "_ld_a"), F.col("location_area") == F.col("_ld_a"), "left")
         .join(typical, (F.col("city") == F.col("_tc")) & (F.col("hour") == F.col("_th")), "left")
         .join(div, (F.col("city") == F.col("_dc")) & (F.col("hour") == F.col("_dh")), "left")
     )
@@ -154,17 +200,7 @@ def risk_features(scenarios: DataFrame, ctx: RiskContext) -> DataFrame:
     )
     feats = {
         **_cyc(F.col("hour"), 24, "hour"),
-        "dayofweek": dow,
-        **_cyc(dow, 7, "dow"),
-        "month": month,
-        **_cyc(month, 12, "month"),
-        "day_of_month": dom,
-        **_cyc(dom, 31, "day_of_month"),
-        "week_of_year": week,
-        **_cyc(week, 52, "week"),
-        "is_weekend": C.weekend_flags(d)["is_weekend"],
-        "is_holiday": C.is_holiday(d),
-        **C.payday_features(d),
+        **{c: F.col(c) for c in DATE_FEATURES},
         "is_university": is_university("city"),
         "crime_diversity": F.coalesce(F.col("avg_crime_diversity"), F.when(F.col("_dc").isNull(), F.lit(DEFAULT_DIVERSITY))),
         "location_daily_freq": F.when(F.col("_ld_a").isNull(), F.lit(DEFAULT_LOCATION_DAILY)).otherwise(
@@ -188,7 +224,7 @@ def risk_features(scenarios: DataFrame, ctx: RiskContext) -> DataFrame:
         *[v.alias(k) for k, v in feats.items()],
     )
     # validate the typical offense against its domain (first label, else 'Other')
-    htc_dom = ctx.htc_cats.select(F.col("value").alias("_hv"))
+    htc_dom = small(ctx.htc_cats).select(F.col("value").alias("_hv"))
     out = out.join(htc_dom, F.col("_htc_raw") == F.col("_hv"), "left")
     out = out.withColumn(
         "hour_typical_crime",
@@ -293,10 +329,16 @@ def with_softmax(df: DataFrame, classes: str, x: str, out: str) -> DataFrame:
     sum are each computed once per row (a lambda that referenced the logits
     expression would recompute it for every element).
     """
-    logits = F.transform(
-        F.col(classes),
-        lambda c: F.aggregate(F.zip_with(c["weights"], F.col(x), lambda a, b: a * b), c["intercept"], lambda acc, v: acc + v),
-    )
+    n = len(RISK_FEATURES)
+
+    def dot(c):
+        # unrolled over the fixed feature count: one flat expression per class
+        acc = c["intercept"]
+        for i in range(n):
+            acc = acc + F.try_element_at(c["weights"], F.lit(i + 1)) * F.try_element_at(F.col(x), F.lit(i + 1))
+        return acc
+
+    logits = F.transform(F.col(classes), dot)
     df = df.withColumn(f"_{out}_z", logits)
     df = df.withColumn(f"_{out}_m", F.array_max(f"_{out}_z"))
     df = df.withColumn(f"_{out}_e", F.transform(f"_{out}_z", lambda z: F.exp(z - F.col(f"_{out}_m"))))
@@ -396,7 +438,8 @@ def headline(scored: DataFrame) -> DataFrame:
 
 
 def scenarios_from_incidents(inc: DataFrame) -> DataFrame:
-    """Every recorded incident context as a what-if scenario (location type inferred)."""
+    """Every recorded incident context as a what-if scenario (location type
+    inferred); works on incident rows or their lookup summary."""
     return (
         inc.where(F.col("city").isNotNull() & F.col("location_area").isNotNull())
         .select("city", "location_area", "hour", F.col("date").alias("input_date"))

@@ -679,3 +679,60 @@ JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY city, location_ar
       FROM probs WHERE model = 'specific') WHERE rn = 1) s
 USING (city, location_area, hour, input_date)
 """
+
+
+# --- training, sources, streaming ---------------------------------------------------------
+
+SQL["rare_label_fold"] = with_() + """
+, params AS (SELECT CAST(max(date) - INTERVAL 365 DAY AS DATE) AS train_end FROM incidents),
+train AS (SELECT i.* FROM incidents i, params p WHERE i.date < p.train_end AND i.offense_category_name IS NOT NULL)
+SELECT offense_category_name, count(*) AS train_count,
+  CASE WHEN count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM train) < 0.02 THEN 'Other'
+       ELSE offense_category_name END AS folded
+FROM train GROUP BY offense_category_name
+""".replace("\n, params", ", params", 1)
+
+SQL["class_quality"] = with_(LOOKUP_CTES, RISK_CTES) + """
+, truth AS (
+  SELECT city, location_area, hour, date AS input_date,
+    CASE WHEN offense_category_name IN (""" + CLASSES_IN + """) THEN offense_category_name ELSE 'Other' END AS y13,
+    count(*) AS w
+  FROM incidents WHERE city IS NOT NULL AND location_area IS NOT NULL AND offense_category_name IS NOT NULL
+  GROUP BY ALL),
+spec AS (SELECT * FROM probs WHERE model = 'specific'),
+yhat AS (
+  SELECT city, location_area, hour, input_date, label AS yhat FROM (
+    SELECT *, row_number() OVER (PARTITION BY city, location_area, hour, input_date ORDER BY p DESC, pos ASC) AS rn
+    FROM spec) WHERE rn = 1),
+per AS (
+  SELECT t.city, t.location_area, t.hour, t.input_date, t.y13, t.w,
+    max(CASE WHEN s.label = t.y13 THEN s.p END) AS p_true,
+    sum((s.p - CASE WHEN s.label = t.y13 THEN 1.0 ELSE 0.0 END) ^ 2) AS brier
+  FROM truth t JOIN spec s USING (city, location_area, hour, input_date)
+  GROUP BY ALL),
+rows AS (SELECT per.*, y.yhat FROM per JOIN yhat y USING (city, location_area, hour, input_date)),
+classes AS (
+  SELECT c, sum(tp) AS tp, sum(t) AS support, sum(pp) AS predicted FROM (
+    SELECT y13 AS c, CASE WHEN y13 = yhat THEN w ELSE 0 END AS tp, w AS t, 0 AS pp FROM rows
+    UNION ALL SELECT yhat, 0, 0, w FROM rows) GROUP BY c)
+SELECT CAST(sum(w) AS BIGINT) AS n,
+  sum(CASE WHEN y13 = yhat THEN w ELSE 0 END) / CAST(sum(w) AS DOUBLE) AS accuracy,
+  (SELECT avg(CASE WHEN support + predicted > 0 THEN 2.0 * tp / (support + predicted) ELSE 0.0 END)
+   FROM classes WHERE support > 0) AS macro_f1,
+  sum(w * -ln(greatest(p_true, 1e-15))) / sum(w) AS log_loss,
+  sum(w * brier) / sum(w) AS brier
+FROM rows
+""".replace("\n, truth", ", truth", 1)
+
+SQL["bundle_daily_city"] = SQL["daily_city_filled"]
+SQL["bundle_offense_distribution"] = SQL["offense_distribution_partial"]
+
+SQL["per_city_index"] = with_() + """
+SELECT 'forecasters' AS asset_group, city, 'per_city/forecasters/' || city || '.parquet' AS path, true AS usable
+FROM (SELECT DISTINCT city FROM incidents WHERE city IS NOT NULL)
+UNION ALL
+SELECT 'classifiers', city, 'per_city/classifiers/' || city || '.parquet', true
+FROM (SELECT DISTINCT city FROM incidents WHERE city IS NOT NULL)
+"""
+
+SQL["streaming_daily_counts"] = SQL["daily_city_counts"]

@@ -194,17 +194,17 @@ def q_location_daily_mean(spark, sf):
 
 @register("hour_typical")
 def q_hour_typical(spark, sf):
-    return L.hour_typical(incidents(spark, sf))
+    return L.hour_typical(L.lookup_summary(incidents(spark, sf)))
 
 
 @register("hour_diversity")
 def q_hour_diversity(spark, sf):
-    return L.hour_diversity(incidents(spark, sf))
+    return L.hour_diversity(L.lookup_summary(incidents(spark, sf)))
 
 
 @register("domains")
 def q_domains(spark, sf):
-    return L.domains(incidents(spark, sf))
+    return L.domains(L.lookup_summary(incidents(spark, sf)))
 
 
 # --- scalar features: F1-F6, F9, J8 -----------------------------------------------
@@ -340,14 +340,14 @@ from blotter.operators import risk as R  # noqa: E402
 
 
 def _risk_scored(spark, sf) -> DataFrame:
-    inc = incidents(spark, sf)
+    inc = L.lookup_summary(incidents(spark, sf))
     feats = R.risk_features(R.scenarios_from_incidents(inc), R.context_from_incidents(inc))
     return R.score(feats, R.demo_classifiers(spark))
 
 
 @register("risk_features")
 def q_risk_features(spark, sf):
-    inc = incidents(spark, sf)
+    inc = L.lookup_summary(incidents(spark, sf))
     return R.risk_features(R.scenarios_from_incidents(inc), R.context_from_incidents(inc))
 
 
@@ -364,3 +364,86 @@ def q_risk_top5(spark, sf):
 @register("risk_headline")
 def q_risk_headline(spark, sf):
     return R.headline(_risk_scored(spark, sf))
+
+
+# --- training, backtest, evaluation: M10-M14 --------------------------------------------------
+
+from blotter.operators import train as TR  # noqa: E402
+from blotter.sources import bundle as BU  # noqa: E402
+from blotter.sources import model_index as MI  # noqa: E402
+from blotter.streaming import daily_counts as ST  # noqa: E402
+
+
+@register("rare_label_fold")
+def q_rare_label_fold(spark, sf):
+    inc = incidents(spark, sf)
+    train_end = inc.select(F.date_sub(F.max("date"), 365)).scalar()
+    return TR.rare_label_map(inc, train_end, min_share=0.02)
+
+
+@register("volume_model_fit")
+def q_volume_model_fit(spark, sf):
+    daily = _daily(spark, sf)
+    return TR.fit_volume_models(daily, train_end=F.date_sub(daily.select(F.max("date")).scalar(), 59))
+
+
+@register("risk_model_fit")
+def q_risk_model_fit(spark, sf):
+    inc = L.lookup_summary(incidents(spark, sf))
+    return TR.fit_risk_models(incidents(spark, sf), R.context_from_incidents(inc))
+
+
+@register("backtest")
+def q_backtest(spark, sf):
+    daily = _daily(spark, sf)
+    last = daily.select(F.max("date")).scalar()
+    origins = [F.date_sub(last, 89), F.date_sub(last, 59), F.date_sub(last, 29)]
+    return TR.backtest(daily, FC.demo_coefficients(spark), origins)
+
+
+@register("class_quality")
+def q_class_quality(spark, sf):
+    raw = incidents(spark, sf)
+    return TR.class_quality(_risk_scored(spark, sf), TR.truth_from_incidents(raw))
+
+
+# --- sources: S3-S7 round trips ------------------------------------------------------------
+
+
+def _bundle(spark, sf) -> dict:
+    from blotter.session import checkpoint_dir
+    import uuid
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/bundle-{uuid.uuid4().hex}"
+    BU.write_bundle(BU.bundle_from_incidents(incidents(spark, sf)), path, schema_version="2.1", model_version="demo")
+    tables = BU.load_tables(spark, path, None)
+    return tables
+
+
+@register("bundle_daily_city")
+def q_bundle_daily_city(spark, sf):
+    return _bundle(spark, sf)["daily_city"].select(
+        "date", "city", "crime_count", F.col("year").cast("int").alias("year"), *D.STAT_COLS
+    )
+
+
+@register("bundle_offense_distribution")
+def q_bundle_offense_distribution(spark, sf):
+    dist = _bundle(spark, sf)["crime_distribution"]
+    return H.offense_distribution(dist, year=1999, by=["city"]).withColumnRenamed("city", "City")
+
+
+@register("per_city_index")
+def q_per_city_index(spark, sf):
+    inc = incidents(spark, sf)
+    cities = inc.where(F.col("city").isNotNull()).select("city").distinct()
+    fore = cities.select("city", F.concat(F.lit("per_city/forecasters/"), "city", F.lit(".parquet")).alias("path"))
+    clf = cities.select("city", F.concat(F.lit("per_city/classifiers/"), "city", F.lit(".parquet")).alias("path"))
+    text = MI.build_index_json(fore, clf, list(FC.FORECAST_FEATURES))
+    entries = MI.index_entries(text.select(MI.parse_index(F.col("value")).alias("index")))
+    return entries
+
+
+@register("streaming_daily_counts")
+def q_streaming_daily_counts(spark, sf):
+    return ST.stream_incident_counts(spark, incidents(spark, sf))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,9 +44,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Write a small intermediate once (reliable checkpoint in the shared
-    ``spark.checkpoint.dir``) so several consumers read it instead of
-    re-running its lineage over the raw table; also cuts the lineage so a
-    lost executor does not replay the raw scan."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a small intermediate once as a Parquet table in the shared
+    ``spark.checkpoint.dir`` and read it back, so several consumers read it
+    instead of re-running its lineage over the raw table. This cuts the
+    lineage (a lost executor does not replay the raw scan), computes the plan
+    once (an RDD checkpoint runs it a second time to write), and keeps
+    columnar reads and size statistics for the planner."""
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/blotter-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def broadcast_if_small(df, max_rows: int = 1_000_000):
+    """Broadcast a lookup only behind a size check: its row count (cheap on a
+    materialised or domain-sized table) must be under ``max_rows``; beyond
+    that the join stays a shuffle join (and AQE may still convert it)."""
+    from pyspark.sql import functions as F
+
+    n = df.count()
+    return F.broadcast(df) if n <= max_rows else df
