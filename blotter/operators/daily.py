@@ -133,18 +133,22 @@ def daily_city(inc: DataFrame, backfill: str = BACKFILL_FRAME, dropna: bool = Tr
     dense = daily_city_dense(inc, s)
     stats = city_year_stats(inc, s)
     joined = dense.join(stats, ["city", "year"], "left").select("date", "city", "crime_count", "year", *STAT_COLS)
-    ff = joined.select(
-        "date", "city", "crime_count", "year", *[_ffill(c, "city", "date").alias(c) for c in STAT_COLS]
-    )
-    if backfill == BACKFILL_PER_CITY:
-        out = ff.select("date", "city", "crime_count", "year", *[_bfill(c, "city", "date").alias(c) for c in STAT_COLS])
-    elif backfill == BACKFILL_FRAME:
-        out = backfill_frame(ff, STAT_COLS)
-    else:
-        raise ValueError(f"unknown backfill mode: {backfill}")
+    out = fill_stats(joined, STAT_COLS, backfill)
     return materialize(out.na.drop("any") if dropna else out)
 
 
+def fill_stats(df: DataFrame, cols: list[str], backfill: str = BACKFILL_FRAME) -> DataFrame:
+    """W1 + W2 on a (date, city, ...) frame: forward fill per city by date, then
+    backward fill over the whole frame (or per city)."""
+    keep = [c for c in df.columns if c not in cols]
+    ff = df.select(*keep, *[_ffill(c, "city", "date").alias(c) for c in cols])
+    if backfill == BACKFILL_PER_CITY:
+        return ff.select(*keep, *[_bfill(c, "city", "date").alias(c) for c in cols]).select(*df.columns)
+    if backfill == BACKFILL_FRAME:
+        return backfill_frame(ff, cols).select(*df.columns)
+    raise ValueError(f"unknown backfill mode: {backfill}")
+
+
 def with_profile_columns(daily: DataFrame) -> DataFrame:
     """P14 / build_forecast_profiles: month, day_of_week (Monday 0, Q11), day_of_year."""
     return daily.withColumns(
