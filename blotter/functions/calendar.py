@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -150,29 +150,32 @@ def _nth_weekday(d: Column, month: int, wd: int, n: int, since: int | None) -> C
     return cond
 
 
+def _holiday_rules(d: Column) -> list[tuple[Column, str]]:
+    wd = weekday(d)
+    rules = [(_fixed_on(d, month, day, since), name) for name, month, day, since in FIXED_HOLIDAYS]
+    rules += [(_nth_weekday(d, month, wdn, n, since), name) for name, month, wdn, n, since in WEEKDAY_HOLIDAYS]
+    # Easter only matters in March/April; the guard short-circuits the computus elsewhere
+    rules.append((F.month(d).isin(3, 4) & (d == F.date_sub(easter(F.year(d)), 2)), GOOD_FRIDAY))
+    for name, month, day, since in FIXED_HOLIDAYS:
+        rules.append(((wd == 4) & _fixed_on(F.date_add(d, 1), month, day, since), f"{name} (observed)"))
+        rules.append(((wd == 0) & _fixed_on(F.date_sub(d, 1), month, day, since), f"{name} (observed)"))
+    return rules
+
+
 def holiday_name(d: Column | str) -> Column:
     """Name of the holiday on d (observed days get ' (observed)'), else null."""
-    d = _c(d)
-    wd = weekday(d)
     expr = None
-
-    def add(cond, name):
-        nonlocal expr
+    for cond, name in _holiday_rules(_c(d)):
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-
-    for name, month, day, since in FIXED_HOLIDAYS:
-        add(_fixed_on(d, month, day, since), name)
-    for name, month, wdn, n, since in WEEKDAY_HOLIDAYS:
-        add(_nth_weekday(d, month, wdn, n, since), name)
-    add(d == F.date_sub(easter(F.year(d)), 2), GOOD_FRIDAY)
-    for name, month, day, since in FIXED_HOLIDAYS:
-        add((wd == 4) & _fixed_on(F.date_add(d, 1), month, day, since), f"{name} (observed)")
-        add((wd == 0) & _fixed_on(F.date_sub(d, 1), month, day, since), f"{name} (observed)")
     return expr
 
 
 def is_holiday(d: Column | str) -> Column:
-    return holiday_name(d).isNotNull().cast("int")
+    """0/1: any rule matches (a plain disjunction, cheaper than the named CASE)."""
+    cond = None
+    for c, _ in _holiday_rules(_c(d)):
+        cond = c if cond is None else (cond | c)
+    return cond.cast("int")
 
 
 def holiday_flags(d: Column | str) -> dict[str, Column]:
@@ -185,6 +188,22 @@ def holiday_flags(d: Column | str) -> dict[str, Column]:
     }
 
 
+def holiday_flag_table(spark: SparkSession, first: Column, last: Column) -> DataFrame:
+    """J8 for a date range as a small table (date, is_holiday, is_day_before_holiday,
+    is_day_after_holiday): the predicate is evaluated once per day of the range
+    (plus one day each side) and the neighbour flags come from lead/lag over
+    the range, which is bounded by the horizon, not by the data."""
+    days = spark.range(1).select(F.explode(F.sequence(F.date_sub(first, 1), F.date_add(last, 1))).alias("date"))
+    h = days.select("date", is_holiday("date").alias("h"))
+    w = Window.orderBy("date")
+    return h.select(
+        "date",
+        F.col("h").alias("is_holiday"),
+        F.coalesce(F.lead("h").over(w), F.lit(0)).alias("is_day_before_holiday"),
+        F.coalesce(F.lag("h").over(w), F.lit(0)).alias("is_day_after_holiday"),
+    ).where((F.col("date") >= first) & (F.col("date") <= last))
+
+
 def holidays(spark: SparkSession, first_year: int | Column, last_year: int | Column) -> DataFrame:
     """The holiday dimension (date, name) for a year range; the range may be
     scalar-subquery Columns derived from data."""

@@ -301,8 +301,9 @@ def _model_per_city(cities: DataFrame, coefs: DataFrame, use_city_models: bool)
     return cities.select("city", global_coef.alias("coef"), F.lit(False).alias("use_city"))
 
 
-def static_features(date: Column, latest: Column) -> dict[str, Column]:
-    """M2's features that do not depend on earlier predictions."""
+def static_features(date: Column, latest: Column, holidays: dict[str, Column] | None = None) -> dict[str, Column]:
+    """M2's features that do not depend on earlier predictions (holiday flags
+    from a joined flag table when given, else from the predicate)."""
     dow = C.weekday(date)
     month = F.month(date)
     m_sin, m_cos = C.cyclic(month, 12)
@@ -317,7 +318,7 @@ def static_features(date: Column, latest: Column) -> dict[str, Column]:
         "month_cos": m_cos,
         "dow_sin": d_sin,
         "dow_cos": d_cos,
-        **C.holiday_flags(date),
+        **(holidays if holidays is not None else C.holiday_flags(date)),
     }
     for c in LOOKUP_STAT_COLS:
         feats[c] = latest[c]
@@ -342,8 +343,10 @@ def forecast_inputs(
     analog = analog_profile(history, tgt)
     model = _model_per_city(per_city.select("city"), coefs, use_city_models)
 
+    flags = C.holiday_flag_table(daily.sparkSession, origin, F.date_add(origin, steps - 1))
     days = (
         tgt.withColumn("month", F.month("date"))
+        .join(F.broadcast(flags), ["date"], "left")
         .withColumn("day_of_week", C.weekday("date"))
         .join(md, ["city", "month", "day_of_week"], "left")
         .join(dw, ["city", "day_of_week"], "left")
@@ -353,7 +356,8 @@ def forecast_inputs(
         .join(model, ["city"])
     )
     seasonal = F.coalesce("md_avg", "dow_avg", "city_avg")
-    feats = static_features(F.col("date"), F.col("latest"))
+    hol = {c: F.col(c) for c in ("is_holiday", "is_day_before_holiday", "is_day_after_holiday")}
+    feats = static_features(F.col("date"), F.col("latest"), hol)
     static = F.col("coef.intercept")
     for f in STATIC_FEATURES:
         static = static + F.col("coef")[f] * feats[f].cast("double")
