@@ -251,13 +251,14 @@ def _location_type_domain(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(v, i) for i, v in enumerate(LOCATION_TYPES)], "value string, pos int")
 
 
+def feature_columns(feats: DataFrame) -> list[Column]:
+    """The model inputs in RISK_FEATURES order (categoricals as codes), as doubles."""
+    return [(F.col(f"{f}_code") if f in CATEGORICAL else F.col(f)).cast("double") for f in RISK_FEATURES]
+
+
 def feature_vector(feats: DataFrame) -> Column:
-    """The model input in RISK_FEATURES order (categoricals as codes)."""
-    cols = []
-    for f in RISK_FEATURES:
-        c = F.col(f"{f}_code") if f in CATEGORICAL else F.col(f)
-        cols.append(c.cast("double"))
-    return F.array(*cols)
+    """The model input as one array (training rows)."""
+    return F.array(*feature_columns(feats))
 
 
 # --- classifier tables ---------------------------------------------------------------------
@@ -322,69 +323,101 @@ def _packed(models: DataFrame) -> DataFrame:
 # --- scoring (M6-M8, A28, F17) -------------------------------------------------------------
 
 
-def with_softmax(df: DataFrame, classes: str, x: str, out: str) -> DataFrame:
-    """Probabilities of a linear multinomial model: softmax(intercept + w . x).
+def _model_arrays(models: DataFrame) -> dict:
+    """The model artifact as numpy arrays: {(model, key): (b[k], W[k, f])}.
 
-    Staged projections: logits, their max, the shifted exponentials and their
-    sum are each computed once per row (a lambda that referenced the logits
-    expression would recompute it for every element).
-    """
-    n = len(RISK_FEATURES)
+    A model table is bounded by models x classes x features (not by data);
+    it is gathered once, like a fitted Spark ML model's coefficients, and
+    broadcast to the executors."""
+    import numpy as np
 
-    def dot(c):
-        # unrolled over the fixed feature count: one flat expression per class
-        acc = c["intercept"]
-        for i in range(n):
-            acc = acc + F.try_element_at(c["weights"], F.lit(i + 1)) * F.try_element_at(F.col(x), F.lit(i + 1))
-        return acc
+    out: dict = {}
+    for r in models.select("model", "city", "class_id", "intercept", "weights").collect():
+        out.setdefault((r["model"], r["city"] or ""), []).append((r["class_id"], r["intercept"], r["weights"]))
+    arrays = {}
+    for key, rows in out.items():
+        rows.sort(key=lambda t: t[0])
+        arrays[key] = (
+            np.array([t[1] for t in rows], dtype="float64"),
+            np.array([t[2] for t in rows], dtype="float64"),
+        )
+    return arrays
 
-    logits = F.transform(F.col(classes), dot)
-    df = df.withColumn(f"_{out}_z", logits)
-    df = df.withColumn(f"_{out}_m", F.array_max(f"_{out}_z"))
-    df = df.withColumn(f"_{out}_e", F.transform(f"_{out}_z", lambda z: F.exp(z - F.col(f"_{out}_m"))))
-    df = df.withColumn(f"_{out}_t", F.aggregate(f"_{out}_e", F.lit(0.0), lambda acc, v: acc + v))
-    df = df.withColumn(out, F.transform(f"_{out}_e", lambda e: e / F.col(f"_{out}_t")))
-    return df.drop(f"_{out}_z", f"_{out}_m", f"_{out}_e", f"_{out}_t")
 
+def _softmax_rows(z):
+    import numpy as np
 
-def score(feats: DataFrame, models: DataFrame) -> DataFrame:
-    """M8 per scenario: broad and specific probability arrays, labels, model source.
+    z = z - z.max(axis=1, keepdims=True)
+    e = np.exp(z)
+    return e / e.sum(axis=1, keepdims=True)
 
-    The specific model is the city's own when present (J5), else the statewide
-    one. The packed model table has one row per (model, city) -- its size is
-    bounded by the number of models, not the data -- so it is broadcast: an
-    equi-join on city for city models and on a constant key for the
-    statewide rows.
+
+def score(feats: DataFrame, models: DataFrame) -> DataFrame:
+    """M8 per scenario: broad and specific probability arrays, label arrays, model source.
+
+    Scoring is an Arrow-batched ``mapInPandas``: per batch one matrix product
+    per model key and a softmax in numpy (unrolled column arithmetic over 16
+    classes x 31 features exceeds the JVM method size for generated code, and
+    array lambdas are interpreted). The specific model is the city's own when
+    present (J5), else the statewide one. Label arrays are joined back by
+    model key (a broadcast of the bounded model table).
     """
-    packed = F.broadcast(_packed(models))
-    state_key = F.lit("")
-    broad = packed.where((F.col("model") == "broad") & F.col("city").isNull()).select(
-        state_key.alias("_bk"), F.col("classes").alias("broad_classes")
-    )
-    state = packed.where((F.col("model") == "specific") & F.col("city").isNull()).select(
-        state_key.alias("_sk"), F.col("classes").alias("_state_classes")
-    )
-    city_models = packed.where((F.col("model") == "specific") & F.col("city").isNotNull()).select(
-        F.col("city").alias("_mc"), F.col("classes").alias("_city_classes")
+    import numpy as np
+    import pandas as pd
+
+    spark = feats.sparkSession
+    arrays = _model_arrays(models)
+    bc = spark.sparkContext.broadcast(arrays)
+    xcols = [f"_x{i}" for i in range(len(RISK_FEATURES))]
+    x = feature_columns(feats)
+    inp = feats.select(*SCENARIO_KEYS, *[c.alias(n) for c, n in zip(x, xcols)])
+    out_schema = (
+        "city string, location_area string, hour int, input_date date, s_key string, "
+        "broad_probs array<double>, specific_probs array<double>"
     )
-    x = feature_vector(feats)
-    j = (
-        feats.select(*SCENARIO_KEYS, x.alias("_x"), state_key.alias("_bk"), state_key.alias("_sk"))
-        .join(broad, ["_bk"])
-        .join(state, ["_sk"])
-        .join(city_models, F.col("city") == F.col("_mc"), "left")
+
+    def run(batches):
+        mdl = bc.value
+        bb, bw = mdl[("broad", "")]
+        spec_keys = {k for (m, k) in mdl if m == "specific" and k}
+        for pdf in batches:
+            xm = pdf[xcols].to_numpy(dtype="float64", na_value=np.nan)
+            pb = _softmax_rows(xm @ bw.T + bb)
+            key = np.where(pdf["city"].isin(spec_keys).to_numpy(), pdf["city"].to_numpy(dtype=object), "")
+            ps = np.empty((len(pdf), len(mdl[("specific", "")][0])))
+            for k in pd.unique(key):
+                idx = key == k
+                sb, sw = mdl[("specific", k)]
+                ps[idx] = _softmax_rows(xm[idx] @ sw.T + sb)
+            yield pd.DataFrame(
+                {
+                    "city": pdf["city"],
+                    "location_area": pdf["location_area"],
+                    "hour": pdf["hour"],
+                    "input_date": pdf["input_date"],
+                    "s_key": key,
+                    "broad_probs": list(pb),
+                    "specific_probs": list(ps),
+                }
+            )
+
+    scored = inp.mapInPandas(run, out_schema)
+    packed = _packed(models)
+    labels = F.transform("classes", lambda c: _label(c))
+    broad_labels = packed.where((F.col("model") == "broad") & F.col("city").isNull()).select(labels.alias("l")).scalar()
+    spec_labels = F.broadcast(
+        packed.where(F.col("model") == "specific").select(
+            F.coalesce(F.col("city"), F.lit("")).alias("s_key"), labels.alias("specific_labels")
+        )
     )
-    spec = F.coalesce(F.col("_city_classes"), F.col("_state_classes"))
-    j = j.select(
+    return scored.join(spec_labels, ["s_key"]).select(
         *SCENARIO_KEYS,
-        F.when(F.col("_mc").isNotNull(), F.lit(SOURCE_CITY)).otherwise(F.lit(SOURCE_STATE)).alias("model_source"),
-        "_x",
-        "broad_classes",
-        spec.alias("specific_classes"),
+        F.when(F.col("s_key") != "", F.lit(SOURCE_CITY)).otherwise(F.lit(SOURCE_STATE)).alias("model_source"),
+        broad_labels.alias("broad_labels"),
+        "specific_labels",
+        "broad_probs",
+        "specific_probs",
     )
-    j = with_softmax(j, "broad_classes", "_x", "broad_probs")
-    j = with_softmax(j, "specific_classes", "_x", "specific_probs")
-    return j.drop("_x")
 
 
 def _label(cls: Column) -> Column:
@@ -394,19 +427,23 @@ def _label(cls: Column) -> Column:
 
 def probabilities(scored: DataFrame) -> DataFrame:
     """M9: one row per (scenario, model, class) with its probability; both
-    models are exploded in the same pass over the scored rows."""
-
-    def tagged(model: str, cls: str, probs: str) -> Column:
-        z = F.arrays_zip(F.col(cls).alias("c"), F.col(probs).alias("p"))
-        return F.transform(
-            z,
-            lambda cp, i: F.struct(
-                F.lit(model).alias("model"), i.alias("pos"), _label(cp["c"]).alias("label"), cp["p"].alias("Probability")
-            ),
-        )
-
-    rows = F.concat(tagged("broad", "broad_classes", "broad_probs"), tagged("specific", "specific_classes", "specific_probs"))
-    return scored.select(*SCENARIO_KEYS, F.inline(rows))
+    models are exploded in the same pass over the scored rows (unrolled over
+    the fixed class counts, no lambdas)."""
+    items = []
+    for model, cls, probs, n in (
+        ("broad", "broad_labels", "broad_probs", len(BROAD_CLASSES)),
+        ("specific", "specific_labels", "specific_probs", len(OFFENSE_CLASSES)),
+    ):
+        for k in range(n):
+            items.append(
+                F.struct(
+                    F.lit(model).alias("model"),
+                    F.lit(k).alias("pos"),
+                    F.element_at(F.col(cls), k + 1).alias("label"),
+                    F.element_at(F.col(probs), k + 1).alias("Probability"),
+                )
+            )
+    return scored.select(*SCENARIO_KEYS, F.inline(F.array(*items)))
 
 
 def top_specific(scored: DataFrame, n: int = TOP_SPECIFIC) -> DataFrame:
@@ -425,15 +462,15 @@ def headline(scored: DataFrame) -> DataFrame:
         p = F.col(probs)
         idx = F.array_position(p, F.array_max(p))
         return [
-            _label(F.element_at(F.col(cls), idx.cast("int"))).alias(f"{prefix}_label"),
+            F.element_at(F.col(cls), idx.cast("int")).alias(f"{prefix}_label"),
             F.array_max(p).alias(f"{prefix}_probability"),
         ]
 
     return scored.select(
         *SCENARIO_KEYS,
         "model_source",
-        *best("broad_classes", "broad_probs", "broad"),
-        *best("specific_classes", "specific_probs", "specific"),
+        *best("broad_labels", "broad_probs", "broad"),
+        *best("specific_labels", "specific_probs", "specific"),
     )
 
 
