@@ -736,3 +736,10 @@ FROM (SELECT DISTINCT city FROM incidents WHERE city IS NOT NULL)
 """
 
 SQL["streaming_daily_counts"] = SQL["daily_city_counts"]
+
+SQL["forecast_holiday_points"] = with_recursive(DAILY_CTES, _forecast_ctes()) + "SELECT * FROM forecast WHERE is_holiday = 1"
+SQL["risk_class_order"] = with_(LOOKUP_CTES, RISK_CTES) + """
+SELECT model, label, total_probability,
+  CAST(row_number() OVER (PARTITION BY model ORDER BY total_probability DESC, label ASC) AS INTEGER) AS rank
+FROM (SELECT model, label, sum(p) AS total_probability FROM probs GROUP BY model, label)
+"""

@@ -447,3 +447,18 @@ def q_per_city_index(spark, sf):
 @register("streaming_daily_counts")
 def q_streaming_daily_counts(spark, sf):
     return ST.stream_incident_counts(spark, incidents(spark, sf))
+
+
+# --- report pieces: P9, A30 -----------------------------------------------------------------
+
+from blotter.plans import reports as RP  # noqa: E402
+
+
+@register("forecast_holiday_points")
+def q_forecast_holiday_points(spark, sf):
+    return FC.holiday_points(_forecast(spark, sf))
+
+
+@register("risk_class_order")
+def q_risk_class_order(spark, sf):
+    return RP.class_order(R.probabilities(_risk_scored(spark, sf)))
