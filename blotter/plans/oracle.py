@@ -271,16 +271,16 @@ hour_diversity AS (
 SQL["hour_typical"] = with_(LOOKUP_CTES) + "SELECT * FROM hour_typical"
 SQL["hour_diversity"] = with_(LOOKUP_CTES) + "SELECT * FROM hour_diversity"
 SQL["domains"] = with_(LOOKUP_CTES) + """
-SELECT 'city' AS domain, v AS value, row_number() OVER (ORDER BY v) - 1 AS pos
+SELECT 'city' AS domain, v AS value, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS pos
 FROM (SELECT DISTINCT city AS v FROM incidents WHERE city IS NOT NULL)
 UNION ALL
-SELECT 'location_area', v, row_number() OVER (ORDER BY v) - 1
+SELECT 'location_area', v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER)
 FROM (SELECT DISTINCT location_area AS v FROM incidents WHERE location_area IS NOT NULL)
 UNION ALL
-SELECT 'hour_typical_crime', v, row_number() OVER (ORDER BY v) - 1
+SELECT 'hour_typical_crime', v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER)
 FROM (SELECT DISTINCT hour_typical_crime AS v FROM hour_typical WHERE hour_typical_crime IS NOT NULL)
 UNION ALL
-SELECT 'year', CAST(v AS VARCHAR), row_number() OVER (ORDER BY v DESC) - 1
+SELECT 'year', CAST(v AS VARCHAR), CAST(row_number() OVER (ORDER BY v DESC) - 1 AS INTEGER)
 FROM (SELECT DISTINCT year AS v FROM incidents)
 """
 
@@ -322,7 +322,7 @@ FROM (SELECT DISTINCT offense_category_name FROM incidents)
 SQL["payday_features"] = with_() + """
 SELECT date,
   CAST(day(date) IN (1, 15) OR day(date) = day(last_day(date)) AS INTEGER) AS is_payday,
-  least(abs(day(date) - 1), abs(day(date) - 15), abs(day(date) - day(last_day(date)))) AS days_from_payday
+  CAST(least(abs(day(date) - 1), abs(day(date) - 15), abs(day(date) - day(last_day(date)))) AS INTEGER) AS days_from_payday
 FROM (SELECT DISTINCT date FROM incidents)
 """
 
@@ -407,7 +407,8 @@ FORECAST_CTES = """
 params AS (SELECT CAST(max(date) + INTERVAL 1 DAY AS DATE) AS origin FROM daily_city),
 hist AS (
   SELECT h.date, h.city, h.crime_count, h.population, h.total_officers, h.officers_per_1000_people,
-    h.crime_rate_per_1000_people, month(h.date) AS month, isodow(h.date) - 1 AS dow, dayofyear(h.date) AS doy
+    h.crime_rate_per_1000_people, CAST(month(h.date) AS INTEGER) AS month, CAST(isodow(h.date) - 1 AS INTEGER) AS dow,
+    CAST(dayofyear(h.date) AS INTEGER) AS doy
   FROM daily_city h, params p WHERE h.date < p.origin),
 city_avg AS (SELECT city, avg(crime_count) AS city_avg FROM hist GROUP BY city),
 md AS (SELECT city, month, dow, avg(crime_count) AS md_avg FROM hist GROUP BY ALL),
