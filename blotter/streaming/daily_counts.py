@@ -20,13 +20,24 @@ from blotter.session import checkpoint_dir
 EVENT_SCHEMA = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("city", T.StringType())])
 
 
+def day_start_utc(d):
+    """A date's midnight UTC as an instant, whatever the session time zone (1-day
+    windows are aligned to UTC epoch days)."""
+    return F.timestamp_seconds(F.unix_date(d).cast("long") * F.lit(86400))
+
+
+def _epoch_day(ts):
+    """The UTC epoch day of an instant, as a date (time-zone independent)."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / F.lit(86400)).cast("int"))
+
+
 def daily_counts_stream(events: DataFrame, watermark: str = "2 days") -> DataFrame:
     """Windowed, watermarked count per (day, city) of a streaming (ts, city) frame."""
     return (
         events.withWatermark("ts", watermark)
         .groupBy(F.window("ts", "1 day").alias("w"), "city")
         .agg(F.count(F.lit(1)).alias("crime_count"))
-        .select(F.to_date(F.col("w.start")).alias("date"), "city", "crime_count")
+        .select(_epoch_day(F.col("w.start")).alias("date"), "city", "crime_count")
     )
 
 
@@ -63,7 +74,7 @@ def stream_incident_counts(spark: SparkSession, incidents: DataFrame, watermark:
     src = f"{base}/stream-src-{uuid.uuid4().hex}"
     out = f"{base}/stream-out-{uuid.uuid4().hex}"
     incidents.where(F.col("city").isNotNull()).select(
-        F.col("date").cast("timestamp").alias("ts"), "city"
+        day_start_utc(F.col("date")).alias("ts"), "city"
     ).write.parquet(src)
     run_daily_counts(spark, src, out, watermark)
     return current_counts(spark, out)
