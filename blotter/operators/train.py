@@ -27,16 +27,24 @@ from blotter.operators import forecast as FC
 from blotter.operators import risk as R
 from blotter.schema import BROAD_CLASSES, FORECAST_FEATURES, LOOKUP_STAT_COLS, OFFENSE_CLASSES
 from blotter.functions.features import broad_class, offense_class
+from blotter.session import broadcast_if_small
 
 # --- M10: volume models ----------------------------------------------------------------
 
 
 def volume_training_rows(daily: DataFrame) -> DataFrame:
     """M2 features for every real day (history windows W3-W5 + calendar + staffing)."""
+    from blotter.functions import calendar as C
+
     hist = FC.history_features(daily)
     stats = daily.select("date", "city", *LOOKUP_STAT_COLS)
-    rows = hist.join(stats, ["date", "city"])
-    feats = FC.static_features(F.col("date"), F.struct(*[F.col(c) for c in LOOKUP_STAT_COLS]))
+    # holiday flags from a calendar-sized table (one row a day of the range), not per row
+    lo = daily.select(F.min("date")).scalar()
+    hi = daily.select(F.max("date")).scalar()
+    flags = C.holiday_flag_table(daily.sparkSession, lo, hi)
+    rows = hist.join(stats, ["date", "city"]).join(broadcast_if_small(flags), ["date"], "left")
+    hol = {c: F.col(c) for c in ("is_holiday", "is_day_before_holiday", "is_day_after_holiday")}
+    feats = FC.static_features(F.col("date"), F.struct(*[F.col(c) for c in LOOKUP_STAT_COLS]), hol)
     return rows.select(
         "date",
         "city",
@@ -62,8 +70,14 @@ def fit_global_volume(rows: DataFrame, reg: float = 1e-3) -> DataFrame:
     return spark.createDataFrame([(None, float(model.intercept), *coefs)], FC.coefficient_schema())
 
 
-def gram_per_city(rows: DataFrame) -> DataFrame:
-    """X'X and X'y per city in one aggregation (with the intercept column)."""
+def gram_per_city(rows: DataFrame, chunk: int = 64) -> DataFrame:
+    """X'X and X'y per city (with the intercept column), as partial-then-final
+    sums. The ~435 sums are split into aggregations of ``chunk`` sums each (one
+    aggregate over all of them outgrows the generated-code method limit) over
+    the materialised training rows (days x cities), joined on city."""
+    from blotter.session import materialize
+
+    data = materialize(rows.na.drop())
     xs = [F.lit(1.0)] + [F.col(f) for f in FORECAST_FEATURES]
     k = len(xs)
     sums = []
@@ -71,7 +85,10 @@ def gram_per_city(rows: DataFrame) -> DataFrame:
         for j in range(i, k):
             sums.append(F.sum(xs[i] * xs[j]).alias(f"g_{i}_{j}"))
         sums.append(F.sum(xs[i] * F.col("label")).alias(f"b_{i}"))
-    return rows.na.drop().groupBy("city").agg(F.count(F.lit(1)).alias("n"), *sums)
+    out = data.groupBy("city").agg(F.count(F.lit(1)).alias("n"))
+    for start in range(0, len(sums), chunk):
+        out = out.join(data.groupBy("city").agg(*sums[start : start + chunk]), ["city"])
+    return out
 
 
 def fit_city_volume(rows: DataFrame, reg: float = 1e-3) -> DataFrame:
