@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from blotter.functions import calendar as C
 from blotter.functions.features import is_university, location_type
 from blotter.operators import lookups as L
-from blotter.session import broadcast_if_small, materialize
+from blotter.session import broadcast_if_small, materialize, materialize_all
 from blotter.schema import (
     BROAD_CLASSES,
     DEFAULT_DIVERSITY,
@@ -82,17 +82,20 @@ def context_from_incidents(inc: DataFrame) -> RiskContext:
 
     Each table is domain-sized (cities, locations, cities x hours) and is
     materialised once, so the scenario join reads it instead of re-deriving it."""
-    typical = materialize(L.hour_typical(inc))
-    return RiskContext(
-        city_stats=materialize(L.city_stats_last(inc)),
-        loc_total=materialize(L.location_totals(inc)),
-        loc_daily=materialize(L.location_daily_mean(inc)),
-        hour_typical=typical,
-        hour_diversity=materialize(L.hour_diversity(inc)),
-        city_cats=materialize(_ranked_domain(inc, "city")),
-        loc_cats=materialize(_ranked_domain(inc, "location_area")),
-        htc_cats=materialize(_ranked_domain(typical, "hour_typical_crime")),
+    typical = L.hour_typical(inc)
+    t = materialize_all(
+        {
+            "city_stats": L.city_stats_last(inc),
+            "loc_total": L.location_totals(inc),
+            "loc_daily": L.location_daily_mean(inc),
+            "hour_typical": typical,
+            "hour_diversity": L.hour_diversity(inc),
+            "city_cats": _ranked_domain(inc, "city"),
+            "loc_cats": _ranked_domain(inc, "location_area"),
+            "htc_cats": _ranked_domain(typical, "hour_typical_crime"),
+        }
     )
+    return RiskContext(**t)
 
 
 def context_from_bundle(spark: SparkSession, daily: DataFrame, location_areas: DataFrame) -> RiskContext:

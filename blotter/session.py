@@ -65,3 +65,14 @@ def broadcast_if_small(df, max_rows: int = 1_000_000):
 
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def materialize_all(frames: dict, max_workers: int = 8) -> dict:
+    """``materialize`` several independent small intermediates as concurrent
+    Spark jobs (one driver thread each), so their few tasks share the cluster
+    instead of running one job after another."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        futures = {k: pool.submit(materialize, v) for k, v in frames.items()}
+        return {k: f.result() for k, f in futures.items()}
