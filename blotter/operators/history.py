@@ -80,17 +80,8 @@ def incident_total(
     return scoped.groupBy(*by).agg(agg)
 
 
-def align_to_classes(dist: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """F8 + A23 + J3: fold 'Crime Type' into the 13 classes, sum per scope and
-    complete every scope onto all 13 classes with 0.
-
-    One aggregation: a pivot on the fixed 13 folded values, then an unpivot.
-    Scopes with no rows produce no rows (the reference skips empty scopes).
-    """
-    by = list(by or [])
-    folded = dist.withColumn("_class", offense_class("Crime Type"))
-    grp = folded.groupBy(*by) if by else folded.groupBy()
-    wide = grp.pivot("_class", OFFENSE_CLASSES).agg(F.sum("Count").cast("long"))
+def _stack_classes(wide: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., one column per class) -> (by..., 'Crime Type', 'Count'), missing -> 0."""
     stack = F.explode(
         F.array(
             *[
@@ -99,7 +90,26 @@ def align_to_classes(dist: DataFrame, by: list[str] | None = None) -> DataFrame:
             ]
         )
     ).alias("_kv")
-    out = wide.select(*by, stack).select(*by, "_kv.*")
+    return wide.select(*by, stack).select(*by, "_kv.*")
+
+
+def _class_sums(df: DataFrame, label: str, weight, by: list[str]) -> DataFrame:
+    """One aggregation of 13 conditional sums (a pivot with explicit values
+    would run two: group by the pivot column, then PivotFirst)."""
+    folded = offense_class(label)
+    sums = [F.sum(F.when(folded == F.lit(c), weight)).alias(c) for c in OFFENSE_CLASSES]
+    return df.groupBy(*by).agg(*sums)
+
+
+def align_to_classes(dist: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """F8 + A23 + J3: fold 'Crime Type' into the 13 classes, sum per scope and
+    complete every scope onto all 13 classes with 0.
+
+    One aggregation of conditional sums, then a 13-way stack per scope.
+    Scopes with no rows produce no rows (the reference skips empty scopes).
+    """
+    by = list(by or [])
+    out = _stack_classes(_class_sums(dist, "Crime Type", F.col("Count"), by), by)
     if not by:
         # a statewide frame with no rows stays empty
         nonempty = dist.select(F.count(F.lit(1)).alias("_n"))
@@ -113,8 +123,16 @@ def class_distribution(
     year: int | str | None = ALL_YEARS,
     by: list[str] | None = None,
 ) -> DataFrame:
-    """Distribution folded onto the 13 classes, per scope, in one pass over the input."""
-    return align_to_classes(offense_distribution(df, city, year, by=by), by=by)
+    """Distribution folded onto the 13 classes, per scope: A4/A5 + F8 + A23 + J3
+    in a single aggregation over the input rows (null offenses dropped)."""
+    by = list(by or [])
+    scoped = filter_scope(df, city, year).where(F.col("offense_category_name").isNotNull())
+    weight = F.col("count") if _is_partial(df) else F.lit(1)
+    out = _stack_classes(_class_sums(scoped, "offense_category_name", weight, by), by)
+    if not by:
+        nonempty = scoped.select(F.count(F.lit(1)).alias("_n"))
+        out = out.where(nonempty.scalar() > 0)
+    return out
 
 
 def class_pivot(aligned: DataFrame, city_col: str = "City") -> DataFrame:
