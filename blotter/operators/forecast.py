@@ -112,8 +112,13 @@ def demo_coefficients(spark: SparkSession) -> DataFrame:
 
 
 def origin_after_last_day(daily: DataFrame) -> Column:
-    """Default origin for tests: the day after the last day of data (scalar subquery)."""
-    return F.date_add(daily.select(F.max("date")).scalar(), 1)
+    """Default origin for tests: the day after the last day of data.
+
+    The origin is the forecast's one parameter value, so it is evaluated once
+    (a single date from a global max) and passed as a literal; as a scalar
+    subquery it would be re-planned at each of its many uses."""
+    last = daily.select(F.max("date").alias("d")).first()["d"]
+    return F.date_add(F.lit(last), 1)
 
 
 def forecast_history(daily: DataFrame, origin: Column) -> DataFrame:
