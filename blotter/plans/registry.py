@@ -396,7 +396,7 @@ def q_risk_model_fit(spark, sf):
 @register("backtest")
 def q_backtest(spark, sf):
     daily = _daily(spark, sf)
-    last = daily.select(F.max("date")).scalar()
+    last = F.lit(daily.select(F.max("date").alias("d")).first()["d"])  # one value, used in many places
     origins = [F.date_sub(last, 89), F.date_sub(last, 59), F.date_sub(last, 29)]
     return TR.backtest(daily, FC.demo_coefficients(spark), origins)
 
