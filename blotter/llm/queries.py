@@ -6,24 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.llm import token_counts, url_rules
+from blotter.llm import near_dups, quality_gbt, secrets_markov, token_counts, url_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return quality_gbt.quality_scores(docs, quality_gbt.fit(docs, _read(spark, sf_dir, "labels")))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_read(spark, sf_dir, "documents"))
 
 
+def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.components(_read(spark, sf_dir, "documents"))
+
+
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.url_verdicts(_read(spark, sf_dir, "pages"))
 
 
+def op9_secrets_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return secrets_markov.secret_spans(docs, secrets_markov.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_gbt": op1_quality_gbt,
     "op2_token_counts": op2_token_counts,
+    "op3_near_dups": op3_near_dups,
     "op7_url_rules": op7_url_rules,
+    "op9_secrets_markov": op9_secrets_markov,
 }
 
 SQL: dict[str, str] = {"op7_url_rules": url_rules.verdict_sql()}
