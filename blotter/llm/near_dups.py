@@ -127,13 +127,13 @@ def _candidates(classes: DataFrame) -> DataFrame:
     at = classes.select("id", "n", F.posexplode("keys").alias("pos", "key")).select(
         "id", "n", "key", (F.col("pos") % levels).alias("level"), "pos"
     )
-    first = F.struct(F.xxhash64("id", F.lit(1)), "id", "n")
+    first = F.struct(F.xxhash64("id", F.lit(1)).alias("by"), "id", "n")
     nodes = at.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"),
-        F.min(F.struct("id", "id", "n")).alias("l0"),
+        F.min(F.struct(F.col("id").alias("by"), "id", "n")).alias("l0"),
         F.min(first).alias("l1"),
         F.max(first).alias("l2"),
-        F.max(F.struct("n", "id", "n")).alias("l3"),
+        F.max(F.struct(F.col("n").alias("by"), "id", "n")).alias("l3"),
     )
     nodes = materialize(nodes.where("size > 1"))
     large = nodes.where(F.col("size") > SMALL)
@@ -241,8 +241,8 @@ def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent:
     sets = materialize(sets.where(F.length("items") > 0))
     # each class with its likeliest partner, then the candidates that this left unconnected
     ways = pairs.select("a", "b", "est", F.explode(F.array("a", "b")).alias("end"))
-    best = ways.groupBy("end").agg(F.max(F.struct("est", F.struct(-F.col("a"), -F.col("b")).alias("p"))).alias("m"))
-    best = best.select((-F.col("m.p.col1")).alias("a"), (-F.col("m.p.col2")).alias("b")).distinct()
+    best = ways.groupBy("end").agg(F.max(F.struct("est", "a", "b")).alias("m"))
+    best = materialize(best.select("m.a", "m.b").distinct())
     done = materialize(_confirmed(best, sets, percent).distinct())
     label = connected(done)
     rest = (
