@@ -63,13 +63,17 @@ def map_docs(
             out = rows(state, *[batch.column(i).to_pylist() for i in range(len(columns))])
             first = batch.column(0)
             arrays = [
-                first.cast(f.type) if i == 0 else pa.array(out[f.name], f.type) for i, f in enumerate(target)
+                first.cast(f.type) if i == 0 else _column(out[f.name], f.type) for i, f in enumerate(target)
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema=target)
 
     return docs.select(*[docs[c] for c in columns]).mapInArrow(run, schema)
 
 
+def _column(values: list | pa.Array, kind: pa.DataType) -> pa.Array:
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
+
+
 def _arrow_schema(docs: DataFrame, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.llm import near_dups, quality_gbt, secrets_markov, token_counts, url_rules
+from blotter.llm import html_blocks, near_dups, quality_gbt, secrets_markov, spm_viterbi, token_counts, url_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,10 +26,18 @@ def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.components(_read(spark, sf_dir, "documents"))
 
 
+def op4_spm_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm_viterbi.encode(_read(spark, sf_dir, "documents"))
+
+
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.url_verdicts(_read(spark, sf_dir, "pages"))
 
 
+def op8_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(_read(spark, sf_dir, "pages"))
+
+
 def op9_secrets_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return secrets_markov.secret_spans(docs, secrets_markov.fit(docs))
@@ -39,7 +47,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gbt": op1_quality_gbt,
     "op2_token_counts": op2_token_counts,
     "op3_near_dups": op3_near_dups,
+    "op4_spm_viterbi": op4_spm_viterbi,
     "op7_url_rules": op7_url_rules,
+    "op8_html_blocks": op8_html_blocks,
     "op9_secrets_markov": op9_secrets_markov,
 }
 
