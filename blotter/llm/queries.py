@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.llm import html_blocks, near_dups, quality_gbt, secrets_markov, spm_viterbi, token_counts, url_rules
+from blotter.llm import html_blocks, latent_leaks, near_dups, quality_gbt, secrets_markov, spm_viterbi, token_counts, url_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op9_secrets_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_markov.secret_spans(docs, secrets_markov.fit(docs))
 
 
+def op10_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent_leaks.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gbt": op1_quality_gbt,
     "op2_token_counts": op2_token_counts,
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_rules": op7_url_rules,
     "op8_html_blocks": op8_html_blocks,
     "op9_secrets_markov": op9_secrets_markov,
+    "op10_latent_leaks": op10_latent_leaks,
 }
 
 SQL: dict[str, str] = {"op7_url_rules": url_rules.verdict_sql()}
