@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.llm import html_blocks, latent_leaks, near_dups, quality_gbt, secrets_markov, spm_viterbi, token_counts, url_rules
+from blotter.llm import html_blocks, latent_leaks, license_align, near_dups, pii_lstm, quality_gbt, secrets_markov, spm_viterbi, token_counts, url_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,6 +30,15 @@ def op4_spm_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm_viterbi.encode(_read(spark, sf_dir, "documents"))
 
 
+def op5_pii_lstm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return pii_lstm.personal_spans(docs, pii_lstm.fit(docs))
+
+
+def op6_license_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_align.licenses(_read(spark, sf_dir, "documents"))
+
+
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.url_verdicts(_read(spark, sf_dir, "pages"))
 
@@ -52,6 +61,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_near_dups": op3_near_dups,
     "op4_spm_viterbi": op4_spm_viterbi,
+    "op5_pii_lstm": op5_pii_lstm,
+    "op6_license_align": op6_license_align,
     "op7_url_rules": op7_url_rules,
     "op8_html_blocks": op8_html_blocks,
     "op9_secrets_markov": op9_secrets_markov,
