@@ -43,7 +43,7 @@ RANK = 48
 LEAST_COSINE = 0.35
 #: Items of fewer than SHORT words fill a passage less, so their cosines spread wider.
 SHORT = 24
-LEAST_COSINE_SHORT = 0.15
+LEAST_COSINE_SHORT = 0.1
 #: Features of more than this share of the blocks (and COMMON_BLOCKS of them) have weight 0.
 COMMON = 0.01
 COMMON_BLOCKS = 50
@@ -109,11 +109,29 @@ class Blocks:
     def project(self, table: np.ndarray) -> np.ndarray:
         """Sum of the table's rows over each block's words."""
         out = np.empty((len(self.text), table.shape[1]), np.float32)
+        weighted = table.any(axis=1)
         for s in self.steps():
-            lo, hi = self.start[s][0], self.end[s][-1]
-            out[s] = np.add.reduceat(table[self.words[lo:hi] & (BUCKETS - 1)], self.start[s] - lo, axis=0)
+            feature, size = self.features(s, weighted)
+            out[s] = sums(table[feature], size)
         return out
 
+    def features(self, s: slice, weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The weighted features of a step's words, and how many each block has."""
+        lo = self.start[s][0]
+        feature = (self.words[lo : self.end[s][-1]] & (BUCKETS - 1)).astype(np.uint16)
+        good = weighted[feature]
+        size = np.add.reduceat(good, self.start[s] - lo, dtype=np.int64)
+        return feature[good], size
+
+
+def sums(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of groups of neighbouring rows; a group without rows sums to 0."""
+    some = size > 0
+    out = np.zeros((len(size), rows.shape[1]), rows.dtype)
+    if len(rows):
+        out[some] = np.add.reduceat(rows, (np.cumsum(size) - size)[some], axis=0)
+    return out
+
 
 def _hashed(docs: DataFrame, text_col: str) -> DataFrame:
     """doc_id and the whole text's word hashes, written once for the passes below."""
@@ -190,10 +208,11 @@ def _sketch(hashed: DataFrame, idf: np.ndarray) -> np.ndarray:
         for batch in batches:
             b = Blocks.of(batch.column(0).to_pylist())
             for s in b.steps():
-                lo, hi = b.start[s][0], b.end[s][-1]
-                feature = (b.words[lo:hi] & (BUCKETS - 1)).astype(np.uint16)
-                seen = np.add.reduceat(table[feature], b.start[s] - lo, axis=0)
-                block = np.repeat(np.arange(len(seen)), b.end[s] - b.start[s])
+                feature, size = b.features(s, weight > 0)
+                if not len(feature):
+                    continue
+                seen = sums(table[feature], size)
+                block = np.repeat(np.arange(len(seen)), size)
                 order = np.argsort(feature, kind="stable")
                 ordered = feature[order]
                 first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
@@ -232,7 +251,7 @@ def fit(hashed: DataFrame) -> np.ndarray:
 
 @dataclass
 class Items:
-    """A block of benchmark items: words, answers and unit vectors (long items have one for each passage too)."""
+    """A block of benchmark items: words, answers and unit vectors (very long items have one for each passage too)."""
 
     ids: list
     words: list[np.ndarray]
@@ -254,8 +273,9 @@ class Items:
                 continue
             last = memo.of(_SENTENCE.split((text or "").strip())[-1])
             size = min(len(w), max(len(last), ANSWER))
-            spans = [(0, len(w))] + [(a, a + 2 * BLOCK) for a in range(0, len(w) - 2 * BLOCK + 1, BLOCK) if len(w) > 2 * BLOCK]
-            common = 2 * weighted[w & (BUCKETS - 1)].sum() < len(w)
+            # an item that no passage can hold half of is looked for by its parts too
+            spans = [(0, len(w))] + [(a, a + 2 * BLOCK) for a in range(0, len(w) - 2 * BLOCK + 1, BLOCK) if len(w) > 4 * BLOCK]
+            common = 4 * weighted[w & (BUCKETS - 1)].sum() < len(w)
             least += [-1.0 if common else LEAST_COSINE_SHORT if len(w) < SHORT else LEAST_COSINE] * len(spans)
             owner += [len(ids)] * len(spans)
             parts += [table[w[a:b] & (BUCKETS - 1)].sum(axis=0) for a, b in spans]
