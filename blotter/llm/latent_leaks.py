@@ -17,8 +17,7 @@ there word for word.
 Items are read in blocks of about ``ITEM_BLOCK``, each against all texts. Defined
 results: null and empty texts hold no leak, null and empty items leak nowhere; an empty
 benchmark or empty documents give no rows; repeated rows repeat their pairs
-once a row; rows without an id may leak in ``leaks`` but are kept by ``keep_clean``; rows of one id
-go together; further columns are ignored by ``leaks`` and carried by ``keep_clean``.
+once a row; rows without an id are judged like others; further columns are ignored by ``leaks`` and carried by ``keep_clean``.
 """
 
 from __future__ import annotations
@@ -33,14 +32,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import map_docs, prepare
+from blotter.llm.common import map_docs, prepare, rewrite_docs
 from blotter.session import materialize
 
 BLOCK = 16
 BUCKETS = 1 << 14
 SKETCH = 64
 RANK = 48
-LEAST_COSINE = 0.35
+LEAST_COSINE = 0.25
 #: Items of fewer than SHORT words fill a passage less, so their cosines spread wider.
 SHORT = 24
 LEAST_COSINE_SHORT = 0.1
@@ -383,6 +382,15 @@ def find_leaks(raw: list[bytes | None], items: Items, table: np.ndarray) -> list
     return [sorted(x.values()) for x in out]
 
 
+def item_blocks(benchmark: DataFrame, table: np.ndarray, item_col: str, item_text: str) -> Iterator[Items]:
+    """The items, about ITEM_BLOCK at a time, however many there are; at least one block."""
+    items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).alias("t")).where("t IS NOT NULL")
+    blocks = max(1, -(-items.count() // ITEM_BLOCK))
+    for k in range(blocks):
+        block = [(r["i"], r["t"]) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()]
+        yield Items.of(sorted(set(block), key=lambda r: (r[0] is None, r)), table)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item id, cosine, share of the item found and whether its answer is, per leak."""
     spark: SparkSession = docs.sparkSession
@@ -390,14 +398,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
     hashed = _hashed(docs.select("doc_id", F.col(text_col).alias("_text")), "_text")
     table = fit(hashed)
     shared = spark.sparkContext.broadcast(table)
-    items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).alias("t")).where("t IS NOT NULL")
-    blocks = max(1, -(-items.count() // ITEM_BLOCK))
-    doc_kind, item_kind = dict(hashed.dtypes)["doc_id"], dict(items.dtypes)["i"]
+    doc_kind = dict(hashed.dtypes)["doc_id"]
+    item_kind = dict(benchmark.dtypes)[item_col]
     found = None
-    for k in range(blocks):
-        # about ITEM_BLOCK items at a time, however many there are
-        block = [(r["i"], r["t"]) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()]
-        part = Items.of(sorted(set(block), key=lambda r: (r[0] is None, r)), table)
+    for part in item_blocks(benchmark, table, item_col, item_text):
         mine = spark.sparkContext.broadcast(part)
 
         def rows(_, ids, words, mine=mine):
@@ -419,7 +423,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
     return found
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that no benchmark item leaks into, with all their columns."""
-    gone = leaks(docs, benchmark, text_col).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text"
+) -> DataFrame:
+    """The documents that no benchmark item leaks into, with all their columns.
+
+    Each row is judged where it is read: no text is shuffled."""
+    spark = docs.sparkSession
+    table = fit(_hashed(docs.select("doc_id", F.col(text_col).alias("_text")), "_text"))
+    shared = spark.sparkContext.broadcast(table)
+    for part in item_blocks(benchmark, table, item_col, item_text):
+        mine = spark.sparkContext.broadcast(part)
+
+        def change(words, batch: pa.RecordBatch, texts: list[str], mine=mine) -> pa.RecordBatch:
+            found = find_leaks([words.of(t).tobytes() for t in texts], mine.value, shared.value)
+            return batch.filter(pa.array([not x for x in found], pa.bool_()))
+
+        docs = rewrite_docs(docs, text_col, change, Words)
+    return docs
