@@ -38,6 +38,8 @@ from blotter.llm.common import map_docs, prepare, texts_of
 from blotter.llm.token_counts import _RUNS, MARK, MEMO_CHARS, Vocabulary, merge, tokenizer_path
 
 MEMO_SIZE = 400_000
+#: Characters (with the mark) after which words share their state.
+PREFIX = 6
 
 
 class Encoder:
@@ -49,18 +51,21 @@ class Encoder:
         self.longest = max(map(len, self.pieces))
         self.pairs: dict[tuple[str, str], bool] = {}
         self.memo: dict[str, bytes] = {}
+        #: True for pieces, None for what longer pieces end with
+        self.kinds: dict[str, bool | None] = dict.fromkeys((p[k:] for p in self.pieces for k in range(1, len(p))), None)
+        self.kinds.update(dict.fromkeys(self.pieces, True))
+        self.starts: dict[str, list[str | None]] = {}
+        self.codes = {p: array("i", [i]).tobytes() for p, i in vocab.ids.items()}
         self.newline = self.ids(["\n"])
 
     def ids(self, pieces: Iterable[str]) -> bytes:
         """The pieces' ids as int32 bytes."""
-        out: list[int] = []
-        for p in pieces:
-            i = self.vocab.ids.get(p)
-            if i is not None:
-                out.append(i)
-            else:
-                out += [self.vocab.byte_ids[b] for b in p.encode("utf-8", "surrogatepass")]
-        return array("i", out).tobytes()
+        codes = self.codes
+        return b"".join([codes.get(p) or self._bytes(p) for p in pieces])
+
+    def _bytes(self, char: str) -> bytes:
+        """A character outside the vocabulary as its byte pieces."""
+        return array("i", [self.vocab.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")]).tobytes()
 
     def _follows(self, a: str, b: str) -> bool:
         """Whether ``b`` may come right after ``a``."""
@@ -110,6 +115,38 @@ class Encoder:
             return
         ends.append(None)
 
+    def _window(self, word: str) -> list[str | None]:
+        """The surviving pieces of a word that is one window. Words with the same
+        ``PREFIX`` characters go on from the same state, which is remembered."""
+        if len(word) <= PREFIX:
+            ends: list[str | None] = [""]
+        else:
+            known = self.starts.get(word[:PREFIX])
+            if known is None:
+                if len(self.starts) >= MEMO_SIZE:
+                    self.starts.clear()
+                known = self.starts[word[:PREFIX]] = self._window(word[:PREFIX])
+            ends = known.copy()
+        kinds, pairs = self.kinds, self.pairs
+        for at in range(len(ends), len(word) + 1):
+            found = None
+            for start in range(at - 1, -1, -1):
+                piece = word[start:at]
+                kind = kinds.get(piece, start == at - 1)
+                if kind is False:
+                    break  # no piece ends like this
+                last = ends[start]
+                if kind is None or last is None:
+                    continue
+                if last:
+                    ok = pairs.get((last, piece))
+                    if not (self._follows(last, piece) if ok is None else ok):
+                        continue
+                found = piece
+                break
+            ends.append(found)
+        return ends
+
     def _meeting(self, ends: list[str | None], at: int) -> int:
         """The last boundary that every path open at ``at`` passes through.
 
@@ -135,10 +172,7 @@ class Encoder:
         got = self.memo.get(word)
         if got is None:
             if len(word) < 2 * self.longest:  # the whole word is one window
-                ends: list[str | None] = [""]
-                for k in range(1, len(word) + 1):
-                    self._extend(word[:k], ends, "")
-                got = self.ids(self._path(ends, len(word)))
+                got = self.ids(self._path(self._window(word), len(word)))
             else:
                 got = self.ids(self.stream(word))
             if len(word) <= MEMO_CHARS:
