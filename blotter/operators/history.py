@@ -135,12 +135,20 @@ def class_distribution(
     return out
 
 
-def class_pivot(aligned: DataFrame, city_col: str = "City") -> DataFrame:
-    """Class rows x one column per city, plus 'Total' (sum across cities)."""
-    per_city = aligned.select(F.col(city_col).alias("_col"), "Crime Type", "Count")
-    totals = aligned.groupBy("Crime Type").agg(F.sum("Count").cast("long").alias("Count"))
-    stacked = per_city.unionByName(totals.select(F.lit("Total").alias("_col"), "Crime Type", "Count"))
-    return stacked.groupBy("Crime Type").pivot("_col").agg(F.sum("Count").cast("long")).na.fill(0)
+def class_pivot(aligned: DataFrame, cities: list[str], city_col: str = "City") -> DataFrame:
+    """Class rows x one column per city, in the caller's order, and 'Total' (their sum) last.
+
+    One aggregation of conditional sums; a city named like another column is refused."""
+    if len({*cities, "Crime Type", "Total"}) != len(cities) + 2:
+        raise ValueError("city names must differ from each other and from the other columns")
+    sums = [
+        F.coalesce(F.sum(F.when(F.col(city_col) == c, F.col("Count"))), F.lit(0)).cast("long").alias(c) for c in cities
+    ]
+    wide = aligned.groupBy("Crime Type").agg(*sums)
+    total = F.lit(0).cast("long")
+    for c in cities:
+        total = total + wide[f"`{c}`"]
+    return wide.withColumn("Total", total)
 
 
 def class_share(aligned: DataFrame, by: list[str] | None = None) -> DataFrame:

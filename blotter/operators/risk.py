@@ -408,10 +408,8 @@ def score(feats: DataFrame, models: DataFrame) -> DataFrame:
     packed = _packed(models)
     labels = F.transform("classes", lambda c: _label(c))
     broad_labels = packed.where((F.col("model") == "broad") & F.col("city").isNull()).select(labels.alias("l")).scalar()
-    spec_labels = F.broadcast(
-        packed.where(F.col("model") == "specific").select(
-            F.coalesce(F.col("city"), F.lit("")).alias("s_key"), labels.alias("specific_labels")
-        )
+    spec_labels = packed.where(F.col("model") == "specific").select(
+        F.coalesce(F.col("city"), F.lit("")).alias("s_key"), labels.alias("specific_labels")
     )
     return scored.join(spec_labels, ["s_key"]).select(
         *SCENARIO_KEYS,
@@ -450,12 +448,21 @@ def probabilities(scored: DataFrame) -> DataFrame:
 
 
 def top_specific(scored: DataFrame, n: int = TOP_SPECIFIC) -> DataFrame:
-    """W8 + O6: the n most probable specific classes per scenario; on ties the
-    later class comes first (reversed ascending argsort, Q16). The window
-    spans one scenario's 13 rows."""
-    probs = probabilities(scored).where(F.col("model") == "specific")
-    w = Window.partitionBy(*SCENARIO_KEYS).orderBy(F.desc("Probability"), F.desc("pos"))
-    return probs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).drop("model")
+    """W8 + O6: the n most probable specific classes of every scored row; on ties the
+    later class comes first (reversed ascending argsort, Q16). Taken inside the row, so
+    that a scenario given twice keeps both its lists, and nothing is shuffled."""
+    classes = [
+        F.struct(
+            F.element_at("specific_probs", k + 1).alias("Probability"),
+            F.lit(k).alias("pos"),
+            F.element_at("specific_labels", k + 1).alias("label"),
+        )
+        for k in range(len(OFFENSE_CLASSES))
+    ]
+    best = F.slice(F.sort_array(F.array(*classes), asc=False), 1, n)
+    return scored.select(*SCENARIO_KEYS, F.posexplode(best).alias("at", "best")).select(
+        *SCENARIO_KEYS, "best.pos", "best.label", "best.Probability", (F.col("at") + 1).alias("rank")
+    )
 
 
 def headline(scored: DataFrame) -> DataFrame:

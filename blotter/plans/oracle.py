@@ -51,7 +51,7 @@ SQL["offense_distribution_partial"] = with_(
 ) + """
 SELECT city AS "City", offense_category_name AS "Crime Type", CAST(sum(count) AS BIGINT) AS "Count"
 FROM crime_distribution
-WHERE year = 1999 AND offense_category_name IS NOT NULL
+WHERE offense_category_name IS NOT NULL
 GROUP BY 1, 2 HAVING sum(count) > 0
 """
 
@@ -104,16 +104,13 @@ def _align(scope: bool, where: str = "") -> str:
 
 SQL["offense_13"] = with_(_align(False)) + "SELECT * FROM aligned"
 
-SQL["offense_13_by_city"] = with_(_align(True, "AND city IS NOT NULL AND year = 2000")) + "SELECT * FROM aligned"
+SQL["offense_13_by_city"] = with_(_align(True, "AND city IS NOT NULL")) + "SELECT * FROM aligned"
 
-SQL["offense_pivot"] = with_(
-    _align(True, "AND city IS NOT NULL"),
-    """stacked AS (
-  SELECT "City" AS _col, "Crime Type", "Count" FROM aligned
-  UNION ALL
-  SELECT 'Total', "Crime Type", CAST(sum("Count") AS BIGINT) FROM aligned GROUP BY 2)""",
-) + """
-SELECT * FROM (PIVOT stacked ON _col USING CAST(sum("Count") AS BIGINT) GROUP BY "Crime Type")
+SQL["offense_13_by_city_of_year"] = with_(_align(True, "AND city IS NOT NULL AND year = 2000")) + "SELECT * FROM aligned"
+
+SQL["offense_pivot"] = with_(_align(True, "AND city IS NOT NULL")) + 'SELECT "Crime Type", ' + ", ".join(
+    f"""CAST(coalesce(sum("Count") FILTER (WHERE "City" = 'NATION_{k}'), 0) AS BIGINT) AS "NATION_{k}\"""" for k in range(25)
+) + """, CAST(sum("Count") AS BIGINT) AS "Total" FROM aligned GROUP BY 1
 """
 
 SQL["offense_share"] = with_(_align(True, "AND city IS NOT NULL")) + """

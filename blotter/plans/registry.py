@@ -57,7 +57,7 @@ def q_offense_distribution_partial(spark, sf):
     from blotter.operators.daily import crime_distribution
 
     dist_table = crime_distribution(incidents(spark, sf))
-    return H.offense_distribution(dist_table, year=1999, by=["city"]).withColumnRenamed("city", "City")
+    return H.offense_distribution(dist_table, by=["city"]).withColumnRenamed("city", "City")
 
 
 @register("incident_totals")
@@ -77,13 +77,23 @@ def q_offense_13(spark, sf):
 
 @register("offense_13_by_city")
 def q_offense_13_by_city(spark, sf):
+    return H.class_distribution(_named(incidents(spark, sf)), by=["City"])
+
+
+@register("offense_13_by_city_of_year")
+def q_offense_13_by_city_of_year(spark, sf):
+    """The caller asks for one year."""
     return H.class_distribution(_named(incidents(spark, sf)), year=2000, by=["City"])
 
 
+#: The fixture's cities, in the order that a caller asks for.
+CITIES = [f"NATION_{k}" for k in range(25)]
+
+
 @register("offense_pivot")
 def q_offense_pivot(spark, sf):
     aligned = H.class_distribution(_named(incidents(spark, sf)), by=["City"])
-    return H.class_pivot(aligned)
+    return H.class_pivot(aligned, CITIES)
 
 
 @register("offense_share")
@@ -430,7 +440,7 @@ def q_bundle_daily_city(spark, sf):
 @register("bundle_offense_distribution")
 def q_bundle_offense_distribution(spark, sf):
     dist = _bundle(spark, sf)["crime_distribution"]
-    return H.offense_distribution(dist, year=1999, by=["city"]).withColumnRenamed("city", "City")
+    return H.offense_distribution(dist, by=["city"]).withColumnRenamed("city", "City")
 
 
 @register("per_city_index")

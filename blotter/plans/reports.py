@@ -77,7 +77,8 @@ def history_report(inc: DataFrame, cities: DataFrame | None = None, year=H.ALL_Y
     aligned = H.class_distribution(scoped, year=year, by=["City"])
     return {
         "distribution": aligned,
-        "counts": H.class_pivot(aligned),
+        # the caller's own list of cities, which becomes the columns
+        "counts": H.class_pivot(aligned, list(dict.fromkeys(r["city"] for r in cities.select("city").collect() if r["city"] is not None))),
         "shares": H.class_share(aligned, by=["City"]),
         "totals": H.incident_total(scoped, year=year, by=["City"]),
     }

@@ -22,10 +22,12 @@ INDEX_SCHEMA = (
 def parse_index(json_text: Column) -> Column:
     """the parsed index struct, or null when the text is not a valid index."""
     parsed = F.from_json(json_text, INDEX_SCHEMA, {"mode": "PERMISSIVE"})
-    # members must be objects when present: a list/number there parses to null
-    raw_ok = F.coalesce(
-        ~F.get_json_object(json_text, "$.forecasters").rlike(r"^\s*[^{\s]"), F.lit(True)
-    ) & F.coalesce(~F.get_json_object(json_text, "$.classifiers").rlike(r"^\s*[^{\s]"), F.lit(True))
+    # a member that is there must be an object: text, lists, numbers and null are not
+    whole = F.try_parse_json(json_text)
+    raw_ok = F.lit(True)
+    for group in MODEL_GROUPS:
+        kind = F.schema_of_variant(F.try_variant_get(whole, f"$.{group}", "variant"))
+        raw_ok = raw_ok & F.coalesce(kind.startswith("OBJECT"), F.lit(True))
     is_obj = F.trim(json_text).startswith("{")
     return F.when(is_obj & raw_ok & parsed.isNotNull(), parsed)
 
@@ -52,7 +54,7 @@ def index_entries(index_df: DataFrame) -> DataFrame:
 def select_city_models(entries: DataFrame, group: str, cities: DataFrame) -> DataFrame:
     """Usable entries of one group for the requested cities (semi join)."""
     if group not in MODEL_GROUPS:
-        raise ValueError(f"Unsupported per-city asset group: {group}")
+        raise ValueError(f"{group!r} is not one of the model groups {sorted(MODEL_GROUPS)}")
     return (
         entries.where((F.col("asset_group") == group) & F.col("usable"))
         .join(cities.select("city"), ["city"], "left_semi")

@@ -48,7 +48,7 @@ def load_forecast_models(spark: SparkSession, path: str, city_models: bool = Tru
             per_city.limit(1).collect()
             coefs = coefs.unionByName(per_city)
         except Exception as exc:  # noqa: BLE001 - optional artifact
-            warnings.append(f"Per-city volume forecasting disabled: `{CITY_FORECASTERS}` ({type(exc).__name__}).")
+            warnings.append(f"No city forecasters: {CITY_FORECASTERS} could not be read ({type(exc).__name__}).")
     return coefs, warnings
 
 
@@ -62,7 +62,7 @@ def load_risk_models(spark: SparkSession, path: str, city_models: bool = True) -
             per_city.limit(1).collect()
             models = models.unionByName(per_city)
         except Exception as exc:  # noqa: BLE001 - optional artifact
-            warnings.append(f"City-specific risk classification disabled: `{CITY_CLASSIFIERS}` ({type(exc).__name__}).")
+            warnings.append(f"No city classifiers: {CITY_CLASSIFIERS} could not be read ({type(exc).__name__}).")
     return models, warnings
 
 
