@@ -108,30 +108,41 @@ class Blocks:
     def project(self, table: np.ndarray) -> np.ndarray:
         """Sum of the table's rows over each block's words."""
         out = np.empty((len(self.text), table.shape[1]), np.float32)
-        weighted = table.any(axis=1)
+        padded = np.concatenate((table, np.zeros((1, table.shape[1]), np.float32)))
         for s in self.steps():
-            feature, size = self.features(s, weighted)
-            out[s] = sums(table[feature], size)
+            out[s] = sums(padded, self.cells(s))
         return out
 
-    def features(self, s: slice, weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The weighted features of a step's words, and how many each block has."""
-        lo = self.start[s][0]
-        feature = (self.words[lo : self.end[s][-1]] & (BUCKETS - 1)).astype(np.uint16)
-        good = weighted[feature]
-        size = np.add.reduceat(good, self.start[s] - lo, dtype=np.int64)
-        return feature[good], size
-
-
-def sums(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Sums of groups of neighbouring rows; a group without rows sums to 0."""
-    some = size > 0
-    out = np.zeros((len(size), rows.shape[1]), rows.dtype)
-    if len(rows):
-        out[some] = np.add.reduceat(rows, (np.cumsum(size) - size)[some], axis=0)
+    def cells(self, s: slice) -> np.ndarray:
+        """BLOCK x blocks of a step: the feature of each block's k-th word, BUCKETS beyond its end."""
+        out = np.full((len(self.text[s]), BLOCK), BUCKETS, np.int64)
+        size = self.end[s] - self.start[s]
+        out[np.arange(BLOCK) < size[:, None]] = self.words[self.start[s][0] : self.end[s][-1]] & (BUCKETS - 1)
+        return np.ascontiguousarray(out.T)
+
+
+def sums(padded: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Per block the sum of its words' rows; the table's last row is 0."""
+    out = padded[cells[0]]
+    for k in range(1, BLOCK):
+        out += padded.take(cells[k], axis=0)
     return out
 
 
+def spread(total: np.ndarray, feature: np.ndarray, block: np.ndarray, rows: np.ndarray) -> None:
+    """Add each block's row to its features' rows of ``total``: features in turns of
+    distinct ones, so that no addition of a turn meets another."""
+    order = np.argsort(feature, kind="stable")
+    feature, block = feature[order], block[order]
+    first = np.flatnonzero(np.concatenate(([True], feature[1:] != feature[:-1])))
+    count = np.diff(np.append(first, len(feature)))
+    by_count = np.argsort(-count, kind="stable")
+    first, left = first[by_count], -np.sort(-count)
+    for turn in range(int(left[0])):
+        at = first[: np.searchsorted(-left, -turn, side="left")] + turn
+        total[feature[at]] += rows.take(block[at], axis=0)
+
+
 def _hashed(docs: DataFrame, text_col: str) -> DataFrame:
     """doc_id and the whole text's word hashes, written once for the passes below."""
 
@@ -177,10 +188,7 @@ def _frequencies(hashed: DataFrame) -> np.ndarray:
         for batch in batches:
             b = Blocks.of(batch.column(0).to_pylist())
             for s in b.steps():
-                cells = np.full((len(b.text[s]), BLOCK), BUCKETS, np.int32)
-                lo, hi = b.start[s][0], b.end[s][-1]
-                size = b.end[s] - b.start[s]
-                cells[np.arange(BLOCK) < size[:, None]] = b.words[lo:hi] & (BUCKETS - 1)
+                cells = b.cells(s).T.astype(np.int32, order="C")
                 cells.sort(axis=1)
                 cells[:, 1:][cells[:, 1:] == cells[:, :-1]] = BUCKETS
                 total[: BUCKETS + 1] += np.bincount(cells.ravel(), minlength=BUCKETS + 1)
@@ -202,20 +210,16 @@ def _sketch(hashed: DataFrame, idf: np.ndarray) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = shared.value
-        table = _random() * weight[:, None]
+        padded = np.concatenate((_random() * weight[:, None], np.zeros((1, SKETCH), np.float32)))
+        weighted = np.append(weight > 0, False)
         total = np.zeros((BUCKETS, SKETCH), np.float64)
         for batch in batches:
             b = Blocks.of(batch.column(0).to_pylist())
             for s in b.steps():
-                feature, size = b.features(s, weight > 0)
-                if not len(feature):
-                    continue
-                seen = sums(table[feature], size)
-                block = np.repeat(np.arange(len(seen)), size)
-                order = np.argsort(feature, kind="stable")
-                ordered = feature[order]
-                first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-                total[ordered[first]] += np.add.reduceat(seen[block[order]], first, axis=0)
+                cells = b.cells(s)
+                place, block = np.nonzero(weighted[cells])
+                if len(place):
+                    spread(total, cells[place, block].astype(np.uint16), block, sums(padded, cells))
         yield _slabs((total * weight[:, None]).astype(np.float32).ravel())
 
     got = _summed(hashed.select("words").mapInArrow(run, "slab int, part binary"), np.float32)
@@ -259,6 +263,8 @@ class Items:
     vectors: np.ndarray
     least: np.ndarray  # the cosine each vector asks for
     filter: np.ndarray  # items x FILTER: whether the item may have such a word
+    places: np.ndarray  # the filter, 64 of its places a number
+    size: np.ndarray  # words of each item
     bits: np.ndarray  # items x longest item: each word's place in the filter, -1 beyond the end
     shared: np.ndarray  # words a passage must share with each item
 
@@ -287,8 +293,10 @@ class Items:
         for i, w in enumerate(words):
             filter_[i, _bits(w)] = True
             bits[i, : len(w)] = _bits(w)
+        places = np.packbits(filter_, axis=1, bitorder="little").view("<u8")
+        size = np.array([len(w) for w in words], np.int64)
         shared = np.array([LEAST_SHARED * min(len(w), 2 * BLOCK) for w in words])
-        return Items(ids, words, answers, np.array(owner, np.int64), vectors, np.array(least, np.float32), filter_, bits, shared)
+        return Items(ids, words, answers, np.array(owner, np.int64), vectors, np.array(least, np.float32), filter_, places, size, bits, shared)
 
 
 def _bits(words: np.ndarray) -> np.ndarray:
@@ -358,10 +366,16 @@ def find_leaks(raw: list[bytes | None], items: Items, table: np.ndarray) -> list
             passage[at, bits[:, k] >> 6] |= np.uint64(1) << (bits[:, k] & 63).astype(np.uint64)
         for k in range(0, len(r), STEP_PAIRS):
             part = slice(k, k + STEP_PAIRS)
-            hit = items.filter[owner[part][:, None], bits[r[part]]]
-            hit &= np.arange(2 * BLOCK) < width[r[part]][:, None]
             few = np.minimum(items.shared[owner[part]], LEAST_SHARED * width[r[part]])
-            good = np.flatnonzero(hit.sum(axis=1) >= few)
+            # every place of the filter that only one side has is a word, at least, that the other side lacks
+            mine, theirs = passage[r[part]], items.places[owner[part]]
+            lacks = np.bitwise_count(mine & ~theirs).sum(axis=1, dtype=np.int64)
+            absent = np.bitwise_count(theirs & ~mine).sum(axis=1, dtype=np.int64)
+            good = np.flatnonzero((width[r[part]] - lacks >= few) & (items.size[owner[part]] - absent >= few))
+            # the passage's words that the item may have, counted one by one
+            hit = items.filter[owner[part][good][:, None], bits[r[part][good]]]
+            hit &= np.arange(2 * BLOCK) < width[r[part][good]][:, None]
+            good = good[hit.sum(axis=1) >= few[good]]
             # and the other way round: words of the item that the passage may have
             theirs = items.bits[owner[part][good]]
             hit = (passage[r[part][good][:, None], theirs >> 6] >> (theirs & 63).astype(np.uint64)) & np.uint64(1)
