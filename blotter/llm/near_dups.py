@@ -229,7 +229,8 @@ def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent:
         .select("print", F.col("c.doc_id").alias("id"), "c.n", "c.sig", "c.keys")
     )
     pairs = materialize(_estimates(_candidates(classes), classes, percent / 100 - SLACK))
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # written, so that the planner knows its size: while it may be broadcast, no text is shuffled
+    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     wanted = docs.join(ends, "doc_id", "left_semi")
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -276,5 +277,7 @@ def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent:
 
 def keep_first(docs: DataFrame, text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those whose component has a smaller id, all columns kept."""
-    gone = components(docs, text_col, width, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = materialize(
+        components(docs, text_col, width, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    )
     return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
