@@ -218,9 +218,8 @@ def holidays(spark: SparkSession, first_year: int | Column, last_year: int | Col
 def holiday_flags_from_table(df: DataFrame, date_col: str, table: DataFrame) -> DataFrame:
     """J8 against a caller-supplied holiday table (date, name): three left joins
     on the holiday dimension, broadcast behind a row-count check."""
-    from blotter.session import broadcast_if_small
 
-    h = broadcast_if_small(table.select(F.col("date").alias("_h")).distinct())
+    h = table.select(F.col("date").alias("_h")).distinct()
     out = df
     for name, shift in (("is_holiday", 0), ("is_day_before_holiday", 1), ("is_day_after_holiday", -1)):
         key = F.date_add(F.col(date_col), shift)

@@ -16,34 +16,25 @@ from pyspark.sql import functions as F
 from blotter.schema import LOOKUP_STAT_COLS
 from blotter.session import materialize
 
-SUMMARY_KEYS = ["date", "city", "hour", "location_area", "offense_category_clean"]
-
 
 def _order(df: DataFrame) -> Column:
     return F.col("row_order") if "row_order" in df.columns else F.col("date")
 
 
-def _is_summary(df: DataFrame) -> bool:
-    return "n" in df.columns
+def _weight(weight: str | None) -> Column:
+    """Row weight: the named count column of a summary, or 1 for incident rows."""
+    return F.col(weight) if weight else F.lit(1)
 
 
-def _weight(df: DataFrame) -> Column:
-    """Row weight: the pre-aggregated count, or 1 for incident rows."""
-    return F.col("n") if _is_summary(df) else F.lit(1)
+def hour_counts(inc: DataFrame) -> DataFrame:
+    """Incidents per (city, hour, offense), counted map-side and written once: bounded by
+    these domains whatever the number of incidents."""
+    return materialize(inc.groupBy("city", "hour", "offense_category_clean").agg(F.count(F.lit(1)).alias("n")))
 
 
-def lookup_summary(inc: DataFrame) -> DataFrame:
-    """One pass over incidents at (date, city, hour, location, offense) grain:
-    the count, and per staffing column the (file order, value) of its last
-    non-null row. Every lookup, domain and scenario set derives from it, so the
-    raw table is read once; it is materialised for its several consumers."""
-    order = _order(inc)
-    last = []
-    for c in LOOKUP_STAT_COLS:
-        o = F.when(F.col(c).isNotNull(), order)
-        # primitive-valued max / max_by keep the aggregate hash-based
-        last += [F.max(o).alias(f"o_{c}"), F.max_by(F.col(c), o).alias(f"v_{c}")]
-    return materialize(inc.groupBy(*SUMMARY_KEYS).agg(F.count(F.lit(1)).alias("n"), *last))
+def place_counts(inc: DataFrame) -> DataFrame:
+    """Incidents per location, counted map-side and written once."""
+    return materialize(inc.groupBy("location_area").agg(F.count(F.lit(1)).alias("n")))
 
 
 def _last_non_null(c: str, order: Column) -> Column:
@@ -52,10 +43,8 @@ def _last_non_null(c: str, order: Column) -> Column:
 
 def city_stats_last(inc: DataFrame) -> DataFrame:
     """A8 (raw path): last non-null value per column per city, in file order (Q6)."""
-    named = inc.where(F.col("city").isNotNull()).groupBy("city")
-    if _is_summary(inc):
-        return named.agg(*[F.max_by(f"v_{c}", f"o_{c}").alias(c) for c in LOOKUP_STAT_COLS])
     order = _order(inc)
+    named = inc.where(F.col("city").isNotNull()).groupBy("city")
     return named.agg(*[_last_non_null(c, order) for c in LOOKUP_STAT_COLS])
 
 
@@ -64,12 +53,12 @@ def city_stats_latest(daily: DataFrame) -> DataFrame:
     return daily.groupBy("city").agg(*[_last_non_null(c, F.col("date")) for c in LOOKUP_STAT_COLS])
 
 
-def location_totals(inc: DataFrame) -> DataFrame:
+def location_totals(inc: DataFrame, weight: str | None = None) -> DataFrame:
     """Incidents per location."""
     return (
         inc.where(F.col("location_area").isNotNull())
         .groupBy("location_area")
-        .agg(F.sum(_weight(inc)).cast("double").alias("location_total_crimes"))
+        .agg(F.sum(_weight(weight)).cast("double").alias("location_total_crimes"))
     )
 
 
@@ -78,38 +67,32 @@ def distinct_dates(inc: DataFrame) -> Column:
     return inc.select(F.count_distinct("date")).scalar()
 
 
-def location_daily_mean(inc: DataFrame) -> DataFrame:
+def location_daily_mean(inc: DataFrame, weight: str | None = None, days: Column | None = None) -> DataFrame:
     """A13 + A14: mean incidents per day per location, days without any counted as 0."""
-    d = distinct_dates(inc)
+    d = distinct_dates(inc) if days is None else days
     return (
         inc.where(F.col("location_area").isNotNull())
         .groupBy("location_area")
-        .agg((F.sum(_weight(inc)) / d).cast("double").alias("avg_location_daily_freq"))
+        .agg((F.sum(_weight(weight)) / d).cast("double").alias("avg_location_daily_freq"))
     )
 
 
-def hour_typical_observed(inc: DataFrame) -> DataFrame:
-    """A10: most frequent offense per observed (city, hour); ties -> smallest label (Q7);
-    a group whose offenses are all null -> 'Other'."""
-    named = inc.where(F.col("city").isNotNull())
-    if not _is_summary(inc):
-        return named.groupBy("city", "hour").agg(
-            F.coalesce(F.mode("offense_category_clean", True), F.lit("Other")).alias("hour_typical_crime")
-        )
-    # weighted mode: counts per offense, then the largest count, smallest label
+def hour_typical_observed(counts: DataFrame) -> DataFrame:
+    """A10 from ``hour_counts``: most frequent offense per observed (city, hour); ties ->
+    smallest label (Q7); a group whose offenses are all null -> 'Other'."""
     o = F.col("offense_category_clean")
-    per = named.groupBy("city", "hour", "offense_category_clean").agg(F.sum("n").alias("k"))
-    best = F.min_by(o, F.when(o.isNotNull(), F.struct((-F.col("k")).alias("nk"), o.alias("o"))))
-    return per.groupBy("city", "hour").agg(F.coalesce(best, F.lit("Other")).alias("hour_typical_crime"))
+    best = F.min_by(o, F.when(o.isNotNull(), F.struct((-F.col("n")).alias("most"), o.alias("o"))))
+    named = counts.where(F.col("city").isNotNull())
+    return named.groupBy("city", "hour").agg(F.coalesce(best, F.lit("Other")).alias("hour_typical_crime"))
 
 
-def hour_diversity_observed(inc: DataFrame) -> DataFrame:
+def hour_diversity_observed(inc: DataFrame, days: Column | None = None) -> DataFrame:
     """A11 + A12: mean over all dates of the distinct-offense count per (date, hour, city).
 
     Pre-aggregates per (date, hour, city) first (map-side combine), then sums
     per (city, hour) and divides by the number of distinct dates (Q3).
     """
-    d = distinct_dates(inc)
+    d = distinct_dates(inc) if days is None else days
     per_day = (
         inc.where(F.col("city").isNotNull())
         .groupBy("date", "hour", "city")
@@ -118,27 +101,27 @@ def hour_diversity_observed(inc: DataFrame) -> DataFrame:
     return per_day.groupBy("city", "hour").agg((F.sum("k") / d).cast("double").alias("avg_crime_diversity"))
 
 
-def city_hour_domain(inc: DataFrame) -> DataFrame:
-    """The city x hour product the reference's lookups are keyed on.
+def city_hour_domain(counts: DataFrame) -> DataFrame:
+    """The city x hour product the reference's lookups are keyed on, from ``hour_counts``.
 
     Hours (at most 24 values) are gathered by a scalar subquery and expanded
     per city row: a generator over a bounded domain, no join.
     """
-    hours = inc.select(F.array_sort(F.collect_set("hour"))).scalar()
-    cities = inc.where(F.col("city").isNotNull()).select("city").distinct()
+    hours = counts.select(F.array_sort(F.collect_set("hour"))).scalar()
+    cities = counts.where(F.col("city").isNotNull()).select("city").distinct()
     return cities.select("city", F.explode(hours).alias("hour"))
 
 
-def hour_typical(inc: DataFrame) -> DataFrame:
+def hour_typical(counts: DataFrame) -> DataFrame:
     """A10 over the full product: unobserved (city, hour) -> null (Q7)."""
-    return city_hour_domain(inc).join(hour_typical_observed(inc), ["city", "hour"], "left")
+    return city_hour_domain(counts).join(hour_typical_observed(counts), ["city", "hour"], "left")
 
 
-def hour_diversity(inc: DataFrame) -> DataFrame:
+def hour_diversity(inc: DataFrame, counts: DataFrame, days: Column | None = None) -> DataFrame:
     """A12 over the full product: unobserved (city, hour) -> 0.0 (Q3)."""
     return (
-        city_hour_domain(inc)
-        .join(hour_diversity_observed(inc), ["city", "hour"], "left")
+        city_hour_domain(counts)
+        .join(hour_diversity_observed(inc, days), ["city", "hour"], "left")
         .select("city", "hour", F.coalesce("avg_crime_diversity", F.lit(0.0)).alias("avg_crime_diversity"))
     )
 
@@ -158,7 +141,7 @@ def domains(inc: DataFrame, typical: DataFrame | None = None) -> DataFrame:
             F.lit(name).alias("domain"), F.col("v").cast("string").alias("value"), (F.row_number().over(w) - 1).alias("pos")
         )
 
-    typical = typical if typical is not None else hour_typical(inc)
+    typical = typical if typical is not None else hour_typical(hour_counts(inc))
     years = inc if "year" in inc.columns else inc.select(F.year("date").alias("year"))
     return (
         ranked(inc, "city", "city")

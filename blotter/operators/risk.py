@@ -5,8 +5,8 @@ A scenario is (city, location_area, location_type or null, hour, input_date).
 Features come from built-in expressions plus left joins against lookup
 tables whose size is bounded by the domains (cities, locations, cities x 24
 hours), never by the incident count. Classifiers are linear multinomial
-models stored as coefficient tables; scoring is an array expression
-(dot products + softmax) inside the JVM, one row per scenario.
+models stored as coefficient tables; scoring is an Arrow-batched matrix
+product and softmax, one row per scenario.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from blotter.functions import calendar as C
 from blotter.functions.features import is_university, location_type
 from blotter.operators import lookups as L
-from blotter.session import broadcast_if_small, materialize, materialize_all
+from blotter.session import materialize, materialize_all
 from blotter.schema import (
     BROAD_CLASSES,
     DEFAULT_DIVERSITY,
@@ -39,6 +39,13 @@ SOURCE_CITY = "City-specific"
 SOURCE_STATE = "Statewide"
 CATEGORICAL = ["city", "location_area", "location_type", "hour_typical_crime"]
 SCENARIO_KEYS = ["city", "location_area", "hour", "input_date"]
+#: Carried from the scenarios to every result where present: scenarios of equal keys may
+#: differ in the location type that was asked for, or be asked twice under two ids.
+SCENARIO_IDENTITY = ["scenario_id", "location_type_in"]
+
+
+def scenario_columns(df: DataFrame) -> list[str]:
+    return SCENARIO_KEYS + [c for c in SCENARIO_IDENTITY if c in df.columns]
 
 
 # --- context: lookups + domains ---------------------------------------------------------
@@ -77,24 +84,25 @@ def _ranked_domain(values: DataFrame, col: str) -> DataFrame:
 
 
 def context_from_incidents(inc: DataFrame) -> RiskContext:
-    """Raw path (include_legacy): every lookup aggregated from incident rows
-    (or from their ``lookup_summary``, which reads the raw table once).
+    """Raw path (include_legacy): every lookup aggregated from incident rows at the grain
+    it needs, with map-side counts; no copy of the incidents is written.
 
     Each table is domain-sized (cities, locations, cities x hours) and is
     materialised once, so the scenario join reads it instead of re-deriving it."""
-    typical = L.hour_typical(inc)
+    hours, places, days = L.hour_counts(inc), L.place_counts(inc), L.distinct_dates(inc)
+    typical = materialize(L.hour_typical(hours))
     t = materialize_all(
         {
             "city_stats": L.city_stats_last(inc),
-            "loc_total": L.location_totals(inc),
-            "loc_daily": L.location_daily_mean(inc),
-            "hour_typical": typical,
-            "hour_diversity": L.hour_diversity(inc),
-            "city_cats": _ranked_domain(inc, "city"),
-            "loc_cats": _ranked_domain(inc, "location_area"),
+            "loc_total": L.location_totals(places, "n"),
+            "loc_daily": L.location_daily_mean(places, "n", days),
+            "hour_diversity": L.hour_diversity(inc, hours, days),
+            "city_cats": _ranked_domain(hours, "city"),
+            "loc_cats": _ranked_domain(places, "location_area"),
             "htc_cats": _ranked_domain(typical, "hour_typical_crime"),
         }
     )
+    t["hour_typical"] = typical
     return RiskContext(**t)
 
 
@@ -165,7 +173,7 @@ def date_features(dates: DataFrame, col: str) -> DataFrame:
 
 def _encode(df: DataFrame, col: str, cats: DataFrame, fallback_pos: Column) -> DataFrame:
     """position in the ordered domain; unknown -> the fallback's position."""
-    dom = broadcast_if_small(cats).select(F.col("value").alias(f"_v_{col}"), F.col("pos").alias(f"_p_{col}"))
+    dom = cats.select(F.col("value").alias(f"_v_{col}"), F.col("pos").alias(f"_p_{col}"))
     out = df.join(dom, F.col(col).cast("string") == F.col(f"_v_{col}"), "left")
     return out.withColumn(f"{col}_code", F.coalesce(F.col(f"_p_{col}"), fallback_pos).cast("int")).drop(
         f"_v_{col}", f"_p_{col}"
@@ -179,21 +187,20 @@ def risk_features(scenarios: DataFrame, ctx: RiskContext) -> DataFrame:
     dates = materialize(date_features(scenarios.select("input_date").distinct(), "input_date"))
     base = scenarios.select(
         "*",
-        F.lower(F.coalesce(F.col("location_type"), location_type("location_area"))).alias("_lt"),
-    ).join(broadcast_if_small(dates), ["input_date"], "left")
+        F.lower(F.coalesce(F.nullif(F.col("location_type"), F.lit("")), location_type("location_area"))).alias("_lt"),
+    ).join(dates, ["input_date"], "left")
     # lookups with defaults only when the key is absent (Q9)
-    small = broadcast_if_small
-    stats = small(ctx.city_stats).select(
+    stats = ctx.city_stats.select(
         F.col("city").alias("_sc"), F.lit(True).alias("_known"), *[F.col(c).alias(f"_s_{c}") for c in LOOKUP_STAT_COLS]
     )
-    typical = small(ctx.hour_typical).select(
+    typical = ctx.hour_typical.select(
         F.col("city").alias("_tc"), F.col("hour").alias("_th"), F.lit(True).alias("_t_known"), "hour_typical_crime"
     )
-    div = small(ctx.hour_diversity).select(F.col("city").alias("_dc"), F.col("hour").alias("_dh"), "avg_crime_diversity")
+    div = ctx.hour_diversity.select(F.col("city").alias("_dc"), F.col("hour").alias("_dh"), "avg_crime_diversity")
     j = (
         base.join(stats, F.col("city") == F.col("_sc"), "left")
-        .join(small(ctx.loc_total).withColumnRenamed("location_area", "_lt_a"), F.col("location_area") == F.col("_lt_a"), "left")
-        .join(small(ctx.loc_daily).withColumnRenamed("location_area", "_ld_a"), F.col("location_area") == F.col("_ld_a"), "left")
+        .join(ctx.loc_total.withColumnRenamed("location_area", "_lt_a"), F.col("location_area") == F.col("_lt_a"), "left")
+        .join(ctx.loc_daily.withColumnRenamed("location_area", "_ld_a"), F.col("location_area") == F.col("_ld_a"), "left")
         .join(typical, (F.col("city") == F.col("_tc")) & (F.col("hour") == F.col("_th")), "left")
         .join(div, (F.col("city") == F.col("_dc")) & (F.col("hour") == F.col("_dh")), "left")
     )
@@ -217,6 +224,7 @@ def risk_features(scenarios: DataFrame, ctx: RiskContext) -> DataFrame:
         feats[c] = F.when(F.col("_known"), F.col(f"_s_{c}").cast("double")).otherwise(F.lit(DEFAULT_STAT))
     lt_checked = F.when(F.col("_lt").isin(*LOCATION_TYPES), F.col("_lt")).otherwise(F.lit("other"))
     out = j.select(
+        *[c for c in ("scenario_id",) if c in scenarios.columns],
         "city",
         "location_area",
         F.col("location_type").alias("location_type_in"),
@@ -227,7 +235,7 @@ def risk_features(scenarios: DataFrame, ctx: RiskContext) -> DataFrame:
         *[v.alias(k) for k, v in feats.items()],
     )
     # validate the typical offense against its domain (first label, else 'Other')
-    htc_dom = small(ctx.htc_cats).select(F.col("value").alias("_hv"))
+    htc_dom = ctx.htc_cats.select(F.col("value").alias("_hv"))
     out = out.join(htc_dom, F.col("_htc_raw") == F.col("_hv"), "left")
     out = out.withColumn(
         "hour_typical_crime",
@@ -373,11 +381,11 @@ def score(feats: DataFrame, models: DataFrame) -> DataFrame:
     bc = spark.sparkContext.broadcast(arrays)
     xcols = [f"_x{i}" for i in range(len(RISK_FEATURES))]
     x = feature_columns(feats)
-    inp = feats.select(*SCENARIO_KEYS, *[c.alias(n) for c, n in zip(x, xcols)])
-    out_schema = (
-        "city string, location_area string, hour int, input_date date, s_key string, "
-        "broad_probs array<double>, specific_probs array<double>"
-    )
+    keys = scenario_columns(feats)
+    inp = feats.select(*keys, *[c.alias(n) for c, n in zip(x, xcols)])
+    kinds = dict(feats.dtypes)
+    out_schema = ", ".join(f"{c} {kinds[c]}" for c in keys)
+    out_schema += ", s_key string, broad_probs array<double>, specific_probs array<double>"
 
     def run(batches):
         mdl = bc.value
@@ -394,10 +402,7 @@ def score(feats: DataFrame, models: DataFrame) -> DataFrame:
                 ps[idx] = _softmax_rows(xm[idx] @ sw.T + sb)
             yield pd.DataFrame(
                 {
-                    "city": pdf["city"],
-                    "location_area": pdf["location_area"],
-                    "hour": pdf["hour"],
-                    "input_date": pdf["input_date"],
+                    **{c: pdf[c] for c in keys},
                     "s_key": key,
                     "broad_probs": list(pb),
                     "specific_probs": list(ps),
@@ -412,7 +417,7 @@ def score(feats: DataFrame, models: DataFrame) -> DataFrame:
         F.coalesce(F.col("city"), F.lit("")).alias("s_key"), labels.alias("specific_labels")
     )
     return scored.join(spec_labels, ["s_key"]).select(
-        *SCENARIO_KEYS,
+        *keys,
         F.when(F.col("s_key") != "", F.lit(SOURCE_CITY)).otherwise(F.lit(SOURCE_STATE)).alias("model_source"),
         broad_labels.alias("broad_labels"),
         "specific_labels",
@@ -444,7 +449,7 @@ def probabilities(scored: DataFrame) -> DataFrame:
                     F.element_at(F.col(probs), k + 1).alias("Probability"),
                 )
             )
-    return scored.select(*SCENARIO_KEYS, F.inline(F.array(*items)))
+    return scored.select(*scenario_columns(scored), F.inline(F.array(*items)))
 
 
 def top_specific(scored: DataFrame, n: int = TOP_SPECIFIC) -> DataFrame:
@@ -460,8 +465,9 @@ def top_specific(scored: DataFrame, n: int = TOP_SPECIFIC) -> DataFrame:
         for k in range(len(OFFENSE_CLASSES))
     ]
     best = F.slice(F.sort_array(F.array(*classes), asc=False), 1, n)
-    return scored.select(*SCENARIO_KEYS, F.posexplode(best).alias("at", "best")).select(
-        *SCENARIO_KEYS, "best.pos", "best.label", "best.Probability", (F.col("at") + 1).alias("rank")
+    keys = scenario_columns(scored)
+    return scored.select(*keys, F.posexplode(best).alias("at", "best")).select(
+        *keys, "best.pos", "best.label", "best.Probability", (F.col("at") + 1).alias("rank")
     )
 
 
@@ -477,7 +483,7 @@ def headline(scored: DataFrame) -> DataFrame:
         ]
 
     return scored.select(
-        *SCENARIO_KEYS,
+        *scenario_columns(scored),
         "model_source",
         *best("broad_labels", "broad_probs", "broad"),
         *best("specific_labels", "specific_probs", "specific"),
@@ -486,7 +492,7 @@ def headline(scored: DataFrame) -> DataFrame:
 
 def scenarios_from_incidents(inc: DataFrame) -> DataFrame:
     """Every recorded incident context as a what-if scenario (location type
-    inferred); works on incident rows or their lookup summary."""
+    inferred)."""
     return (
         inc.where(F.col("city").isNotNull() & F.col("location_area").isNotNull())
         .select("city", "location_area", "hour", F.col("date").alias("input_date"))

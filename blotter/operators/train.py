@@ -27,7 +27,6 @@ from blotter.operators import forecast as FC
 from blotter.operators import risk as R
 from blotter.schema import BROAD_CLASSES, FORECAST_FEATURES, LOOKUP_STAT_COLS, OFFENSE_CLASSES
 from blotter.functions.features import broad_class, offense_class
-from blotter.session import broadcast_if_small
 
 # --- M10: volume models ----------------------------------------------------------------
 
@@ -42,7 +41,7 @@ def volume_training_rows(daily: DataFrame) -> DataFrame:
     lo = daily.select(F.min("date")).scalar()
     hi = daily.select(F.max("date")).scalar()
     flags = C.holiday_flag_table(daily.sparkSession, lo, hi)
-    rows = hist.join(stats, ["date", "city"]).join(broadcast_if_small(flags), ["date"], "left")
+    rows = hist.join(stats, ["date", "city"]).join(flags, ["date"], "left")
     hol = {c: F.col(c) for c in ("is_holiday", "is_day_before_holiday", "is_day_after_holiday")}
     feats = FC.static_features(F.col("date"), F.struct(*[F.col(c) for c in LOOKUP_STAT_COLS]), hol)
     return rows.select(
@@ -175,11 +174,11 @@ def classifier_training_rows(inc: DataFrame, ctx: R.RiskContext) -> DataFrame:
     )
 
 
-def _fit_multinomial(rows: DataFrame, label: str, labels: list[str], model_name: str, reg: float) -> DataFrame:
+def _fit_multinomial(rows: DataFrame, label: str, labels: list[str], model_name: str, reg: float, max_iter: int) -> DataFrame:
     from pyspark.ml.functions import array_to_vector
 
     data = rows.select(array_to_vector("x").alias("features"), F.col(label).alias("label"), F.col("w").cast("double").alias("w"))
-    lr = LogisticRegression(family="multinomial", regParam=reg, weightCol="w", maxIter=50, standardization=True)
+    lr = LogisticRegression(family="multinomial", regParam=reg, weightCol="w", maxIter=max_iter, standardization=True)
     m = lr.fit(data)
     mat = m.coefficientMatrix.toArray()
     icpt = m.interceptVector.toArray()
@@ -192,11 +191,11 @@ def _fit_multinomial(rows: DataFrame, label: str, labels: list[str], model_name:
     return rows.sparkSession.createDataFrame(out, R.MODEL_SCHEMA)
 
 
-def fit_risk_models(inc: DataFrame, ctx: R.RiskContext, reg: float = 0.01) -> DataFrame:
+def fit_risk_models(inc: DataFrame, ctx: R.RiskContext, reg: float = 0.01, max_iter: int = 50) -> DataFrame:
     """Broad (3-class) and specific (13-class) statewide classifiers."""
     rows = classifier_training_rows(inc, ctx)
-    broad = _fit_multinomial(rows, "label3", BROAD_CLASSES, "broad", reg)
-    spec = _fit_multinomial(rows, "label13", OFFENSE_CLASSES, "specific", reg)
+    broad = _fit_multinomial(rows, "label3", BROAD_CLASSES, "broad", reg, max_iter)
+    spec = _fit_multinomial(rows, "label13", OFFENSE_CLASSES, "specific", reg, max_iter)
     return broad.unionByName(spec)
 
 

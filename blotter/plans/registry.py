@@ -204,17 +204,18 @@ def q_location_daily_mean(spark, sf):
 
 @register("hour_typical")
 def q_hour_typical(spark, sf):
-    return L.hour_typical(L.lookup_summary(incidents(spark, sf)))
+    return L.hour_typical(L.hour_counts(incidents(spark, sf)))
 
 
 @register("hour_diversity")
 def q_hour_diversity(spark, sf):
-    return L.hour_diversity(L.lookup_summary(incidents(spark, sf)))
+    inc = incidents(spark, sf)
+    return L.hour_diversity(inc, L.hour_counts(inc))
 
 
 @register("domains")
 def q_domains(spark, sf):
-    return L.domains(L.lookup_summary(incidents(spark, sf)))
+    return L.domains(incidents(spark, sf))
 
 
 # --- scalar features: F1-F6, F9, J8 -----------------------------------------------
@@ -350,14 +351,14 @@ from blotter.operators import risk as R  # noqa: E402
 
 
 def _risk_scored(spark, sf) -> DataFrame:
-    inc = L.lookup_summary(incidents(spark, sf))
+    inc = incidents(spark, sf)
     feats = R.risk_features(R.scenarios_from_incidents(inc), R.context_from_incidents(inc))
-    return R.score(feats, R.demo_classifiers(spark))
+    return R.score(feats.drop("location_type_in"), R.demo_classifiers(spark))  # no type is asked for
 
 
 @register("risk_features")
 def q_risk_features(spark, sf):
-    inc = L.lookup_summary(incidents(spark, sf))
+    inc = incidents(spark, sf)
     return R.risk_features(R.scenarios_from_incidents(inc), R.context_from_incidents(inc))
 
 
@@ -399,8 +400,8 @@ def q_volume_model_fit(spark, sf):
 
 @register("risk_model_fit")
 def q_risk_model_fit(spark, sf):
-    inc = L.lookup_summary(incidents(spark, sf))
-    return TR.fit_risk_models(incidents(spark, sf), R.context_from_incidents(inc))
+    inc = incidents(spark, sf)
+    return TR.fit_risk_models(inc, R.context_from_incidents(inc))
 
 
 @register("backtest")

@@ -43,8 +43,7 @@ def forecast_report(daily: DataFrame, coefs: DataFrame, origin: Column, cities:
 
 def risk_report(scenarios: DataFrame, inc: DataFrame, models: DataFrame) -> dict[str, DataFrame]:
     """R2: broad probabilities (all classes), top-5 specific, headline, class order."""
-    summary = L.lookup_summary(inc)
-    scored = R.score(R.risk_features(scenarios, R.context_from_incidents(summary)), models)
+    scored = R.score(R.risk_features(scenarios, R.context_from_incidents(inc)), models)
     probs = R.probabilities(scored)
     return {
         "broad": probs.where(F.col("model") == "broad").orderBy("Probability"),

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+#: One scratch folder, whichever thread asks first.
+_FOLDER = threading.Lock()
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "blotter") -> SparkSession:
     """Local session for tests and the bench; a cluster job brings its own."""
     return (
@@ -30,17 +36,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "blo
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) a scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session. Where it is unset, a local
+    session (one machine, as in tests) gets a scratch folder; on a cluster, whose
+    executors would each write to their own disk, that is an error.
     """
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
+    with _FOLDER:
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            master = spark.sparkContext.master
+            if not re.fullmatch(r"local(\[[^]]*\])?", master):
+                raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+            conf = tempfile.mkdtemp(prefix="blotter-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", conf)
         spark.sparkContext.setCheckpointDir(conf)
         return conf
-    local = tempfile.mkdtemp(prefix="blotter-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
 
 
 def materialize(df):
@@ -57,16 +66,6 @@ def materialize(df):
     return spark.read.parquet(path)
 
 
-def broadcast_if_small(df, max_rows: int = 1_000_000):
-    """Broadcast a lookup only behind a size check: its row count (cheap on a
-    materialised or domain-sized table) must be under ``max_rows``; beyond
-    that the join stays a shuffle join (and AQE may still convert it)."""
-    from pyspark.sql import functions as F
-
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def materialize_all(frames: dict, max_workers: int = 8) -> dict:
     """``materialize`` several independent small intermediates as concurrent
     Spark jobs (one driver thread each), so their few tasks share the cluster

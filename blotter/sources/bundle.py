@@ -65,13 +65,22 @@ def load_bundle(spark: SparkSession, path: str) -> dict[str, DataFrame] | None:
     out = {}
     for name in BUNDLE_TABLES + ["legacy_lookups"]:
         p = f"{path}/{name}"
-        if name == "legacy_lookups" and not _exists(spark, p):
-            continue
-        out[name] = spark.read.parquet(p)
+        if not _exists(spark, p):
+            if name == "legacy_lookups":
+                continue
+            return None
+        out[name] = _year_last(spark.read.parquet(p))
     out["manifest"] = spark.createDataFrame([manifest])
     return out
 
 
+def _year_last(df: DataFrame) -> DataFrame:
+    """A partition column reads back as the last one and an int: the same on both paths."""
+    if "year" not in df.columns:
+        return df
+    return df.select(*[c for c in df.columns if c != "year"], F.col("year").cast("int").alias("year"))
+
+
 def _exists(spark: SparkSession, p: str) -> bool:
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem check, works for any URI
     conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
@@ -85,19 +94,20 @@ def bundle_from_incidents(inc: DataFrame) -> dict[str, DataFrame]:
     from blotter.operators import staffing as S
 
     daily = D.daily_city(inc)
-    return {
+    tables = {
         "daily_city": daily,
         "officer_trends": S.officer_trends(inc),
         "crime_distribution": D.crime_distribution(inc),
         "location_areas": inc.where(F.col("location_area").isNotNull()).select("location_area").distinct(),
         "years": inc.select("year").distinct(),
     }
+    return {name: _year_last(t) for name, t in tables.items()}
 
 
 def load_tables(spark: SparkSession, bundle_path: str | None, incidents: DataFrame | None) -> dict[str, DataFrame]:
     """The bundle when valid, else the same tables aggregated from raw rows.
 
-    Both paths return the same table names and schemas; ``source`` says which.
+    Both paths return the same table names, columns and types; ``source`` says which.
     """
     if bundle_path is not None:
         b = load_bundle(spark, bundle_path)

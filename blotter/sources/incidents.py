@@ -8,35 +8,39 @@ source has none: order-dependent reads (A2, A8) need it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.schema import INCIDENT_COLUMNS, RAW_INCIDENT_SCHEMA
 
 
-def read_incidents_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV scan of the 13 named columns, fixed schema, header row."""
+def read_incidents_csv(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
+    """CSV scan of the 13 named columns, fixed schema, header row. ``where`` is
+    pushed into the scan, which a filter after the row order can't be."""
     df = (
         spark.read.schema(RAW_INCIDENT_SCHEMA)
         .option("header", True)
         .option("enforceSchema", False)
         .csv(path)
-        .select(*INCIDENT_COLUMNS)
     )
-    return with_row_order(df)
+    df = df if where is None else df.where(where)
+    return df.select(*INCIDENT_COLUMNS, _file_order())
 
 
 def read_incidents_parquet(spark: SparkSession, path: str) -> DataFrame:
     """S1, Parquet form: the same projection; ``row_order`` kept if written."""
     df = spark.read.parquet(path)
-    cols = INCIDENT_COLUMNS + (["row_order"] if "row_order" in df.columns else [])
-    df = df.select(*cols)
-    return df if "row_order" in df.columns else with_row_order(df)
+    return df.select(*INCIDENT_COLUMNS, "row_order" if "row_order" in df.columns else _file_order())
 
 
-def with_row_order(df: DataFrame) -> DataFrame:
-    """File-order stand-in taken right at the scan (unique, increasing per file split)."""
-    return df.withColumn("row_order", F.monotonically_increasing_id())
+def _file_order() -> Column:
+    """Order of the rows over all files: path, block of the file, row of the scan. Spark's
+    splits come largest first, so the row number alone doesn't follow the files."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    ).alias("row_order")
 
 
 def type_incidents(raw: DataFrame) -> DataFrame:

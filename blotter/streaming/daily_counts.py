@@ -3,7 +3,7 @@
 Incident files arriving in a folder are counted per (1-day event-time
 window, city) with a watermark, so state for days older than the watermark
 is dropped and late rows beyond it are ignored. Each micro-batch's updated
-counts are appended to a Parquet table through ``foreachBatch``; the
+counts are written to a Parquet table through ``foreachBatch``, a folder a batch; the
 current count of a (day, city) is its latest (largest) value.
 """
 
@@ -41,21 +41,22 @@ def daily_counts_stream(events: DataFrame, watermark: str = "2 days") -> DataFra
     )
 
 
-def run_daily_counts(spark: SparkSession, source_dir: str, out_dir: str, watermark: str = "2 days") -> str:
-    """Process every file present in ``source_dir`` (availableNow trigger) and
-    append updated counts to ``out_dir``; returns ``out_dir``."""
-    base = checkpoint_dir(spark).rstrip("/")
-    ckpt = f"{base}/stream-{uuid.uuid4().hex}"
+def run_daily_counts(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, watermark: str = "2 days") -> str:
+    """Process the files of ``source_dir`` that ``checkpoint`` has not seen (availableNow
+    trigger) and write the updated counts to ``out_dir``; returns ``out_dir``.
+
+    State and progress live in ``checkpoint``, so a later run goes on from there. A batch
+    that is tried again after a failure replaces its own folder."""
     events = spark.readStream.schema(EVENT_SCHEMA).parquet(source_dir)
 
-    def sink(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("append").parquet(out_dir)
+    def sink(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={epoch}")
 
     q = (
         daily_counts_stream(events, watermark)
         .writeStream.outputMode("update")
         .foreachBatch(sink)
-        .option("checkpointLocation", ckpt)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
@@ -76,5 +77,5 @@ def stream_incident_counts(spark: SparkSession, incidents: DataFrame, watermark:
     incidents.where(F.col("city").isNotNull()).select(
         day_start_utc(F.col("date")).alias("ts"), "city"
     ).write.parquet(src)
-    run_daily_counts(spark, src, out, watermark)
+    run_daily_counts(spark, src, out, f"{base}/stream-{uuid.uuid4().hex}", watermark)
     return current_counts(spark, out)
