@@ -8,11 +8,18 @@ branches on the minwise token of its set under the step's hash, so two classes o
 similarity s are together after k steps with chance s**k. Nodes are looked at
 after each depth of ``DEPTHS``; a node of at most ``SMALL`` classes is compared
 exhaustively, a larger one branches on, and every class of it is compared with
-the node's leaders (the first under ``LEADERS`` orders), which links groups of
+the node's leaders (the first under ``LEADERS`` orders, two of them by a hash that the
+node's key seeds), which links groups of
 many near copies in a number of comparisons that grows with their members.
 
+What this leaves unconnected in the large nodes of the first depth goes through
+an exact join: of two sets alike by the threshold, each holds the first common item
+of any fixed order so early that the items left after it can make up the overlap.
+The order is by rising count, so the items that a group's template brings stand last;
+items whose classes are all connected already are left out, for they link nothing.
+
 At similarity 0.8 a pair shares no depth-2 node of 12 trees with chance
-0.36**12 = 5e-6. Signature estimates drop only candidates four deviations
+0.36**12 = 5e-6, whatever the nodes' sizes. Signature estimates drop only candidates four deviations
 below the threshold, and links are confirmed on the full sets, the best
 candidate of each class first, then all whose ends are not yet connected.
 
@@ -28,6 +35,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +51,10 @@ SLACK = 0.16  # four deviations of an estimate from 128 values
 SIGNATURE = 128
 MEMO_WORDS = 400_000
 SALTS = 16
+#: Counters of the items in large nodes, by the items' last bits; they only order the items.
+COUNTERS = 1 << 18
+#: Rows of one item that a share of its pairs is dealt by.
+ITEM_ROWS = 2_000
 
 _RNG = np.random.default_rng(3)
 _A = (_RNG.integers(0, 2**31, SIGNATURE) * 2 + 1).astype(np.uint32)
@@ -120,14 +132,18 @@ def _features(docs: DataFrame, text_col: str, width: int) -> DataFrame:
     )
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (a < b) of classes that meet in a small node, or of a class and a
-    leader of a large one. Distinct; sizes already fit the threshold."""
-    levels = len(DEPTHS)
-    at = classes.select("id", "n", F.posexplode("keys").alias("pos", "key")).select(
-        "id", "n", "key", (F.col("pos") % levels).alias("level"), "pos"
+def _places(classes: DataFrame) -> DataFrame:
+    """Every class at each node of its paths."""
+    return classes.select("id", "n", F.posexplode("keys").alias("pos", "key")).select(
+        "id", "n", "key", (F.col("pos") % len(DEPTHS)).alias("level"), "pos"
     )
-    first = F.struct(F.xxhash64("id", F.lit(1)).alias("by"), "id", "n")
+
+
+def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of classes that meet in a small node, or of a class and a
+    leader of a large one, distinct, of sizes that fit the threshold; and the large nodes."""
+    at = _places(classes)
+    first = F.struct(F.xxhash64("id", "key").alias("by"), "id", "n")
     nodes = at.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"),
         F.min(F.struct(F.col("id").alias("by"), "id", "n")).alias("l0"),
@@ -156,12 +172,81 @@ def _candidates(classes: DataFrame) -> DataFrame:
         .select(F.struct("id", "n").alias("x"), F.explode(F.array_distinct("leaders")).alias("y"))
     )
     fits = 10 * F.least("x.n", "y.n") >= 8 * F.greatest("x.n", "y.n")
-    return (
+    pairs = (
         small.union(star)
         .where(fits & (F.col("x.id") != F.col("y.id")))
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
         .distinct()
     )
+    return pairs, large.select("key")
+
+
+def _unsettled(classes: DataFrame, large: DataFrame, label: DataFrame) -> DataFrame:
+    """Distinct (doc_id, label) of the classes that share a large node of the first depth with a
+    class they are not connected to."""
+    at = _places(classes).where("level = 0").join(large, "key").select("id", "key")
+    at = materialize(at.join(label, "id", "left").select("id", "key", F.coalesce("label", "id").alias("label")))
+    mixed = at.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    return materialize(at.join(mixed, "key", "left_semi").select(F.col("id").alias("doc_id"), "label").distinct())
+
+
+def _counts(sets: DataFrame) -> np.ndarray:
+    """How many sets hold an item of each counter, summed by Spark."""
+
+    def run(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            items = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+            total += np.bincount((items & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["at", "k"])
+
+    got = sets.select("items").mapInArrow(run, "at bigint, k bigint").groupBy("at").agg(F.sum("k").alias("k")).toArrow()
+    out = np.zeros(COUNTERS, np.int64)
+    out[got["at"].to_numpy()] = got["k"].to_numpy()
+    return out
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """Each set's first items under the order by count, and how many items are left from each on:
+    as many as can hold the first common item with a set alike by ``percent``."""
+    counts = _counts(sets)
+    kind = dict(sets.dtypes)["doc_id"]
+
+    def rows(_, ids, labels, items):
+        n, first = [], []
+        for x in items:
+            x = np.frombuffer(x, np.uint64)
+            x = x[np.lexsort((x, counts[x & np.uint64(COUNTERS - 1)]))]
+            n.append(len(x))
+            first.append(x[: len(x) - -(-percent * len(x) // 100) + 1].view(np.int64).tolist())
+        return {"label": labels, "n": n, "first": first}
+
+    got = map_docs(
+        sets, ["doc_id", "label", "items"], rows, f"doc_id {kind}, label {kind}, n bigint, first array<bigint>"
+    )
+    return got.select(F.col("doc_id").alias("id"), "label", "n", F.posexplode("first").alias("pos", "item")).select(
+        "id", "label", "n", (F.col("n") - F.col("pos")).alias("left"), "item"
+    )
+
+
+def _exact(sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a < b) of unconnected sets whose first common item leaves room for an overlap of
+    ``percent``. Distinct; a hot item's pairs are dealt out by one end's hash."""
+    at = materialize(_prefixes(sets, percent))
+    # an item all of whose classes are connected links nothing
+    items = at.groupBy("item").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
+    items = items.where("low <> high").select("item", F.ceil(F.col("size") / ITEM_ROWS).cast("int").alias("shares"))
+    at = materialize(at.join(items, "item"))
+    x = at.select("item", F.pmod(F.xxhash64("id"), "shares").cast("int").alias("share"), F.struct("id", "label", "n", "left").alias("x"))
+    y = at.select("item", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.struct("id", "label", "n", "left").alias("y"))
+    room = (100 + percent) * F.least("x.left", "y.left") >= percent * (F.col("x.n") + F.col("y.n"))
+    return (
+        x.join(y, ["item", "share"])
+        .where((F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & room)
+        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+        .distinct()
+    )
 
 
 def _estimates(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
@@ -216,31 +301,19 @@ def connected(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept, one row per input row."""
-    prepare(docs.sparkSession)
-    docs = docs.select("doc_id", F.col(text_col).alias("_t"))
-    feats = materialize(_features(docs, "_t", width))
-    # equal sets: one class, combined before the shuffle
-    classes = materialize(
-        feats.where("n > 0 AND doc_id IS NOT NULL")
-        .groupBy("print")
-        .agg(F.min(F.struct("doc_id", "n", "sig", "keys")).alias("c"))
-        .select("print", F.col("c.doc_id").alias("id"), "c.n", "c.sig", "c.keys")
-    )
-    pairs = materialize(_estimates(_candidates(classes), classes, percent / 100 - SLACK))
-    # written, so that the planner knows its size: while it may be broadcast, no text is shuffled
-    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    wanted = docs.join(ends, "doc_id", "left_semi")
-    kind = dict(docs.dtypes)["doc_id"]
+def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, the set's items and their print."""
 
     def rows(memo, ids, texts):
-        return {"items": [shingles(t, width, memo).tobytes() for t in texts]}
+        items = [shingles(t, width, memo).tobytes() for t in texts]
+        return {"items": items, "print": [hashlib.blake2b(x, digest_size=16).digest() for x in items]}
 
-    sets = map_docs(wanted, ["doc_id", "_t"], rows, f"doc_id {kind}, items binary", WordHash)
-    # rows of one id with several texts: the id's set is that of any of them that fits
-    sets = materialize(sets.where(F.length("items") > 0))
-    # each class with its likeliest partner, then the candidates that this left unconnected
+    kind = dict(docs.dtypes)["doc_id"]
+    return map_docs(docs, ["doc_id", "_t"], rows, f"doc_id {kind}, items binary, print binary", WordHash)
+
+
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The confirmed pairs: each class with its likeliest partner, then the candidates that this left unconnected."""
     ways = pairs.select("a", "b", "est", F.explode(F.array("a", "b")).alias("end"))
     best = ways.groupBy("end").agg(F.max(F.struct("est", "a", "b")).alias("m"))
     best = materialize(best.select("m.a", "m.b").distinct())
@@ -254,7 +327,35 @@ def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent:
         .join(best, ["a", "b"], "left_anti")
         .select("a", "b")
     )
-    more = materialize(_confirmed(rest, sets, percent).distinct())
+    return done.union(materialize(_confirmed(rest, sets, percent).distinct()))
+
+
+def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept, one row per input row."""
+    prepare(docs.sparkSession)
+    docs = docs.select("doc_id", F.col(text_col).alias("_t"))
+    feats = materialize(_features(docs, "_t", width))
+    # equal sets: one class, combined before the shuffle
+    classes = materialize(
+        feats.where("n > 0 AND doc_id IS NOT NULL")
+        .groupBy("print")
+        .agg(F.min(F.struct("doc_id", "n", "sig", "keys")).alias("c"))
+        .select("print", F.col("c.doc_id").alias("id"), "c.n", "c.sig", "c.keys")
+    )
+    candidates, large = _candidates(classes)
+    pairs = materialize(_estimates(candidates, classes, percent / 100 - SLACK))
+    # written, so that the planner knows its size: while it may be broadcast, no text is shuffled
+    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    # rows of one id with several texts: the id's set is that of any of them that fits
+    sets = materialize(_sets(docs.join(ends, "doc_id", "left_semi"), width).where(F.length("items") > 0).select("doc_id", "items"))
+    links = _links(pairs, sets, percent)
+    # what is still apart in large nodes
+    apart = _unsettled(classes, large, connected(links))
+    if not apart.isEmpty():
+        sets = _sets(docs.join(apart, "doc_id", "left_semi"), width).where(F.length("items") > 0)
+        sets = materialize(sets.dropDuplicates(["doc_id", "print"]).join(apart, "doc_id"))
+        pairs = materialize(_estimates(_exact(sets, percent), classes, percent / 100 - SLACK))
+        links = links.union(_links(pairs, sets.select("doc_id", "items"), percent))
     # ids that stand for several classes (one id, several texts) tie these together
     member = feats.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "print").join(
         classes.select("print", "id"), "print"
@@ -262,7 +363,7 @@ def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent:
     ties = member.where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     several = member.groupBy("doc_id").agg(F.count_distinct("print").alias("k")).where("k > 1").select("doc_id")
     ties = ties.join(several, F.col("b") == F.col("doc_id"), "left_semi")
-    label = connected(done.union(more).union(ties))
+    label = connected(links.union(ties))
     by_print = classes.select("print", "id").join(label, "id", "left").select(
         "print", F.coalesce("label", "id").alias("component_id")
     )

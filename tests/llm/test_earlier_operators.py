@@ -93,6 +93,28 @@ def test_components_by_brute_force(spark):
     }
 
 
+def test_near_dups_inside_a_template_group(spark):
+    """Sets that all draw on one template, below the threshold but for planted pairs: no node is small."""
+    rng = np.random.default_rng(6)
+    held = np.zeros((900, 180), np.int64)
+    for i in range(900):
+        held[i, rng.permutation(180)[:150]] = 1
+    for i in range(0, 120, 2):
+        held[i + 1] = held[i]
+        held[i + 1, rng.permutation(np.flatnonzero(held[i] == 1))[:14]] = 0
+        held[i + 1, rng.permutation(np.flatnonzero(held[i] == 0))[:14]] = 1
+    both = held @ held.T
+    alike = 100 * both >= 80 * (300 - both)
+    assert alike.sum() < 900 + 2 * 70
+    label = np.arange(900)
+    while (near := np.where(alike, label[None], 900).min(axis=1)).tolist() != label.tolist():
+        label = near
+    texts = [" ".join(f"w{k}" for k in np.flatnonzero(row)) for row in held]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_dups.components(docs, width=1).collect()}
+    assert got == dict(enumerate(label.tolist()))
+
+
 def test_secret_spans(spark):
     rng = random.Random(5)
     key = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(40))
