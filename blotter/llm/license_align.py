@@ -1,16 +1,16 @@
 """License scans: patience alignment of texts with license templates.
 
 Texts and templates are words (runs of letters and digits, lower case). A
-template is looked for around every occurrence of its key, the template's
-word that the fewest templates share (the longest of equals). There, words that occur once in
+template is looked for around every occurrence of its keys, the template's
+words that the fewest templates share (the longest of equals), one more than
+may be lost: a notice that covers enough holds one of them. There, words that occur once in
 the text's region and once in the template are anchors; the longest run of
 anchors in the same order in both is kept (longest increasing subsequence), and
 the gaps between them are aligned the same way. A gap without such words gives
 the equal words at its two ends. Coverage is the share of the template's words
 that are aligned; the span runs from the first to the last of them.
 
-A text is read by its words only if it holds a key, so a notice without any of its keys is
-not found. Defined results: null and empty texts hold no license; of overlapping spans that cover
+A template is left out for a text that lacks more of its distinct words than may be lost. Defined results: null and empty texts hold no license; of overlapping spans that cover
 enough, the one with most aligned words is kept (ties: the earlier, then the template's name); repeated rows
 repeat the result; an empty table gives an empty result; further columns are ignored.
 """
@@ -21,6 +21,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from blotter.llm.common import map_docs
 
 #: Share of a template's words that must be aligned, in percent.
 COVER = 80
-#: Words of a template that lead to it.
+#: Words of a template that lead to it, at least.
 KEYS = 3
 #: Words that a region may be longer than its template, on either side, and by the template's length.
 SLACK = 4
@@ -91,16 +92,20 @@ class Template:
     name: str
     words: tuple[str, ...]
     keys: dict[str, tuple[int, ...]]  # and where each stands
+    distinct: frozenset[str]
+    lost: int  # words that a notice may lack
 
     @staticmethod
-    def all(templates: dict[str, str]) -> list[Template]:
+    def all(templates: dict[str, str], cover: int = COVER) -> list[Template]:
         made = {name: tuple(words_of(text)) for name, text in templates.items()}
         spread = Counter(w for words in made.values() for w in set(words))
         out = []
         for name, words in sorted(made.items()):
             if words:
-                rare = sorted(set(words), key=lambda w: (w.isdigit(), spread[w], words.count(w), -len(w), w))[:KEYS]
-                out.append(Template(name, words, {k: tuple(i for i, w in enumerate(words) if w == k) for k in rare}))
+                lost = len(words) - -(-cover * len(words) // 100)
+                rare = sorted(set(words), key=lambda w: (w.isdigit(), spread[w], words.count(w), -len(w), w))[: max(KEYS, lost + 1)]
+                keys = {k: tuple(i for i, w in enumerate(words) if w == k) for k in rare}
+                out.append(Template(name, words, keys, frozenset(words), lost))
         return out
 
 
@@ -147,29 +152,29 @@ def align(text: list[str], template: tuple[str, ...]) -> list[tuple[int, int]]:
 
 class Scanner:
     def __init__(self, templates: dict[str, str], cover: int = COVER):
-        self.templates, self.cover = Template.all(templates), cover
-        self.by_key: dict[str, list[Template]] = {}
-        for t in self.templates:
-            for key in t.keys:
-                self.by_key.setdefault(key, []).append(t)
-        self.hint = re.compile("|".join(map(re.escape, sorted(self.by_key))))
+        self.templates, self.cover = Template.all(templates, cover), cover
 
     def find(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(name, coverage, start, end) of the licenses in a text, by start; code points, end exclusive."""
-        low = (text or "").lower()
-        if not self.by_key or not self.hint.search(low):
-            return []
-        spots = list(_WORD.finditer(text))
-        words = [m[0].lower() for m in spots]
+        words = [w.lower() for w in _WORD.findall(text or "")]
+        held = set(words)
         found = []
-        for i, w in enumerate(words):
-            for t in self.by_key.get(w, ()):
-                slack = SLACK + int(SLACK_SHARE * len(t.words))
-                for place in t.keys[w]:
-                    a = max(0, i - place - slack)
-                    pairs = align(words[a : i - place + len(t.words) + slack], t.words)
+        for t in self.templates:
+            if len(t.distinct) - len(t.distinct & held) > t.lost:
+                continue
+            slack = SLACK + int(SLACK_SHARE * len(t.words))
+            of_it = [0, *accumulate(w in t.distinct for w in words)]
+            for i, w in enumerate(words):
+                for place in t.keys.get(w, ()):
+                    a, b = max(0, i - place - slack), min(len(words), max(0, i - place + len(t.words) + slack))
+                    if len(t.words) - (of_it[b] - of_it[a]) > t.lost:
+                        continue
+                    pairs = align(words[a:b], t.words)
                     if 100 * len(pairs) >= self.cover * len(t.words):
                         found.append((-len(pairs), a + pairs[0][0], t.name, a + pairs[-1][0] + 1, len(pairs) / len(t.words)))
+        if not found:
+            return []
+        spots = list(_WORD.finditer(text))
         out: list[tuple] = []
         for f in sorted(set(found)):
             if all(f[3] <= o[1] or f[1] >= o[3] for o in out):

@@ -28,6 +28,15 @@ def test_alignment_is_a_common_subsequence():
     assert len(align(list("xxabcdefyy"), tuple("abcdef"))) == 6
 
 
+def test_notices_that_lost_their_rarest_words():
+    scanner = Scanner(TEMPLATES)
+    for t in scanner.templates:
+        # as many words as may be lost, those that lead to the template first
+        lost = sorted(range(len(t.words)), key=lambda i: (list(t.keys) + [t.words[i]]).index(t.words[i]))[: t.lost]
+        text = " ".join("xyz" if i in lost else w for i, w in enumerate(t.words))
+        assert t.name in [f[0] for f in scanner.find(f"before {text} after")]
+
+
 def test_every_template_is_found_alone_and_changed():
     scanner = Scanner(TEMPLATES)
     rng = random.Random(3)
