@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows an Arrow batch may hold, so that a worker's memory is bounded by this many texts.
 BATCH_ROWS = 500
@@ -37,6 +38,12 @@ def prepare(spark: SparkSession) -> None:
     sc._blotter_shipped = True
 
 
+def smallest(docs: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """At most ``rows`` rows, those of the smallest hash of id and text: the same on every run,
+    null and hot ids with the others, chosen by their hash before any is gathered."""
+    return docs.orderBy(F.xxhash64(id_col, text_col), id_col, text_col).limit(rows)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings of an Arrow column; null becomes the empty text."""
     return ["" if t is None else t for t in column.to_pylist()]

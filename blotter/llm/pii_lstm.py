@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import code_points, map_docs, replace_column, rewrite_docs, span_text
+from blotter.llm.common import code_points, map_docs, replace_column, rewrite_docs, smallest, span_text
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that labelled windows are taken from, at most about so many, and windows of each.
+#: Documents that labelled windows are taken from, at most so many, and windows of each.
 SAMPLE_DOCS = 2_000
 SAMPLE_WINDOWS = 3
 CORE, CONTEXT = 64, 32
@@ -334,11 +334,8 @@ def _window(text_classes: np.ndarray, tags: np.ndarray, at: int) -> tuple[np.nda
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, text_col: str = "text") -> Network:
-    """Train on generated spans and on labelled windows of about ``sample`` documents, those of the smallest id hash."""
-    share = min(1.0, sample / max(1, docs.count()))
-    chosen = docs.select(F.col("doc_id").alias("_id"), F.col(text_col).alias("_t")).where(
-        F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000)
-    )
+    """Train on generated spans and on labelled windows of at most ``sample`` documents, those of the smallest hash."""
+    chosen = smallest(docs.select(F.col("doc_id").alias("_id"), F.col(text_col).alias("_t")), sample, "_id", "_t")
 
     def run(_, ids, texts):
         found = []

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import map_docs, rewrite_docs
+from blotter.llm.common import map_docs, rewrite_docs, smallest
 
 #: Labelled rows the trees are fitted on, at most.
 SAMPLE_ROWS = 6_000
@@ -217,8 +217,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
         .groupBy("doc_id")
         .agg((1 - F.min("quality")).alias("_bad"))
     )
-    # at most about ``rows`` small rows, whatever the input's size
-    texts = docs.select("doc_id", F.col(text_col).alias("_text")).join(F.broadcast(chosen), "doc_id")
+    # at most ``rows`` rows, whatever the input's size and however often an id is there
+    texts = smallest(docs.select("doc_id", F.col(text_col).alias("_text")).join(F.broadcast(chosen), "doc_id"), rows, "doc_id", "_text")
 
     def features(_, ids, texts_, bad):
         made = [document_stats(t or "").features.tolist() for t in texts_]
@@ -227,7 +227,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     got = map_docs(
         texts, ["doc_id", "_text", "_bad"], features, "doc_id bigint, bad int, x array<double>"
     ).collect()
-    got = sorted(got, key=lambda r: (r["doc_id"], r["x"]))[:rows]
+    got = sorted(got, key=lambda r: (r["doc_id"], r["x"]))
     x = np.array([r["x"] for r in got]) if got else np.zeros((0, len(FEATURES)))
     return x, np.array([r["bad"] for r in got], float)
 

@@ -1,7 +1,7 @@
 """Secret scans: character Markov models of random strings and of ordinary identifiers.
 
 Both are trigram models over the 67 characters of ``[A-Za-z0-9+/_=.-]`` and the
-word edge. The ordinary model is counted over the words of a bounded sample of
+word edge. The ordinary model is counted over the words of all
 documents outside the spans that the base patterns label as secrets; the
 random model over those labelled spans and generated keys of common alphabets.
 A run of such characters whose log-likelihood ratio is high enough, in total
@@ -25,10 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import map_docs, replace_column, rewrite_docs, span_text
+from blotter.llm.common import map_docs, prepare, replace_column, rewrite_docs, span_text, texts_of
 
-#: Documents whose words train the model of ordinary identifiers, at most about so many.
-SAMPLE_DOCS = 2_000
 MIN_RUN = 20
 MIN_RATIO = 15.0
 MIN_RATIO_PER_CHAR = 0.6
@@ -132,35 +130,34 @@ class Markov:
         return not upper[1:].any() or upper.all()
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, text_col: str = "text") -> Markov:
-    """Counts of the ordinary model come from about ``sample`` documents (those
-    of the smallest id hash), summed by Spark; the driver gets one count per
-    trigram."""
-    share = min(1.0, sample / max(1, docs.count()))
-    chosen = docs.select(F.col("doc_id").alias("_id"), F.col(text_col).alias("_t")).where(
-        F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000)
-    )
-
-    def run(_, ids, texts):
-        secret, plain = [], []
-        for t in texts:
-            t = t or ""
-            spans = base_spans(t)
-            cut, at = [], 0
-            for _, a, b in sorted(spans, key=lambda s: s[1]):
-                cut.append(t[at:a] if a > at else "")
-                at = max(at, b)
-            plain.append(count_runs("\n".join([*cut, t[at:]]).encode("utf-8", "surrogatepass")).tolist())
-            secret.append(count_runs("\n".join(t[a:b] for k, a, b in spans if k != "assign").encode()).tolist())
-        return {"plain": plain, "secret": secret}
-
-    got = map_docs(chosen, ["_id", "_t"], run, f"_id {dict(chosen.dtypes)['_id']}, plain array<bigint>, secret array<bigint>")
-    both = got.select(F.explode("plain").alias("g"), F.lit(False).alias("s")).union(
-        got.select(F.explode("secret"), F.lit(True))
-    )
+def fit(docs: DataFrame, text_col: str = "text") -> Markov:
+    """Counts of the ordinary model come from all documents, summed in each
+    task and then by Spark; the driver gets one count per trigram."""
+
+    def run(batches):
+        total = np.zeros((2, N**3), np.int64)
+        for batch in batches:
+            secret, plain = [], []
+            for t in texts_of(batch.column(0)):
+                spans, at = base_spans(t), 0
+                for _, a, b in sorted(spans, key=lambda s: s[1]):
+                    plain.append(t[at:a] if a > at else "")
+                    at = max(at, b)
+                plain.append(t[at:])
+                secret += [t[a:b] for k, a, b in spans if k != "assign"]
+            for i, parts in enumerate((plain, secret)):
+                total[i] += np.bincount(count_runs("\n".join(parts).encode("utf-8", "surrogatepass")), minlength=N**3)
+        for i in range(2):
+            some = np.flatnonzero(total[i])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int64()), pa.array(np.full(len(some), i == 1)), pa.array(total[i][some], pa.int64())], names=["g", "s", "k"]
+            )
+
+    prepare(docs.sparkSession)
+    counts = docs.select(text_col).mapInArrow(run, "g bigint, s boolean, k bigint").groupBy("g", "s").agg(F.sum("k").alias("k")).toArrow()
+    at, of, k = (counts[c].to_numpy() for c in ("g", "s", "k"))
     ordinary, random = np.zeros(N**3), np.zeros(N**3)
-    for r in both.groupBy("g", "s").count().collect():
-        (random if r["s"] else ordinary)[r["g"]] += r["count"]
+    ordinary[at[~of]], random[at[of]] = k[~of], k[of]
     for key in generated_keys():
         np.add.at(random, count_runs(key.encode()), 1)
     # the same words in capitals, and plain numbers, are ordinary too

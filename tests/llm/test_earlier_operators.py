@@ -8,7 +8,7 @@ import re
 import numpy as np
 import sentencepiece
 
-from blotter.llm import near_dups, quality_gbt, secrets_markov, token_counts, url_rules
+from blotter.llm import common, near_dups, quality_gbt, secrets_markov, token_counts, url_rules
 from blotter.llm.secrets_markov import base_spans
 
 
@@ -145,3 +145,17 @@ def test_url_verdicts(spark):
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_rules.url_verdicts(pages).collect()}
     assert got == {i: u[1:] for i, u in urls.items()}
     assert url_rules.url_verdicts(pages.limit(0)).count() == 0
+
+
+def test_training_rows_are_bounded_and_ordinary_counts_whole(spark):
+    docs = spark.createDataFrame([(None if i < 300 else 7, f"mail {i}@b.example") for i in range(600)], "doc_id bigint, text string")
+    assert common.smallest(docs, 50, "doc_id", "text").count() == 50
+    assert 0 < common.smallest(docs, 50, "doc_id", "text").where("doc_id IS NULL").count() < 50
+    labels = spark.createDataFrame([(7, 1)], "doc_id bigint, quality int")
+    ids = quality_gbt.labelled_sample(docs, labels, 20)
+    assert len(ids[0]) == len(ids[1]) == 20
+    # a word that one document of many holds is in the ordinary model
+    prose = spark.range(4000).selectExpr("id doc_id", "if(id = 3999 OR id = 1, 'qxjzqxjz qxjzqxjz', 'some plain words') text")
+    rare = secrets_markov.count_runs(b"qxjzqxjz")[3:]
+    without = secrets_markov.fit(prose.where("doc_id NOT IN (1, 3999)"))
+    assert (secrets_markov.fit(prose).ratio[rare] < without.ratio[rare]).all()
