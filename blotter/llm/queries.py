@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.llm import html_blocks, latent_leaks, license_align, near_dups, pii_lstm, quality_gbt, secrets_markov, spm_viterbi, token_counts, url_rules
+from blotter.llm import html_blocks, latent_leaks, license_align, near_dups, pii_lstm, quality_gbt, secrets_markov, spm_viterbi, token_align, token_counts, url_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op10_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent_leaks.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignments(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gbt": op1_quality_gbt,
     "op2_token_counts": op2_token_counts,
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_blocks": op8_html_blocks,
     "op9_secrets_markov": op9_secrets_markov,
     "op10_latent_leaks": op10_latent_leaks,
+    "op11_token_align": op11_token_align,
 }
 
 SQL: dict[str, str] = {"op7_url_rules": url_rules.verdict_sql()}
