@@ -49,6 +49,8 @@ SLICE = 2_000_000
 GROUP = 8_192
 #: Runs that a bucket gathers before it sorts.
 GATHERED = 4_096
+#: Ways in which the rows of one run are dealt out.
+SALTS = 16
 _MIX = np.random.default_rng(11).integers(1, 2**63, size=(2, 8), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE = np.random.default_rng(12).integers(0, 2**64, size=256, dtype=np.uint64)
 _RUN = "h bigint, fp bigint, key bigint, n int, q int, s0 int, s1 int"
@@ -298,14 +300,15 @@ def _hashed_windows(suffixes: DataFrame, span: int) -> DataFrame:
 
     windows = materialize(suffixes.select("h", "once", "key", "n", "q", "s0", "s1", "body").mapInArrow(run, schema))
     by = ["h", "o", "w1", "w2"]
-    twice = windows.groupBy(*by).agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    twice = materialize(windows.groupBy(*by).agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
     return windows.where("once").join(twice, by, "left_semi").select("key", "n", F.col("s").alias("s0"), F.col("s").alias("s1"))
 
 
 def repeated_intervals(rows: DataFrame, span: int, group: int = GROUP) -> DataFrame:
     """(key, n, s0, s1): windows ``s0`` to ``s1`` of the text ``key, n`` occur elsewhere too."""
     runs = materialize(_runs(rows.where(F.col("n") >= span), span))
-    tokens = (
+    # sums are written before rows are joined to them: a join straight on an aggregate's shuffle can't split a hot token
+    tokens = materialize(
         runs.groupBy("h")
         .agg(F.count(F.lit(1)).alias("c"), F.min("fp").alias("lo"), F.max("fp").alias("hi"))
         .where("c > 1")
@@ -317,10 +320,14 @@ def repeated_intervals(rows: DataFrame, span: int, group: int = GROUP) -> DataFr
         mixed.groupBy("h", "fp").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "n", "q", "s0", "s1")).alias("at"))
     )
     whole = shared.where("whole").select("key", "n", "s0", "s1")
-    twice = mixed.join(kinds.where("c > 1").select("h", "fp"), ["h", "fp"], "left_semi").select("key", "n", "s0", "s1")
+    # a passage may be a third of all rows: the rows of one run are dealt out by their text, too
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long")
+    again = kinds.where("c > 1").select("h", "fp", salts.alias("salt"))
+    dealt = mixed.withColumn("salt", F.pmod("key", F.lit(SALTS)))
+    twice = dealt.join(again, ["h", "fp", "salt"], "left_semi").select("key", "n", "s0", "s1")
 
     # runs that occur once may still share some windows with other runs of their token
-    per_token = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("runs"), F.min("c").alias("least")).where("least = 1")
+    per_token = materialize(kinds.groupBy("h").agg(F.count(F.lit(1)).alias("runs"), F.min("c").alias("least")).where("least = 1"))
     wanted = kinds.join(per_token, "h").select("h", "fp", (F.col("c") == 1).alias("once"), "at.*", (F.col("runs") > group).alias("large"))
     listed = wanted.groupBy("key", "n").agg(F.collect_list(F.struct("h", "fp", "once", "q", "s0", "s1")).alias("runs"))
     suffixes = _suffixes(rows.join(listed, ["key", "n"]).select("key", "n", "text", "runs"), span)
