@@ -321,9 +321,8 @@ def repeated_intervals(rows: DataFrame, span: int, group: int = GROUP) -> DataFr
     )
     whole = shared.where("whole").select("key", "n", "s0", "s1")
     # a passage may be a third of all rows: the rows of one run are dealt out by their text, too
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long")
-    again = kinds.where("c > 1").select("h", "fp", salts.alias("salt"))
-    dealt = mixed.withColumn("salt", F.pmod("key", F.lit(SALTS)))
+    again = kinds.where("c > 1").select("h", "fp", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = mixed.withColumn("salt", F.pmod("key", F.lit(SALTS)).cast("int"))
     twice = dealt.join(again, ["h", "fp", "salt"], "left_semi").select("key", "n", "s0", "s1")
 
     # runs that occur once may still share some windows with other runs of their token
