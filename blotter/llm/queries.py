@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.llm import html_blocks, latent_leaks, license_align, near_dups, pii_lstm, quality_gbt, secrets_markov, spm_viterbi, suffix_dedup, token_align, token_counts, url_rules
+from blotter.llm import collocations, html_blocks, latent_leaks, license_align, near_dups, pii_lstm, quality_gbt, secrets_markov, spm_viterbi, suffix_dedup, token_align, token_counts, url_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gbt": op1_quality_gbt,
     "op2_token_counts": op2_token_counts,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_latent_leaks": op10_latent_leaks,
     "op11_token_align": op11_token_align,
     "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_collocations": op13_collocations,
 }
 
-SQL: dict[str, str] = {"op7_url_rules": url_rules.verdict_sql()}
+SQL: dict[str, str] = {"op7_url_rules": url_rules.verdict_sql(), "op13_collocations": collocations.collocation_sql()}
