@@ -40,11 +40,11 @@ SHARD = 200_000
 #: Words of a row of ids (whole texts, so that a longer text makes a longer row).
 ROW = 32_768
 #: Words whose positions are worked on together.
-BLOCK = 1_000_000
+BLOCK = 400_000
 #: Distinct words that a task counts before it passes them on.
-HELD_WORDS = 400_000
+HELD_WORDS = 150_000
 #: Word ids that a worker remembers.
-MEMO_SIZE = 1_000_000
+MEMO_SIZE = 150_000
 LONGEST = 4
 _BREAK = b"\xff"  # no byte of UTF-8
 _SPLIT = bytes(0xFF if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
@@ -67,9 +67,6 @@ class _Ids(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > MEMO_SIZE:
-            self.clear()
-            self[_BREAK] = 0
         # bit 62 set: an id is never 0, and its sign is kept free
         i = xxhash.xxh3_64_intdigest(self.prefix + word, self.seed) >> 2 | 1 << 62
         self[word] = i
@@ -94,64 +91,61 @@ class DoubleArray:
         order = np.lexsort(dense[::-1])
         dense = [d[order] for d in dense]
         n = len(order)
-        size = 4 * n + len(self.words) + 64
+        size = 2 * n + len(self.words) + 64
         self.base, self.check = np.zeros(size, dtype=np.int64), np.full(size, -1, dtype=np.int64)
         self.check[0] = 0  # the root, which is no node's child: states start there
-        used = np.zeros(size, dtype=bool)
-        used[0] = True
+        self._used = np.zeros(size, dtype=bool)
+        self._used[0] = True
+        self._tail = 1  # no slot from here on is used
         node = np.zeros(n, dtype=np.int64)  # of each phrase, so far
-        low = 1
         for d in dense:
             new = np.concatenate(([True], (node[1:] != node[:-1]) | (d[1:] != d[:-1]))) if n else np.zeros(0, bool)
             first = np.flatnonzero(new)  # one entry a child
-            parents, at, fan = np.unique(node[first], return_index=True, return_counts=True)
-            child = np.zeros(len(first), dtype=np.int64)
-            used, low = self._place(d[first], parents, at, fan, child, used, low)
+            child = self._place(node[first], d[first])
             self.check[child] = node[first]
             node = child[np.cumsum(new) - 1]
         self.accept = np.full(len(self.base), -1, dtype=np.int64)
         self.accept[node] = order
         self.depth = len(columns)
-
-    def _grow(self, used: np.ndarray, to: int) -> np.ndarray:
-        if to <= len(used):
-            return used
-        more = max(to, 2 * len(used)) - len(used)
-        self.base = np.append(self.base, np.zeros(more, dtype=np.int64))
-        self.check = np.append(self.check, np.full(more, -1, dtype=np.int64))
-        return np.append(used, np.zeros(more, dtype=bool))
-
-    def _place(self, labels, parents, at, fan, child, used, low) -> tuple[np.ndarray, int]:
-        """Bases for one level: wide nodes by first fit, the many single children on the slots left."""
+        del self._used, self._tail
+
+    def _grow(self, to: int) -> None:
+        more = max(to, 2 * len(self.base)) - len(self.base)
+        if to > len(self.base):
+            self.base = np.append(self.base, np.zeros(more, dtype=np.int64))
+            self.check = np.append(self.check, np.full(more, -1, dtype=np.int64))
+            self._used = np.append(self._used, np.zeros(more, dtype=bool))
+
+    def _place(self, parent: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """Slots of one level's children. Nodes with several take one of many tried bases where all are free, or else the
+        end, widest first; the many single children take the slots left."""
+        child = np.zeros(len(parent), dtype=np.int64)
+        parents, at, fan = np.unique(parent, return_index=True, return_counts=True)
+        tried = np.random.default_rng(len(parents))
         for k in np.argsort(-fan, kind="stable"):
             if fan[k] == 1:
                 break
-            mine = labels[at[k] : at[k] + fan[k]]
-            b, misses = low - int(mine[0]), 0
-            while True:
-                used = self._grow(used, b + int(mine[-1]) + 1)
-                if not used[b + mine].any():
-                    break
-                free = np.flatnonzero(~used[b + mine[0] + 1 : b + mine[0] + 4096])
-                b += int(free[0]) + 1 if len(free) else 4096
-                misses += 1
-            slots = b + mine
-            used[slots] = True
-            self.base[parents[k]] = b
+            mine = label[at[k] : at[k] + fan[k]]
+            shape = mine - mine[0]
+            self._grow(self._tail + int(shape[-1]) + 1)
+            low = max(1, self._tail - 8 * len(self.words))
+            places = np.sort(tried.integers(low, self._tail + 1, 256))
+            for n in (8, len(shape)):  # a few children tell most of the bases that fail
+                places = places[~self._used[places[:, None] + shape[:n]].any(axis=1)]
+            place = int(places[0]) if len(places) else self._tail
+            slots = place + shape
+            self._used[slots] = True
+            self._tail = max(self._tail, int(slots[-1]) + 1)
+            self.base[parents[k]] = place - mine[0]
             child[at[k] : at[k] + fan[k]] = slots
-            if misses > 64:  # the start is crowded
-                low = max(low, b + int(mine[0]) - 2048)
         single = np.flatnonzero(fan == 1)
-        if len(single):
-            free = np.flatnonzero(~used)
-            if len(free) < len(single):
-                used = self._grow(used, len(used) + len(single))
-                free = np.flatnonzero(~used)
-            slots = free[: len(single)]
-            used[slots] = True
-            self.base[parents[single]] = slots - labels[at[single]]
-            child[at[single]] = slots
-        return used, low
+        self._grow(self._tail + len(single))
+        slots = np.flatnonzero(~self._used)[: len(single)]
+        self._used[slots] = True
+        self._tail = max(self._tail, int(slots[-1]) + 1 if len(slots) else 0)
+        self.base[parents[single]] = slots - label[at[single]]
+        child[at[single]] = slots
+        return child
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
         """Occurrences of each phrase in a block: all positions advance together, a word a step."""
@@ -201,7 +195,7 @@ def _encoded(docs: DataFrame, seed: int) -> DataFrame:
         def words(lang: str) -> pa.RecordBatch:
             c = counts.pop(lang)
             c.pop(_BREAK, None)
-            ids = memo[lang]
+            ids = memo.setdefault(lang, _Ids(lang, seed))
             texts = [w.decode() for w in c]
             arrays = [pa.array([lang] * len(c), pa.string()), pa.nulls(len(c), pa.binary()), pa.array([ids[w] for w in c], pa.int64()), pa.array(texts, pa.string()), pa.array(list(c.values()), pa.int64())]
             return pa.RecordBatch.from_arrays(arrays, schema=target)
@@ -219,8 +213,11 @@ def _encoded(docs: DataFrame, seed: int) -> DataFrame:
                 held.setdefault(lang, []).extend((part, np.zeros(1, dtype=np.int64)))
                 if sum(map(len, held[lang])) > ROW:
                     yield blocks(lang)
-                if len(counts[lang]) > HELD_WORDS:
+            if sum(map(len, counts.values())) > HELD_WORDS:
+                for lang in list(counts):
                     yield words(lang)
+            if sum(map(len, memo.values())) > MEMO_SIZE:
+                memo.clear()
         for lang in list(held):
             yield blocks(lang)
         for lang in list(counts):
