@@ -15,8 +15,7 @@ Word ids are hashes of language and word; two words of one id are noticed, and t
 are read again with another seed. So all counts are exact, and scores are computed in decimals of 38 digits.
 
 Defined results: null texts are empty, a null language is ``und``; a word or phrase counts
-at each place, overlaps included; repeated rows count again; very long texts are blocks of
-their own; ties are ranked by score, count, then phrase in byte order, which is total. An empty
+at each place, overlaps included; repeated rows count again; very long texts take many rows; ties are ranked by score, count, then phrase in byte order, which is total. An empty
 table gives an empty result; further input columns are ignored.
 """
 
@@ -37,8 +36,8 @@ from blotter.session import materialize
 BITS = 1 << 26
 #: Phrases of a trie, on average; shards are dealt by hash.
 SHARD = 200_000
-#: Words of a row of ids (whole texts, so that a longer text makes a longer row).
-ROW = 32_768
+#: Words of a row of ids (whole pieces, so that a longer piece makes a longer row): a batch of rows stays small.
+ROW = 4_096
 #: Words whose positions are worked on together.
 BLOCK = 400_000
 #: Distinct words that a task counts before it passes them on.
@@ -185,12 +184,13 @@ def _encoded(docs: DataFrame, seed: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, _Ids] = {}
-        held: dict[str, list[np.ndarray]] = {}
         counts: dict[str, Counter] = {}
 
-        def blocks(lang: str) -> pa.RecordBatch:
-            ids = np.concatenate(held.pop(lang))
-            return pa.RecordBatch.from_pylist([{"lang": lang, "ids": ids.tobytes()}], schema=target)
+        def blocks(lang: str, ids: np.ndarray) -> pa.RecordBatch:
+            breaks = np.flatnonzero(ids == 0)
+            ends = breaks[np.searchsorted(breaks, np.arange(ROW, len(ids), ROW))]  # rows end with a break
+            parts = np.split(ids, np.unique(ends[ends + 1 < len(ids)]) + 1)
+            return pa.RecordBatch.from_pylist([{"lang": lang, "ids": p.tobytes()} for p in parts], schema=target)
 
         def words(lang: str) -> pa.RecordBatch:
             c = counts.pop(lang)
@@ -209,17 +209,13 @@ def _encoded(docs: DataFrame, seed: int) -> DataFrame:
                 ids = memo.setdefault(lang, _Ids(lang, seed))
                 found = words_of(texts)
                 counts.setdefault(lang, Counter()).update(found)
-                part = np.fromiter(map(ids.__getitem__, found), dtype=np.int64, count=len(found))
-                held.setdefault(lang, []).extend((part, np.zeros(1, dtype=np.int64)))
-                if sum(map(len, held[lang])) > ROW:
-                    yield blocks(lang)
+                found.append(_BREAK)
+                yield blocks(lang, np.fromiter(map(ids.__getitem__, found), dtype=np.int64, count=len(found)))
             if sum(map(len, counts.values())) > HELD_WORDS:
                 for lang in list(counts):
                     yield words(lang)
             if sum(map(len, memo.values())) > MEMO_SIZE:
                 memo.clear()
-        for lang in list(held):
-            yield blocks(lang)
         for lang in list(counts):
             yield words(lang)
 
