@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.functions import calendar as C
+from blotter.operators import trees as TR
 from blotter.operators.daily import with_profile_columns
 from blotter.schema import (
     ANALOG_HALF_WINDOW,
@@ -224,9 +225,10 @@ def _last_n(arr: Column, n: int) -> Column:
     return F.slice(arr, F.greatest(F.size(arr) - (n - 1), F.lit(1)), n)
 
 
-def step_prediction(buf: Column, day: Column, coef: Column, use_city: Column) -> Column:
-    """M1 + M2 + W3-W5 for one day: features from the buffer, linear model,
-    blend with the historical signals unless a city model is used."""
+def step_prediction(buf: Column, day: Column, model_row: Column, use_city: Column, trees: bool = False) -> Column:
+    """M1 + M2 + W3-W5 for one day: features from the buffer, the model (linear
+    coefficients, or node arrays with ``trees``), blend with the historical signals
+    unless a city model is used."""
     b7 = _last_n(buf, 7)
     n7 = F.size(b7)
     lag1 = F.when(n7 >= 1, F.try_element_at(b7, F.lit(-1))).otherwise(F.lit(0.0))
@@ -247,9 +249,13 @@ def step_prediction(buf: Column, day: Column, coef: Column, use_city: Column) ->
         "roll_max_7": mx,
         "roll_min_7": mn,
     }
-    model = day["static"]
-    for f in DYNAMIC_FEATURES:
-        model = model + coef[f] * dyn[f]
+    if trees:
+        x = F.concat(F.array(*[dyn[f] for f in DYNAMIC_FEATURES]), day["x"])
+        model = TR.predict(x, model_row["base"], model_row["roots"], model_row["nodes"])
+    else:
+        model = day["static"]
+        for f in DYNAMIC_FEATURES:
+            model = model + model_row[f] * dyn[f]
     model = F.greatest(model, F.lit(0.0))
     prev7 = F.slice(buf, F.greatest(F.size(buf) - 13, F.lit(1)), 7)
     trend = F.when(
@@ -266,21 +272,26 @@ def step_prediction(buf: Column, day: Column, coef: Column, use_city: Column) ->
 
 
 def run_recursion(per_city: DataFrame) -> DataFrame:
-    """M3: fold the 30 day structs with state (buffer of <= 14 values, outputs)."""
+    """M3: fold the 30 day structs with state (buffer of <= 14 values, outputs).
+    The model is in column ``coef``, or in ``trees``. An ``origin`` column stays a key."""
+    trees = "trees" in per_city.columns
+    keys = ["origin"] if "origin" in per_city.columns else []
     empty = F.array().cast("array<double>")
     init = F.struct(F.col("seed").alias("buf"), empty.alias("out"))
 
     def step(state, day):
-        pred = step_prediction(state["buf"], day, F.col("coef"), F.col("use_city"))
+        pred = step_prediction(state["buf"], day, F.col("trees" if trees else "coef"), F.col("use_city"), trees)
         nb = F.concat(state["buf"], F.array(pred))
         return F.struct(_last_n(nb, TREND_MIN_BUFFER).alias("buf"), F.concat(state["out"], F.array(pred)).alias("out"))
 
-    folded = per_city.select("city", "days", "policy", F.aggregate("days", init, step)["out"].alias("out"))
+    folded = per_city.select(*keys, "city", "days", "policy", F.aggregate("days", init, step)["out"].alias("out"))
     return folded.select(
+        *keys,
         "city",
         "policy",
         F.inline(F.arrays_zip(F.col("days"), F.col("out"))),
     ).select(
+        *keys,
         F.col("city").alias("City"),
         F.col("days.date").alias("Date"),
         F.col("out").alias("Predicted Count"),
@@ -337,8 +348,10 @@ def forecast_inputs(
     steps: int = FORECAST_DAYS,
     cities: DataFrame | None = None,
     use_city_models: bool = True,
+    trees: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per city: seed, model, policy and the array of day structs."""
+    """One row per city: seed, model, policy and the array of day structs. With
+    ``trees`` (``trees.TREE_SCHEMA``) the model is an ensemble, and ``coefs`` isn't read."""
     history = forecast_history(daily, origin)
     per_city = recent_and_seed(history, origin, steps)
     if cities is not None:
@@ -346,7 +359,10 @@ def forecast_inputs(
     city_avg, md, dw = seasonal_profile(history)
     tgt = targets(per_city.select("city"), origin, steps)
     analog = analog_profile(history, tgt)
-    model = _model_per_city(per_city.select("city"), coefs, use_city_models)
+    if trees is not None:
+        model = TR.model_per_city(per_city.select("city"), trees, use_city_models)
+    else:
+        model = _model_per_city(per_city.select("city"), coefs, use_city_models)
 
     flags = C.holiday_flag_table(daily.sparkSession, origin, F.date_add(origin, steps - 1))
     days = (
@@ -363,22 +379,32 @@ def forecast_inputs(
     seasonal = F.coalesce("md_avg", "dow_avg", "city_avg")
     hol = {c: F.col(c) for c in ("is_holiday", "is_day_before_holiday", "is_day_after_holiday")}
     feats = static_features(F.col("date"), F.col("latest"), hol)
-    static = F.col("coef.intercept")
-    for f in STATIC_FEATURES:
-        static = static + F.col("coef")[f] * feats[f].cast("double")
+    return _with_days(days, ["city"], feats, seasonal, "coef" if trees is None else "trees")
+
+
+def _with_days(days: DataFrame, keys: list[str], feats: dict[str, Column], seasonal: Column, model: str) -> DataFrame:
+    """Rows of target days gathered per key (``step`` first, so that they sort by it), with what a model needs of each day:
+    its static part (``coef``) or the static features in order (``trees``)."""
+    if model == "coef":
+        static = F.col("coef.intercept")
+        for f in STATIC_FEATURES:
+            static = static + F.col("coef")[f] * feats[f].cast("double")
+        static = static.alias("static")
+    else:
+        static = F.array(*[feats[f].cast("double") for f in STATIC_FEATURES]).alias("x")
     day = F.struct(
         "step",
         "date",
-        static.alias("static"),
+        static,
         F.coalesce("analog", seasonal).alias("analog"),
         F.coalesce("recent", seasonal).alias("recent"),
         seasonal.alias("seasonal"),
         feats["is_holiday"].alias("is_holiday"),
     )
-    return days.groupBy("city").agg(
+    return days.groupBy(*keys).agg(
         F.array_sort(F.collect_list(day)).alias("days"),
         F.first("seed").alias("seed"),
-        F.first("coef").alias("coef"),
+        F.first(model).alias(model),
         F.first("use_city").alias("use_city"),
         F.first(F.when(F.col("use_city"), F.lit(POLICY_CITY)).otherwise(F.lit(POLICY_GLOBAL))).alias("policy"),
     )
@@ -396,6 +422,18 @@ def forecast(
     return run_recursion(forecast_inputs(daily, coefs, origin, steps, cities, use_city_models))
 
 
+def forecast_trees(
+    daily: DataFrame,
+    trees: DataFrame,
+    origin: Column,
+    steps: int = FORECAST_DAYS,
+    cities: DataFrame | None = None,
+    use_city_models: bool = True,
+) -> DataFrame:
+    """``forecast`` with tree ensembles in place of linear models."""
+    return run_recursion(forecast_inputs(daily, None, origin, steps, cities, use_city_models, trees))
+
+
 def forecast_totals(fc: DataFrame) -> DataFrame:
     """Total per city, Python-style half-to-even rounding (Q17)."""
     return fc.groupBy("City").agg(F.bround(F.sum("Predicted Count"), 0).cast("long").alias("total"))

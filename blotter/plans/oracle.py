@@ -355,6 +355,15 @@ from blotter.operators.forecast import (  # noqa: E402
     DYNAMIC_FEATURES,
     STATIC_FEATURES,
 )
+from blotter.plans.demo import (  # noqa: E402
+    DEMO_STATIC,
+    DEMO_TREE_CITIES,
+    SPLIT_BINS,
+    SPLIT_FEATURES,
+    SPLIT_REG,
+    SPLIT_ROWS,
+    tree_sql,
+)
 from blotter.schema import FORECAST_FEATURES  # noqa: E402
 
 _COEF_COLS = ["intercept", *FORECAST_FEATURES]
@@ -553,6 +562,54 @@ SELECT city, CAST(i - 1 AS INTEGER) AS pos, seed[i] AS value
 FROM seeds, range(1, 15) g(i) WHERE i <= len(seed)
 """
 SQL["forecast_30d"] = with_recursive(DAILY_CTES, _forecast_ctes()) + "SELECT * FROM forecast"
+
+
+def _tree_forecast_ctes() -> str:
+    """The forecast with each model's trees as nested CASE expressions in the recursive member."""
+    names = {**_DYN_VALUE, **{f: f"x_{f}" for f in DEMO_STATIC}}
+    feats = _static_feature_sql("t.date")
+    per_city = " ".join(f"WHEN city = '{c}' THEN {tree_sql(names, k)}" for c, k in DEMO_TREE_CITIES.items())
+    dyn_start = FORECAST_CTES.replace("__DYN__", f"CASE {per_city} ELSE {tree_sql(names, 1.0)} END")
+    body = dyn_start.replace("__STATIC__ AS static", ", ".join(["0.0 AS static"] + [f"{feats[f]} AS x_{f}" for f in DEMO_STATIC]))
+    body = body.replace("d.static,", ", ".join(["d.static"] + [f"d.x_{f}" for f in DEMO_STATIC]) + ",")
+    return (
+        body.replace("__COEF__", _coef_values())
+        .replace("__MODEL_COLS__", "0.0 AS none")
+        .replace("__HOLIDAY__", holiday_sql("t.date"))
+        .replace("__MCOEF__", "m.none AS none")
+    )
+
+
+SQL["forecast_tree_30d"] = with_recursive(DAILY_CTES, _tree_forecast_ctes()) + "SELECT * FROM forecast"
+
+
+def _first_splits_sql() -> str:
+    """Equal-width bins, sums per bin, running sums, and the highest gain, for each city and for all together."""
+    n = len(SPLIT_FEATURES)
+    bounds = ", ".join(f"min({f})::DOUBLE AS lo_{i}, max({f})::DOUBLE AS hi_{i}" for i, f in enumerate(SPLIT_FEATURES))
+    long = " UNION ALL ".join(
+        f"SELECT scope, label, {i} AS fi, '{f}' AS feature, (SELECT count(*) FROM range(1, {SPLIT_BINS}) g(k) WHERE hi_{i} > lo_{i} "
+        f"AND lo_{i} + (hi_{i} - lo_{i}) * k / {SPLIT_BINS} < {f}::DOUBLE) AS bin FROM scoped, bounds_"
+        for i, f in enumerate(SPLIT_FEATURES)
+    )
+    assert n > 1
+    return f"""
+    WITH feats AS (
+        SELECT h.*, CAST(h.crime_count AS DOUBLE) AS label, isodow(h.date) - 1 AS day_of_week, month(h.date) AS month, s.total_officers
+        FROM ({SQL["forecast_history_features"]}) h JOIN ({SQL["daily_city_filled"]}) s ON s.date = h.date AND s.city = h.city),
+    bounds_ AS (SELECT {bounds} FROM feats),
+    scoped AS (SELECT city AS scope, * FROM feats UNION ALL SELECT 'Statewide' AS scope, * FROM feats),
+    long_ AS ({long}),
+    hist AS (SELECT scope, fi, feature, bin, sum(label) AS g, count(*) AS n FROM long_ GROUP BY ALL),
+    run AS (SELECT scope, fi, feature, bin, sum(g) OVER w AS gl, sum(n) OVER w AS nl, sum(g) OVER p AS g, sum(n) OVER p AS n
+            FROM hist WINDOW p AS (PARTITION BY scope, fi), w AS (PARTITION BY scope, fi ORDER BY bin ROWS UNBOUNDED PRECEDING)),
+    gains AS (SELECT *, gl * gl / (nl + {SPLIT_REG}) + (g - gl) * (g - gl) / (n - nl + {SPLIT_REG}) - g * g / (n + {SPLIT_REG}) AS gain
+              FROM run WHERE nl >= {SPLIT_ROWS} AND n - nl >= {SPLIT_ROWS})
+    SELECT scope, feature, CAST(bin AS INTEGER) AS bin, gain FROM gains WHERE gain > 1e-9
+    QUALIFY row_number() OVER (PARTITION BY scope ORDER BY gain DESC, fi, bin) = 1"""
+
+
+SQL["tree_first_splits"] = _first_splits_sql()
 SQL["forecast_totals"] = with_recursive(DAILY_CTES, _forecast_ctes()) + """
 SELECT "City", CAST(round_even(sum("Predicted Count"), 0) AS BIGINT) AS total FROM forecast GROUP BY 1
 """

@@ -345,6 +345,41 @@ def q_forecast_missing(spark, sf):
     return FC.forecast_missing(requested, _forecast(spark, sf))
 
 
+from blotter.operators import trees as TM  # noqa: E402
+from blotter.plans import demo as DM  # noqa: E402
+
+
+@register("forecast_tree_30d")
+def q_forecast_tree_30d(spark, sf):
+    """M3 with tree ensembles: walked inside the recursion."""
+    daily = _daily(spark, sf)
+    return FC.forecast_trees(daily, DM.demo_trees(spark), FC.origin_after_last_day(daily))
+
+
+@register("tree_first_splits")
+def q_tree_first_splits(spark, sf):
+    """M10's split search: the best first split of each city's model and of the global one."""
+    daily = _daily(spark, sf)
+    rows = TR.volume_training_rows(daily)
+    names = DM.SPLIT_FEATURES
+    edges = TM.bin_edges(rows, names, DM.SPLIT_BINS)
+    data = TM.binned(rows, names, edges).select("key", "bins", F.col("label").alias("residual"), F.lit(0).alias("node"))
+    best = TM.best_splits(data, DM.SPLIT_REG, DM.SPLIT_ROWS)
+    return best.select(
+        F.when(F.col("key") == TM.GLOBAL_KEY, F.lit("Statewide")).otherwise(F.col("key")).alias("scope"),
+        F.get(F.array(*[F.lit(n) for n in names]), F.col("feature")).alias("feature"),
+        "bin",
+        "gain",
+    )
+
+
+@register("tree_model_fit")
+def q_tree_model_fit(spark, sf):
+    daily = _daily(spark, sf)
+    rows = TR.volume_training_rows(daily).where(F.col("date") < F.date_sub(daily.select(F.max("date")).scalar(), 59))
+    return TM.fit_trees(rows, trees=5, depth=3)
+
+
 # --- risk: M5-M9, J4, J5, F10-F12, F17, A28, W8 ------------------------------------------
 
 from blotter.operators import risk as R  # noqa: E402
