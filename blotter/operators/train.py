@@ -1,4 +1,4 @@
-"""Training, backtest and evaluation.
+"""Training and evaluation.
 
 The reference trains off-repo; here every model is fit on Spark:
   * volume models: the global one with Spark ML ``LinearRegression``; one
@@ -7,8 +7,8 @@ The reference trains off-repo; here every model is fit on Spark:
     only the small k x k solve runs in ``applyInPandas``;
   * offense classifiers: Spark ML multinomial ``LogisticRegression``;
   * rare-label folding decided on training rows only;
-  * backtest (MAE, lag-7 autocorrelation) and class-quality metrics as
-    aggregates.
+  * class-quality metrics as aggregates (the backtest, M13, is in
+    ``backtest``, tree models in ``trees``).
 Outputs are coefficient tables in the formats the forecast and risk
 operators read.
 """
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.operators import forecast as FC
@@ -199,31 +199,6 @@ def fit_risk_models(inc: DataFrame, ctx: R.RiskContext, reg: float = 0.01, max_i
     return broad.unionByName(spec)
 
 
-# --- M13: backtest -------------------------------------------------------------------------------
-
-
-def backtest(daily: DataFrame, coefs: DataFrame, origins: list[Column], steps: int = 30) -> DataFrame:
-    """Forecast from each origin with only earlier rows (P4) and score against
-    the real counts: MAE per (origin, city, policy) and the lag-7
-    autocorrelation of the forecast path."""
-    parts = []
-    for i, origin in enumerate(origins):
-        fc = FC.forecast(daily, coefs, origin, steps).withColumn("origin_id", F.lit(i))
-        parts.append(fc)
-    fc = parts[0]
-    for p in parts[1:]:
-        fc = fc.unionByName(p)
-    actual = daily.select(F.col("city").alias("City"), F.col("date").alias("Date"), F.col("crime_count").cast("double").alias("y"))
-    j = fc.join(actual, ["City", "Date"])
-    w = Window.partitionBy("origin_id", "City").orderBy("Date")
-    j = j.withColumn("p_lag7", F.lag("Predicted Count", 7).over(w))
-    return j.groupBy("origin_id", "City", "policy").agg(
-        F.avg(F.abs(F.col("Predicted Count") - F.col("y"))).alias("mae"),
-        F.corr("Predicted Count", "p_lag7").alias("lag7_autocorr"),
-        F.count(F.lit(1)).alias("days"),
-    )
-
-
 # --- M14: class quality ----------------------------------------------------------------------------
 
 

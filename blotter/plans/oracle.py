@@ -609,6 +609,45 @@ def _first_splits_sql() -> str:
     QUALIFY row_number() OVER (PARTITION BY scope ORDER BY gain DESC, fi, bin) = 1"""
 
 
+
+def _backtest_sql() -> str:
+    """The forecast's CTEs with (origin, city) in place of the city."""
+    text = _forecast_ctes()
+    for old, new in (
+        ("params AS (SELECT CAST(max(date) + INTERVAL 1 DAY AS DATE) AS origin FROM daily_city)",
+         "params AS (SELECT k AS oid, CAST(max(date) - k * INTERVAL 1 DAY AS DATE) AS origin FROM daily_city, (VALUES (89), (59), (29)) t(k) GROUP BY k)"),
+        ("SELECT h.date, h.city, h.crime_count,", "SELECT h.date, p.oid || '|' || h.city AS city, p.oid, h.crime_count,"),
+        ("FROM hist h, params p)", "FROM hist h JOIN params p ON p.oid = h.oid)"),
+        ("FROM (SELECT DISTINCT city FROM hist) c, params p, range(0, 30) g(i))",
+         "FROM (SELECT DISTINCT city, oid FROM hist) c JOIN params p USING (oid), range(0, 30) g(i))"),
+        ("LEFT JOIN coef cc ON cc.city = c.city", "LEFT JOIN coef cc ON cc.city = split_part(c.city, '|', 2)"),
+    ):
+        assert text.count(old) == 1, old
+        text = text.replace(old, new)
+    return with_recursive(DAILY_CTES, text) + """
+SELECT origin, city AS "City", policy, avg(abs(p - y)) AS mae, corr(p, p_lag7) AS lag7_autocorr, count(*) AS days
+FROM (
+  SELECT pr.origin, split_part(f."City", '|', 2) AS city, f."Date" AS date, f.policy, f."Predicted Count" AS p,
+    lag(f."Predicted Count", 7) OVER (PARTITION BY f."City" ORDER BY f."Date") AS p_lag7
+  FROM forecast f JOIN params pr ON pr.oid = CAST(split_part(f."City", '|', 1) AS INTEGER)) x
+JOIN (SELECT city, date, CAST(crime_count AS DOUBLE) AS y FROM daily_city) a USING (city, date)
+GROUP BY origin, city, policy"""
+
+
+SQL["backtest"] = _backtest_sql()
+
+_GRAM = ["1", "lag_1", "lag_7", "roll_max_7", "day_of_week", "month", "total_officers", "label"]
+SQL["gram_as_of"] = f"""
+WITH feats AS (
+    SELECT h.*, h.crime_count AS label, isodow(h.date) - 1 AS day_of_week, month(h.date) AS month, s.total_officers
+    FROM ({SQL["forecast_history_features"]}) h JOIN ({SQL["daily_city_filled"]}) s ON s.date = h.date AND s.city = h.city),
+origins AS (SELECT o, max(date) - (89 - 30 * o) * INTERVAL 1 DAY AS origin FROM feats, range(0, 3) r(o) GROUP BY o),
+scoped AS (SELECT city AS scope, * FROM feats UNION ALL SELECT 'Statewide' AS scope, * FROM feats)
+""" + " UNION ALL ".join(
+    f"SELECT CAST(o AS INTEGER) AS origin_id, scope, {i} AS i, {j} AS j, sum(CAST({a} AS DOUBLE) * CAST({b} AS DOUBLE)) AS total "
+    "FROM scoped JOIN origins ON date < origin GROUP BY o, scope"
+    for i, a in enumerate(_GRAM) for j, b in enumerate(_GRAM) if i <= j
+)
 SQL["tree_first_splits"] = _first_splits_sql()
 SQL["forecast_totals"] = with_recursive(DAILY_CTES, _forecast_ctes()) + """
 SELECT "City", CAST(round_even(sum("Predicted Count"), 0) AS BIGINT) AS total FROM forecast GROUP BY 1

@@ -414,6 +414,7 @@ def q_risk_headline(spark, sf):
 
 # --- training, backtest, evaluation: M10-M14 --------------------------------------------------
 
+from blotter.operators import backtest as BT  # noqa: E402
 from blotter.operators import train as TR  # noqa: E402
 from blotter.sources import bundle as BU  # noqa: E402
 from blotter.sources import model_index as MI  # noqa: E402
@@ -439,12 +440,41 @@ def q_risk_model_fit(spark, sf):
     return TR.fit_risk_models(inc, R.context_from_incidents(inc))
 
 
+def _origins(daily: DataFrame) -> list:
+    """Three origins, the last 90, 60 and 30 days to be forecast."""
+    import datetime as dt
+
+    last = daily.select(F.max("date").alias("d")).first()["d"]
+    return [last - dt.timedelta(days=n) for n in (89, 59, 29)]
+
+
 @register("backtest")
 def q_backtest(spark, sf):
     daily = _daily(spark, sf)
-    last = F.lit(daily.select(F.max("date").alias("d")).first()["d"])  # one value, used in many places
-    origins = [F.date_sub(last, 89), F.date_sub(last, 59), F.date_sub(last, 29)]
-    return TR.backtest(daily, FC.demo_coefficients(spark), origins)
+    return BT.backtest(daily, FC.demo_coefficients(spark), _origins(daily))
+
+
+@register("backtest_fitted")
+def q_backtest_fitted(spark, sf):
+    """Each origin with the coefficients fitted on the days before it."""
+    daily = _daily(spark, sf)
+    origins = _origins(daily)
+    return BT.backtest(daily, BT.fit_as_of(TR.volume_training_rows(daily), origins), origins)
+
+
+#: Whole-number features, whose sums of products are exact.
+GRAM_FEATURES = ["lag_1", "lag_7", "roll_max_7", "day_of_week", "month", "total_officers"]
+
+
+@register("gram_as_of")
+def q_gram_as_of(spark, sf):
+    """Sums of products before each origin, per city and over all."""
+    daily = _daily(spark, sf)
+    origins = _origins(daily)
+    parts = BT.gram_segments(TR.volume_training_rows(daily), GRAM_FEATURES, origins)
+    sums = BT.as_of(parts, ["key", "i", "j"], {"total": F.col("g")}, len(origins))
+    scope = F.when(F.col("key") == BT.GLOBAL_KEY, F.lit("Statewide")).otherwise(F.col("key"))
+    return sums.where("i >= 0").select("origin_id", scope.alias("scope"), "i", "j", "total")
 
 
 @register("class_quality")
