@@ -2,7 +2,8 @@
 
 Texts become arrays of 64-bit word ids (0 between pieces), written once. Level by level,
 the phrases of ``k`` words that may be frequent are found Apriori-safe: both phrases of
-``k - 1`` words inside must be frequent. That test reads a bitmap of fixed size
+``k - 1`` words inside must be frequent, and so must the phrase's own hash be, whose places
+are summed first. Both tests read bitmaps of fixed size
 (``BITS``; a wrong hit only lets one phrase more be counted). The candidates, in shards of at most about
 ``SHARD``, become double-array tries that are broadcast; numpy advances the states of
 all text positions of a block together, a word a step, and counts accepting states. Spark sums
@@ -34,6 +35,10 @@ from blotter.session import materialize
 
 #: Size of the bitmap of frequent phrases: 8 MB.
 BITS = 1 << 26
+#: Bits of a phrase's hash, and those that say which slice of a sum it belongs to.
+KEY_BITS, SLICE_BITS = 42, 11
+#: Different phrases that a task counts before it passes them on.
+HELD_ROWS = 1_500_000
 #: Phrases of a trie, on average; shards are dealt by hash.
 SHARD = 200_000
 #: Words of a row of ids (whole pieces, so that a longer piece makes a longer row): a batch of rows stays small.
@@ -73,12 +78,12 @@ class _Ids(dict):
 
 
 def phrase_hashes(columns: list[np.ndarray]) -> np.ndarray:
-    """Places in the bitmap of phrases that are given word by word."""
+    """Hashes of ``KEY_BITS`` bits of phrases that are given word by word."""
     h = np.zeros(len(columns[0]), dtype=np.uint64)
     for c in columns:
-        h = (h ^ c.view(np.uint64)) * _MIX
+        h = (h ^ c.astype(np.uint64)) * _MIX
         h ^= h >> np.uint64(29)
-    return (h & np.uint64(BITS - 1)).astype(np.int64)
+    return (h >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
 
 class DoubleArray:
@@ -240,57 +245,198 @@ def _names(k: int) -> list[str]:
     return [f"w{i}" for i in range(1, k + 1)]
 
 
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of word ids or keys, with the sums of their counts."""
+    rows, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.lexsort(rows.T[::-1])
+    rows, n = rows[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1)))) if len(rows) else np.zeros(0, np.int64)
+    return rows[first], np.add.reduceat(n, first) if len(first) else n
+
+
+class _Sums:
+    """A task's counts of rows of ``width`` numbers, merged whenever many are held, and packed by slice:
+    a shuffle of few rows of bytes in place of one row a phrase."""
+
+    def __init__(self, width: int):
+        self.width = width
+        self.drop()
+
+    def drop(self) -> None:
+        self.keys, self.counts, self.held = [np.zeros((0, self.width), np.int64)], [np.zeros(0, np.int64)], 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> bool:
+        """Takes counts; true when so many rows differ that they should be passed on."""
+        self.keys.append(keys)
+        self.counts.append(counts)
+        self.held += len(keys)
+        if self.held <= 2 * HELD_ROWS:
+            return False
+        self._merge()
+        return self.held > HELD_ROWS
+
+    def _merge(self) -> None:
+        keys, counts = _merged(self.keys, self.counts)
+        self.keys, self.counts, self.held = [keys], [counts], len(keys)
+
+    def packed(self, slices) -> pa.RecordBatch:
+        """(slice, keys, counts) rows of what is held, which is then dropped. ``slices(keys)`` says which slice a row is in."""
+        self._merge()
+        keys, counts = self.keys[0], self.counts[0]
+        at = slices(keys)
+        order = np.argsort(at, kind="stable")
+        at, keys, counts = at[order], keys[order], counts[order]
+        kinds, first = np.unique(at, return_index=True)
+        ends = np.append(first[1:], len(at))
+        self.drop()
+        low = keys.astype("<u4") if keys.shape[1] == 1 else keys
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(kinds.astype(np.int32)),
+                pa.array([low[x:y].tobytes() for x, y in zip(first, ends)], pa.binary()),
+                pa.array([_small(counts[x:y]) for x, y in zip(first, ends)], pa.binary()),
+            ],
+            schema=_PACKED_ARROW,
+        )
+
+
+_PACKED = "slice int, keys binary, counts binary"
+_PACKED_ARROW = pa.schema([("slice", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _unpacked(packed: DataFrame, width: int, schema: str, emit) -> DataFrame:
+    """Sums of packed rows, a slice at a time: ``emit(slice, keys, counts)`` makes a batch of each."""
+    target = _arrow(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sums = None, _Sums(width)
+        for batch in batches:
+            for s, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if at is not None and s != at:
+                    sums._merge()
+                    yield pa.RecordBatch.from_arrays(emit(at, sums.keys[0], sums.counts[0]), schema=target)
+                    sums = _Sums(width)
+                at = s
+                rows = np.frombuffer(keys, dtype="<u4" if width == 1 else np.int64).reshape(-1, width).astype(np.int64)
+                sums.add(rows, np.frombuffer(counts, dtype=np.int64 if len(counts) == 8 * len(rows) else "<u4").astype(np.int64))
+        if at is not None:
+            sums._merge()
+            yield pa.RecordBatch.from_arrays(emit(at, sums.keys[0], sums.counts[0]), schema=target)
+
+    return packed.repartition("slice").sortWithinPartitions("slice").mapInArrow(run, schema)
+
+
+def _broadcast_bits(rows: DataFrame):
+    """The broadcast bitmap of (place, bits) rows: at most ``BITS / 64`` sums come to the driver, however many there were."""
+    table = rows.groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(BITS >> 6, dtype=np.uint64)
+    bits[table.column("place").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
+    return rows.sparkSession.sparkContext.broadcast(bits)
+
+
+def _places(hashes: np.ndarray) -> list[pa.Array]:
+    """(place, bits) of hashed phrases: words of the bitmap."""
+    at = np.unique(hashes & (BITS - 1))
+    place, first = np.unique(at >> 6, return_index=True)
+    bits = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first) if len(at) else np.zeros(0, np.uint64)
+    return [pa.array(place.astype(np.int32)), pa.array(bits.view(np.int64))]
+
+
+def _hit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & (BITS - 1)
+    return bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) == 1
+
+
 def _bitmap(phrases: DataFrame, names: list[str]):
-    """The broadcast bitmap of phrases: at most ``BITS / 64`` sums come to the driver, however many phrases there are."""
-    target = _arrow("place int, bits bigint")
+    """The bitmap of phrases that are given word by word."""
+    schema = "place int, bits bigint"
+    target = _arrow(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(phrase_hashes([c.to_numpy() for c in batch.columns]))
-            place, first = np.unique(at >> 6, return_index=True)
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first) if len(at) else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(bits.view(np.int64))], schema=target)
+            yield pa.RecordBatch.from_arrays(_places(phrase_hashes([c.to_numpy() for c in batch.columns])), schema=target)
 
-    rows = phrases.select(*names).mapInArrow(run, "place int, bits bigint").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros(BITS >> 6, dtype=np.uint64)
-    bits[rows.column("place").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return phrases.sparkSession.sparkContext.broadcast(np.packbits(np.unpackbits(bits.view(np.uint8), bitorder="little")))
+    return _broadcast_bits(phrases.select(*names).mapInArrow(run, schema))
+
+
+def _safe(ids: np.ndarray, inner: np.ndarray, k: int) -> np.ndarray:
+    """Places of a block where a phrase of ``k`` words starts whose two inner phrases hit the bitmap."""
+    m = len(ids) - k + 2
+    if m < 2:
+        return np.zeros(0, dtype=np.int64)
+    columns = [ids[i : i + m] for i in range(k - 1)]
+    fine = _hit(inner, phrase_hashes(columns))
+    for c in columns:
+        fine &= c != 0
+    return np.flatnonzero(fine[:-1] & fine[1:])
+
+
+def _likely(blocks: DataFrame, inner, k: int, least: int):
+    """The bitmap of Apriori-safe phrases of ``k`` words whose hash of ``KEY_BITS`` bits has at least ``least`` places:
+    all frequent ones, and few others."""
+    low = KEY_BITS - SLICE_BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # bits of a slice's number come first in a key, so that a key packs into the low ones
+        sums = _Sums(2)
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            sums._merge()
+            keys, counts = sums.keys[0], sums.counts[0]
+            kinds, first = np.unique(keys[:, 0], return_index=True)
+            ends = np.append(first[1:], len(keys))
+            sums.drop()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(kinds.astype(np.int32)),
+                    pa.array([keys[x:y, 1].astype("<u4").tobytes() for x, y in zip(first, ends)], pa.binary()),
+                    pa.array([_small(counts[x:y]) for x, y in zip(first, ends)], pa.binary()),
+                ],
+                schema=_PACKED_ARROW,
+            )
+
+        for ids in _gathered(batches):
+            at = _safe(ids, inner.value, k)
+            h, n = np.unique(phrase_hashes([ids[at + i] for i in range(k)]), return_counts=True)
+            if sums.add(np.stack((h >> low, h & ((1 << low) - 1)), 1), n):
+                yield from packed()
+        yield from packed()
+
+    def emit(s: int, keys: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
+        return _places(s << low | keys[counts >= least, 0])
+
+    return _broadcast_bits(_unpacked(blocks.mapInArrow(run, _PACKED), 1, "place int, bits bigint", emit))
+
+
+def _small(counts: np.ndarray) -> bytes:
+    return counts.astype("<u4").tobytes() if counts.max() < 1 << 32 else counts.tobytes()
 
 
 def _candidates(blocks: DataFrame, inner, k: int, least: int) -> DataFrame:
-    """Phrases of ``k`` words whose two inner phrases are in the bitmap, with at least ``least`` places."""
+    """Distinct phrases of ``k`` words that may have ``least`` places."""
     names = _names(k)
-    schema = ", ".join(f"{n} bigint" for n in (*names, "n"))
-    target = _arrow(schema)
+    schema = ", ".join(f"{n} bigint" for n in names)
+    likely = _likely(blocks, inner, k, least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = inner.value
+        sums = _Sums(k)
+        slices = lambda keys: phrase_hashes(list(keys.T)) & 255
         for ids in _gathered(batches):
-            m = len(ids) - k + 2
-            if m < 2:
-                continue
-            columns = [ids[i : i + m] for i in range(k - 1)]
-            place = phrase_hashes(columns)
-            fine = bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1 == 1
-            for c in columns:
-                fine &= c != 0
-            at = np.flatnonzero(fine[:-1] & fine[1:])
-            if not len(at):
-                continue
-            # exact numbering of distinct phrases, a word at a time
-            code = np.unique(ids, return_inverse=True)[1]
-            number = code[at]
-            for i in range(1, k):
-                _, first, number = np.unique(number << 32 | code[at + i], return_index=True, return_inverse=True)
-            counts = np.bincount(number)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[at[first] + i]) for i in range(k)] + [pa.array(counts)], schema=target)
-
-    found = blocks.mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return materialize(found.select(*names))
-
-
-def _counted(blocks: DataFrame, candidates: DataFrame, k: int, shard: int) -> DataFrame:
-    """(words, a): the candidates' exact numbers of places, counted by tries that are broadcast shard by shard."""
+            at = _safe(ids, inner.value, k)
+            at = at[_hit(likely.value, phrase_hashes([ids[at + i] for i in range(k)]))]
+            if sums.add(*_merged([np.stack([ids[at + i] for i in range(k)], 1)], [np.ones(len(at), np.int64)])):
+                yield sums.packed(slices)
+        if sums.held:
+            yield sums.packed(slices)
+
+    def emit(s: int, keys: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
+        return [pa.array(np.ascontiguousarray(c)) for c in keys.T]
+
+    return materialize(_unpacked(blocks.mapInArrow(run, _PACKED), k, schema, emit))
+
+
+def _counted(blocks: DataFrame, candidates: DataFrame, k: int, shard: int, least: int) -> DataFrame:
+    """(words, a): the candidates that have ``least`` places, counted by tries that are broadcast shard by shard."""
     names = _names(k)
     schema = ", ".join(f"{n} bigint" for n in (*names, "a"))
     shards = -(-candidates.count() // shard)
@@ -300,7 +446,8 @@ def _counted(blocks: DataFrame, candidates: DataFrame, k: int, shard: int) -> Da
         table = dealt.where(F.col("shard") == s).select(*names).toArrow()
         columns = [table.column(n).to_numpy() for n in names]
         sent = candidates.sparkSession.sparkContext.broadcast((DoubleArray(columns), columns))
-        part = materialize(blocks.mapInArrow(_trie_counts(sent, _arrow(schema)), schema).groupBy(*names).agg(F.sum("a").alias("a")))
+        sums = _unpacked(blocks.mapInArrow(_trie_counts(sent), _PACKED), 1, schema, _phrases_of(sent, least))
+        part = materialize(sums)
         sent.unpersist()
         out = part if out is None else out.unionByName(part)
     if out is None:
@@ -308,18 +455,32 @@ def _counted(blocks: DataFrame, candidates: DataFrame, k: int, shard: int) -> Da
     return out
 
 
-def _trie_counts(sent, target: pa.Schema):
+def _trie_counts(sent):
+    """A task's counts of a shard's phrases: (number of the phrase, count), packed by runs of numbers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, columns = sent.value
         sums = np.zeros(len(columns[0]), dtype=np.int64)
         for ids in _gathered(batches):
             sums += trie.counts(ids)
         at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(c[at]) for c in columns] + [pa.array(sums[at])], schema=target)
+        if len(at):
+            one = _Sums(1)
+            one.add(at[:, None], sums[at])
+            yield one.packed(lambda keys: keys[:, 0] >> 12)
 
     return run
 
 
+def _phrases_of(sent, least: int):
+    def emit(s: int, keys: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
+        enough = counts >= least
+        at = keys[enough, 0]
+        return [pa.array(c[at]) for c in sent.value[1]] + [pa.array(counts[enough])]
+
+    return emit
+
+
 def _cut_score(a: Column, left: Column, right: Column) -> Column:
     """floor(2000000 a / (left + right)), exact beyond 64 bits."""
     wide = "decimal(19,0)"
@@ -365,7 +526,7 @@ def collocations(
     tables = {1: words}
     for k in range(2, LONGEST + 1):
         inner = _bitmap(tables[k - 1], _names(k - 1))
-        found = _counted(blocks, _candidates(blocks, inner, k, least), k, shard).where(F.col("a") >= least)
+        found = _counted(blocks, _candidates(blocks, inner, k, least), k, shard, least)
         # the first and last cut also give the phrase its text
         rows = _with(found, tables[k - 1], list(range(1, k)), "f_first", "head")
         rows = _with(rows, words, [k], "f_last", "tail")
