@@ -837,3 +837,40 @@ SELECT model, label, total_probability,
   CAST(row_number() OVER (PARTITION BY model ORDER BY total_probability DESC, label ASC) AS INTEGER) AS rank
 FROM (SELECT model, label, sum(p) AS total_probability FROM probs GROUP BY model, label)
 """
+
+# --- lookups as of a date: each scenario joined to all earlier rows of its keys ------------------
+
+_ASOF_STATS = ",\n  ".join(
+    f"CASE WHEN st.city IS NULL THEN 0.0 ELSE CAST(st.{c} AS DOUBLE) END AS {c}" for c in _LSTATS
+)
+_ASOF_LAST = ", ".join(
+    f"(arg_max(i.{c}, i.row_order) FILTER (WHERE i.{c} IS NOT NULL)) AS {c}" for c in _LSTATS
+)
+SQL["lookups_as_of"] = with_(f"""
+asked AS (SELECT DISTINCT city, location_area, hour, date AS d FROM incidents WHERE city IS NOT NULL AND location_area IS NOT NULL),
+day_list AS (SELECT DISTINCT date FROM incidents),
+n_before AS (SELECT a.d, count(l.date) AS n FROM (SELECT DISTINCT d FROM asked) a LEFT JOIN day_list l ON l.date < a.d GROUP BY a.d),
+place AS (
+  SELECT a.location_area, a.d, count(*) AS total FROM (SELECT DISTINCT location_area, d FROM asked) a
+  JOIN incidents i ON i.location_area = a.location_area AND i.date < a.d GROUP BY ALL),
+pairs AS (SELECT DISTINCT city, hour, d FROM asked),
+past AS (
+  SELECT p.city, p.hour, p.d, i.date, i.offense_category_clean AS o FROM pairs p
+  JOIN incidents i ON i.city = p.city AND i.hour = p.hour AND i.date < p.d),
+per_day AS (SELECT city, hour, d, date, count(DISTINCT o) AS k FROM past GROUP BY ALL),
+div AS (SELECT city, hour, d, sum(k) AS k FROM per_day GROUP BY ALL),
+typ AS (
+  SELECT city, hour, d, coalesce(first(o ORDER BY (o IS NULL), n DESC, o), 'Other') AS o
+  FROM (SELECT city, hour, d, o, count(*) AS n FROM past GROUP BY ALL) GROUP BY ALL),
+st AS (
+  SELECT a.city, a.d, {_ASOF_LAST} FROM (SELECT DISTINCT city, d FROM asked) a
+  JOIN incidents i ON i.city = a.city AND i.date < a.d GROUP BY ALL),
+hours AS (SELECT hour, min(date) AS lo FROM incidents GROUP BY hour)""") + f"""
+SELECT a.city, a.location_area, a.hour, a.d AS input_date,
+  coalesce(CAST(place.total AS DOUBLE), 100.0) AS location_total_crimes,
+  coalesce(CAST(place.total AS DOUBLE) / n.n, 5.0) AS location_daily_freq,
+  CASE WHEN div.k IS NOT NULL THEN CAST(div.k AS DOUBLE) / n.n WHEN st.city IS NOT NULL AND hours.lo < a.d THEN 0.0 ELSE 1.5 END AS crime_diversity,
+  CASE WHEN typ.o IS NOT NULL THEN typ.o WHEN st.city IS NOT NULL AND hours.lo < a.d THEN NULL ELSE 'Other' END AS hour_typical_crime,
+  {_ASOF_STATS}
+FROM asked a JOIN n_before n USING (d) LEFT JOIN place USING (location_area, d) LEFT JOIN div USING (city, hour, d)
+LEFT JOIN typ USING (city, hour, d) LEFT JOIN st USING (city, d) LEFT JOIN hours USING (hour)"""

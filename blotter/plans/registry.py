@@ -414,6 +414,7 @@ def q_risk_headline(spark, sf):
 
 # --- training, backtest, evaluation: M10-M14 --------------------------------------------------
 
+from blotter.operators import asof as AO  # noqa: E402
 from blotter.operators import backtest as BT  # noqa: E402
 from blotter.operators import train as TR  # noqa: E402
 from blotter.sources import bundle as BU  # noqa: E402
@@ -428,6 +429,13 @@ def q_rare_label_fold(spark, sf):
     return TR.rare_label_map(inc, train_end, min_share=0.02)
 
 
+@register("lookups_as_of")
+def q_lookups_as_of(spark, sf):
+    """Every incident's scenario with the lookups of the rows before its day."""
+    inc = incidents(spark, sf)
+    return AO.lookups_as_of(inc, R.scenarios_from_incidents(inc))
+
+
 @register("volume_model_fit")
 def q_volume_model_fit(spark, sf):
     daily = _daily(spark, sf)
