@@ -142,8 +142,9 @@ def rare_label_map(inc: DataFrame, train_end: Column, min_share: float) -> DataF
 # --- M11: offense classifiers ------------------------------------------------------------------
 
 
-def classifier_training_rows(inc: DataFrame, ctx: R.RiskContext) -> DataFrame:
-    """Each incident with a city, location and offense as a scored scenario + its true class."""
+def classifier_training_rows(inc: DataFrame, ctx: R.RiskContext, lookups: DataFrame | None = None) -> DataFrame:
+    """Each incident with a city, location and offense as a scored scenario + its true class. With
+    ``lookups`` (per scenario key, from ``asof``) these take the place of the context's."""
     rows = inc.where(
         F.col("city").isNotNull() & F.col("location_area").isNotNull() & F.col("offense_category_name").isNotNull()
     ).select(
@@ -156,6 +157,11 @@ def classifier_training_rows(inc: DataFrame, ctx: R.RiskContext) -> DataFrame:
     )
     labels = rows.groupBy(*R.SCENARIO_KEYS, "y13").agg(F.count(F.lit(1)).alias("w"))
     feats = R.risk_features(labels.select(*R.SCENARIO_KEYS, F.lit(None).cast("string").alias("location_type")).distinct(), ctx)
+    if lookups is not None:
+        own = [c for c in lookups.columns if c not in R.SCENARIO_KEYS]
+        stats = [F.coalesce(F.col(c), F.lit(R.DEFAULT_STAT)).alias(c) if c in LOOKUP_STAT_COLS else F.col(c) for c in own]
+        feats = feats.drop(*own, "hour_typical_crime_code").join(lookups.select(*R.SCENARIO_KEYS, *stats), R.SCENARIO_KEYS)
+        feats = R._encode(feats, "hour_typical_crime", ctx.htc_cats, F.lit(0))
     x = R.feature_vector(feats)
     vec = feats.select(*R.SCENARIO_KEYS, x.alias("x"))
     out = labels.join(vec, R.SCENARIO_KEYS)
@@ -174,6 +180,15 @@ def classifier_training_rows(inc: DataFrame, ctx: R.RiskContext) -> DataFrame:
     )
 
 
+def as_of_training_rows(inc: DataFrame, ctx: R.RiskContext) -> DataFrame:
+    """``classifier_training_rows`` with the lookups of the rows before each scenario's day (``asof``); only the
+    categories' codes come from ``ctx``. Columns: city, input_date, label, w, x."""
+    from blotter.operators import asof as AO
+
+    rows = classifier_training_rows(inc, ctx, AO.lookups_as_of(inc, R.scenarios_from_incidents(inc)))
+    return rows.select("city", "input_date", F.col("label13").cast("int").alias("label"), "w", "x")
+
+
 def _fit_multinomial(rows: DataFrame, label: str, labels: list[str], model_name: str, reg: float, max_iter: int) -> DataFrame:
     from pyspark.ml.functions import array_to_vector
 

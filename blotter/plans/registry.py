@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.operators import history as H
+from blotter.schema import OFFENSE_CLASSES
+from blotter.session import materialize
 from blotter.sources.fixtures import incidents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -416,6 +418,7 @@ def q_risk_headline(spark, sf):
 
 from blotter.operators import asof as AO  # noqa: E402
 from blotter.operators import backtest as BT  # noqa: E402
+from blotter.operators import softmax as SM  # noqa: E402
 from blotter.operators import train as TR  # noqa: E402
 from blotter.sources import bundle as BU  # noqa: E402
 from blotter.sources import model_index as MI  # noqa: E402
@@ -436,6 +439,18 @@ def q_lookups_as_of(spark, sf):
     return AO.lookups_as_of(inc, R.scenarios_from_incidents(inc))
 
 
+@register("city_classifier_fit")
+def q_city_classifier_fit(spark, sf):
+    """M11 per city on days before the last year, with the loss on the days after and convergence."""
+    inc = incidents(spark, sf)
+    rows = TR.as_of_training_rows(inc, R.context_from_incidents(inc)).withColumn("cut", inc.select(F.date_sub(F.max("date"), 365)).scalar())
+    rows = materialize(rows)
+    models, report = SM.fit_cities(SM.prepared(rows.where("input_date < cut")), list(OFFENSE_CLASSES), tol=1e-3)
+    held_out = SM.city_losses(SM.prepared(rows.where("input_date >= cut")), models)
+    held_out = held_out.select("city", F.col("rows").alias("held_out_rows"), F.col("log_loss").alias("held_out_loss"))
+    return report.join(held_out, ["city"], "left")
+
+
 @register("volume_model_fit")
 def q_volume_model_fit(spark, sf):
     daily = _daily(spark, sf)
