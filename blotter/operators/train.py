@@ -139,6 +139,15 @@ def rare_label_map(inc: DataFrame, train_end: Column, min_share: float) -> DataF
     )
 
 
+def fold_labels(inc: DataFrame, folded: DataFrame) -> DataFrame:
+    """The rows with a column ``label``: the offense folded by ``rare_label_map``, ``Other`` where training never saw
+    it; a row without an offense keeps none."""
+    name = F.col("offense_category_name")
+    table = folded.select("offense_category_name", F.col("folded").alias("_folded"))
+    out = inc.join(table, ["offense_category_name"], "left")
+    return out.withColumn("label", F.when(name.isNotNull(), F.coalesce("_folded", F.lit("Other")))).drop("_folded")
+
+
 # --- M11: offense classifiers ------------------------------------------------------------------
 
 

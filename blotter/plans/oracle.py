@@ -874,3 +874,22 @@ SELECT a.city, a.location_area, a.hour, a.d AS input_date,
   {_ASOF_STATS}
 FROM asked a JOIN n_before n USING (d) LEFT JOIN place USING (location_area, d) LEFT JOIN div USING (city, hour, d)
 LEFT JOIN typ USING (city, hour, d) LEFT JOIN st USING (city, d) LEFT JOIN hours USING (hour)"""
+
+SQL["rare_labels_applied"] = with_("""
+train AS (SELECT offense_category_name AS o FROM incidents, (SELECT min(date) AS lo FROM incidents)
+          WHERE date < lo + INTERVAL 4 DAY AND offense_category_name IS NOT NULL),
+kept AS (SELECT o FROM train GROUP BY o HAVING count(*) / (SELECT count(*) FROM train) >= 0.04)""") + """
+SELECT offense_category_name,
+  CASE WHEN offense_category_name IS NULL THEN NULL WHEN offense_category_name IN (SELECT o FROM kept) THEN offense_category_name
+       ELSE 'Other' END AS label, count(*) AS n
+FROM incidents GROUP BY ALL"""
+
+SQL["forecast_requested"] = with_recursive(DAILY_CTES, _forecast_ctes()) + """
+SELECT r.ord, r.city, CAST(round_even(sum(f."Predicted Count"), 0) AS BIGINT) AS total
+FROM (VALUES (0, 'NATION_7'), (1, 'NATION_99'), (2, 'NATION_12')) r(ord, city) LEFT JOIN forecast f ON f."City" = r.city
+GROUP BY r.ord, r.city"""
+
+SQL["offense_distribution_of_city"] = with_() + """
+SELECT offense_category_name AS "Crime Type", count(*) AS "Count",
+  CAST(row_number() OVER (ORDER BY count(*) DESC, offense_category_name) - 1 AS INTEGER) AS pos
+FROM incidents WHERE city = 'NATION_7' AND year = 1999 AND offense_category_name IS NOT NULL GROUP BY 1"""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blotter.operators import history as H
@@ -382,6 +382,29 @@ def q_tree_model_fit(spark, sf):
     return TM.fit_trees(rows, trees=5, depth=3)
 
 
+#: A caller's set of cities, one of which has no history.
+REQUESTED = ["NATION_7", "NATION_99", "NATION_12"]
+
+
+@register("forecast_requested")
+def q_forecast_requested(spark, sf):
+    """A named set of cities. Each one's forecast total, and null for a city that has none."""
+    daily = _daily(spark, sf)
+    asked = spark.createDataFrame([(c, i) for i, c in enumerate(REQUESTED)], "city string, ord int")
+    fc = FC.forecast(daily, FC.demo_coefficients(spark), FC.origin_after_last_day(daily), cities=asked)
+    totals = FC.forecast_totals(fc).withColumnRenamed("City", "city")
+    missing = FC.forecast_missing(asked, fc).withColumn("total", F.lit(None).cast("long"))
+    return asked.join(totals.unionByName(missing), ["city"]).select("ord", "city", "total")
+
+
+@register("offense_distribution_of_city")
+def q_offense_distribution_of_city(spark, sf):
+    """One city, one year, with each class's place in the order."""
+    dist = H.offense_distribution(incidents(spark, sf), city="NATION_7", year=1999)
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("Count"), F.asc("Crime Type"))  # at most one row a class
+    return dist.withColumn("pos", F.row_number().over(order) - 1)
+
+
 # --- risk: M5-M9, J4, J5, F10-F12, F17, A28, W8 ------------------------------------------
 
 from blotter.operators import risk as R  # noqa: E402
@@ -432,6 +455,14 @@ def q_rare_label_fold(spark, sf):
     return TR.rare_label_map(inc, train_end, min_share=0.02)
 
 
+@register("rare_labels_applied")
+def q_rare_labels_applied(spark, sf):
+    """M12 applied: labels folded by shares of the first four days' rows, counted over all rows."""
+    inc = incidents(spark, sf)
+    folded = TR.rare_label_map(inc, inc.select(F.date_add(F.min("date"), 4)).scalar(), min_share=0.04)
+    return TR.fold_labels(inc, folded).groupBy("offense_category_name", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("lookups_as_of")
 def q_lookups_as_of(spark, sf):
     """Every incident's scenario with the lookups of the rows before its day."""

@@ -81,3 +81,20 @@ def test_incomplete_rows_raise(spark):
         SM.prepared(spark.createDataFrame([("X", 0, 1.0, [1.0, None])], SCHEMA))
     with pytest.raises(Exception, match="lacks a city"):
         SM.prepared(spark.createDataFrame([(None, 0, 1.0, [1.0, 2.0])], SCHEMA))
+
+
+def test_labels_unseen_in_training_fold(spark):
+    """M12 applied: rare and unseen labels become Other, a missing one stays missing."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from blotter.operators import train as TR
+
+    day = dt.date(2020, 1, 1)
+    rows = [("Theft", day)] * 9 + [("Arson", day), (None, day), ("New", day + dt.timedelta(days=5)), ("Theft", day + dt.timedelta(days=5))]
+    inc = spark.createDataFrame(rows, "offense_category_name string, date date")
+    folded = TR.fold_labels(inc, TR.rare_label_map(inc, F.lit(day + dt.timedelta(days=2)), 0.2))
+    got = {(r["offense_category_name"], r["label"]) for r in folded.collect()}
+    assert folded.count() == len(rows)
+    assert got == {("Theft", "Theft"), ("Arson", "Other"), (None, None), ("New", "Other")}
