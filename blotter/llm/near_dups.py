@@ -20,8 +20,9 @@ items whose classes are all connected already are left out, for they link nothin
 
 At similarity 0.8 a pair shares no depth-2 node of 12 trees with chance
 0.36**12 = 5e-6, whatever the nodes' sizes. Signature estimates drop only candidates four deviations
-below the threshold, and links are confirmed on the full sets, the best
-candidate of each class first, then all whose ends are not yet connected.
+below the threshold. Links are confirmed on the full sets in rounds: each component
+tries its likeliest candidates to other components, and components contract, so a
+group of many near copies needs few confirmed links a member.
 
 Defined results: null and empty texts have an empty set, are linked with nothing
 and are kept; repeated rows are one class; rows of one id share its component; a
@@ -313,21 +314,34 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The confirmed pairs: each class with its likeliest partner, then the candidates that this left unconnected."""
-    ways = pairs.select("a", "b", "est", F.explode(F.array("a", "b")).alias("end"))
-    best = ways.groupBy("end").agg(F.max(F.struct("est", "a", "b")).alias("m"))
-    best = materialize(best.select("m.a", "m.b").distinct())
-    done = materialize(_confirmed(best, sets, percent).distinct())
-    label = connected(done)
-    rest = (
-        pairs.select("a", "b")
-        .join(label.toDF("a", "la"), "a", "left")
-        .join(label.toDF("b", "lb"), "b", "left")
-        .where(F.coalesce("la", "a") != F.coalesce("lb", "b"))
-        .join(best, ["a", "b"], "left_anti")
-        .select("a", "b")
-    )
-    return done.union(materialize(_confirmed(rest, sets, percent).distinct()))
+    """Confirmed pairs that connect all that the candidates, if alike by ``percent``, connect.
+
+    In rounds: each component of what is confirmed so far puts the candidates that lead out of it into
+    ``shares`` groups by the component they lead to, and the likeliest of each group is confirmed. Components
+    contract to their labels, candidates tried or inside a component go, and ``shares`` grows, so that
+    components whose candidates fail try more at once. It ends when no candidate is left."""
+    rest = pairs.select("a", "b", "est", F.col("a").alias("la"), F.col("b").alias("lb"))
+    links, shares = None, 1
+    while True:
+        out = F.explode(F.array(F.struct(F.col("la").alias("own"), F.col("lb").alias("to")), F.struct(F.col("lb").alias("own"), F.col("la").alias("to"))))
+        ways = rest.select("a", "b", "est", "la", "lb", out.alias("w"))
+        group = F.pmod(F.xxhash64("w.to"), F.lit(shares)).alias("group")
+        best = ways.groupBy(F.col("w.own").alias("own"), group).agg(F.max(F.struct("est", "a", "b", "la", "lb")).alias("m"))
+        best = materialize(best.select("m.a", "m.b", "m.la", "m.lb").distinct())
+        done = materialize(_confirmed(best, sets, percent).distinct())
+        links = done if links is None else links.union(done)
+        step = connected(best.join(done, ["a", "b"], "left_semi").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        rest = (
+            rest.join(best.select("a", "b"), ["a", "b"], "left_anti")
+            .join(step.toDF("la", "na"), "la", "left")
+            .join(step.toDF("lb", "nb"), "lb", "left")
+            .select("a", "b", "est", F.coalesce("na", "la").alias("la"), F.coalesce("nb", "lb").alias("lb"))
+            .where("la <> lb")
+        )
+        rest = materialize(rest)
+        if rest.isEmpty():
+            return links
+        shares *= 4
 
 
 def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent: int = 80) -> DataFrame:

@@ -115,6 +115,31 @@ def test_near_dups_inside_a_template_group(spark):
     assert got == dict(enumerate(label.tolist()))
 
 
+def test_near_copies_need_few_links(spark, monkeypatch):
+    """A large group of near copies is one component by few confirmed links a member, whatever its size."""
+    tried, confirmed = [], near_dups._confirmed
+
+    def counted(pairs, sets, percent):
+        tried.append(pairs.count())
+        return confirmed(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dups, "_confirmed", counted)
+    rng = random.Random(9)
+    for size in (400, 1600):
+        base = [f"w{k}" for k in range(150)]
+        texts = []
+        for k in range(size):
+            words = list(base)
+            for _ in range(3):
+                words[rng.randrange(150)] = f"z{k}"
+            texts.append(" ".join(words))
+        docs = spark.createDataFrame([*enumerate(texts), (size, "on its own"), (size + 1, None)], "doc_id bigint, text string")
+        tried.clear()
+        got = {r.doc_id: r.component_id for r in near_dups.components(docs).collect()}
+        assert got == {**dict.fromkeys(range(size), 0), size: size, size + 1: size + 1}
+        assert 1 <= sum(tried) / size < 3
+
+
 def test_secret_spans(spark):
     rng = random.Random(5)
     key = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(40))
