@@ -316,17 +316,16 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed pairs that connect all that the candidates, if alike by ``percent``, connect.
 
-    In rounds: each component of what is confirmed so far puts the candidates that lead out of it into
-    ``shares`` groups by the component they lead to, and the likeliest of each group is confirmed. Components
-    contract to their labels, candidates tried or inside a component go, and ``shares`` grows, so that
-    components whose candidates fail try more at once. It ends when no candidate is left."""
+    In rounds: each component of what is confirmed so far deals the candidates that lead out of it to
+    ``shares`` groups, and the likeliest of each group is confirmed. Components contract to their labels,
+    candidates tried or inside a component go, and ``shares`` grows, so that components whose candidates
+    fail, however many these are, try more at once. It ends when no candidate is left."""
     rest = pairs.select("a", "b", "est", F.col("a").alias("la"), F.col("b").alias("lb"))
     links, shares = None, 1
     while True:
-        out = F.explode(F.array(F.struct(F.col("la").alias("own"), F.col("lb").alias("to")), F.struct(F.col("lb").alias("own"), F.col("la").alias("to"))))
-        ways = rest.select("a", "b", "est", "la", "lb", out.alias("w"))
-        group = F.pmod(F.xxhash64("w.to"), F.lit(shares)).alias("group")
-        best = ways.groupBy(F.col("w.own").alias("own"), group).agg(F.max(F.struct("est", "a", "b", "la", "lb")).alias("m"))
+        ways = rest.select("a", "b", "est", "la", "lb", F.explode(F.array("la", "lb")).alias("own"))
+        group = F.pmod(F.xxhash64("a", "b"), F.lit(shares)).alias("group")
+        best = ways.groupBy("own", group).agg(F.max(F.struct("est", "a", "b", "la", "lb")).alias("m"))
         best = materialize(best.select("m.a", "m.b", "m.la", "m.lb").distinct())
         done = materialize(_confirmed(best, sets, percent).distinct())
         links = done if links is None else links.union(done)
@@ -341,7 +340,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         rest = materialize(rest)
         if rest.isEmpty():
             return links
-        shares *= 4
+        shares *= 4 if shares == 1 else 8
 
 
 def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent: int = 80) -> DataFrame:

@@ -140,6 +140,21 @@ def test_near_copies_need_few_links(spark, monkeypatch):
         assert 1 <= sum(tried) / size < 3
 
 
+def test_many_failing_candidates_end(spark, monkeypatch):
+    """Two groups of near copies, too unlike each other by a little: their many candidates fail in few rounds."""
+    rounds, confirmed = [], near_dups._confirmed
+    monkeypatch.setattr(near_dups, "_confirmed", lambda *a: rounds.append(1) or confirmed(*a))
+    rng = random.Random(10)
+    docs = []
+    for k in range(160):
+        words = [f"w{j}" if j < 128 or k % 2 else f"v{j}" for j in range(150)]  # 128 of 172 in both
+        words[rng.randrange(128)] = f"z{k}"
+        docs.append((k, " ".join(words)))
+    got = near_dups.components(spark.createDataFrame(docs, "doc_id bigint, text string"), width=1).collect()
+    assert {r.doc_id: r.component_id for r in got} == {k: k % 2 for k in range(160)}
+    assert len(rounds) <= 16
+
+
 def test_secret_spans(spark):
     rng = random.Random(5)
     key = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(40))
