@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from blotter.operators import forecast as FC
 from blotter.operators.trees import TREE_SCHEMA
 from blotter.schema import FORECAST_FEATURES
+from blotter.sources import city_models as CM
 
 #: A tree is a leaf's value or (feature, threshold, left, right).
 DEMO_BASE = 0.25
@@ -54,3 +59,32 @@ def tree_sql(names: dict[str, str], scale: float) -> str:
         return f"CASE WHEN {names[feature]} <= {threshold!r} THEN {one(left)} ELSE {one(right)} END"
 
     return f"({DEMO_BASE * scale!r} + " + " + ".join(f"({one(t)})" for t in DEMO_TREES) + ")"
+
+
+#: A demonstration index: a shared model, a path that isn't a city model's, a model that isn't there, one
+#: whose weights are too few, and a city without history.
+INDEX_PATHS = {
+    "NATION_1": "per_city/forecasters/shared",
+    "NATION_7": "per_city/forecasters/shared",
+    "NATION_12": "elsewhere/NATION_12",
+    "NATION_3": "per_city/forecasters/gone",
+    "NATION_5": "per_city/forecasters/short",
+    "NATION_99": "per_city/forecasters/shared",
+}
+#: The model of NATION_1 is the shared one.
+INDEX_SHARED = "NATION_1"
+INDEX_OWN = ["NATION_1", "NATION_7"]
+
+
+def write_index(spark: SparkSession, root: str) -> None:
+    """The demonstration models, whose list is in another order than the global one, and their index."""
+    coefs = FC.demo_coefficients(spark)
+    turned = FORECAST_FEATURES[::-1]
+    whole = coefs.where("city IS NULL").withColumn("model_path", F.lit(CM.GLOBAL_MODEL))
+    shared = coefs.where(F.col("city") == INDEX_SHARED).withColumn("model_path", F.lit(INDEX_PATHS[INDEX_SHARED]))
+    foreign = coefs.where("city = 'NATION_12'").withColumn("model_path", F.lit(INDEX_PATHS["NATION_12"]))
+    short = spark.createDataFrame([(1.0, [1.0], INDEX_PATHS["NATION_5"])], CM.MODEL_SCHEMA)
+    models = CM.artifacts(whole, FORECAST_FEATURES).unionByName(CM.artifacts(shared.unionByName(foreign), turned))
+    CM.save(root, models.unionByName(short), {CM.GLOBAL_LIST: FORECAST_FEATURES})
+    text = json.dumps({"forecasters": INDEX_PATHS, "classifiers": {}, "forecast_features": turned})
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{root}/index")

@@ -358,6 +358,9 @@ from blotter.operators.forecast import (  # noqa: E402
 from blotter.plans.demo import (  # noqa: E402
     DEMO_STATIC,
     DEMO_TREE_CITIES,
+    INDEX_OWN,
+    INDEX_PATHS,
+    INDEX_SHARED,
     SPLIT_BINS,
     SPLIT_FEATURES,
     SPLIT_REG,
@@ -369,9 +372,9 @@ from blotter.schema import FORECAST_FEATURES  # noqa: E402
 _COEF_COLS = ["intercept", *FORECAST_FEATURES]
 
 
-def _coef_values() -> str:
+def _coef_values(city_models: dict[str, float] = DEMO_CITY_MODELS) -> str:
     rows = ["(NULL, " + ", ".join(repr(float(DEMO_GLOBAL[c])) for c in _COEF_COLS) + ")"]
-    for city, scale in DEMO_CITY_MODELS.items():
+    for city, scale in city_models.items():
         rows.append(f"('{city}', " + ", ".join(repr(float(DEMO_GLOBAL[c] * scale)) for c in _COEF_COLS) + ")")
     return "SELECT * FROM (VALUES " + ", ".join(rows) + ") t(city, " + ", ".join(_COEF_COLS) + ")"
 
@@ -507,12 +510,12 @@ _DYN_VALUE = {
 }
 
 
-def _forecast_ctes() -> str:
+def _forecast_ctes(city_models: dict[str, float] = DEMO_CITY_MODELS) -> str:
     dyn = "static"
     for f in DYNAMIC_FEATURES:
         dyn = f"({dyn} + c_{f} * {_DYN_VALUE[f]})"
     return (
-        FORECAST_CTES.replace("__COEF__", _coef_values())
+        FORECAST_CTES.replace("__COEF__", _coef_values(city_models))
         .replace("__MODEL_COLS__", ", ".join(
             f"CASE WHEN cc.city IS NOT NULL THEN coalesce(cc.{c}, 0.0) ELSE coalesce(g.{c}, 0.0) END AS {c}"
             for c in _COEF_COLS))
@@ -884,6 +887,34 @@ SELECT offense_category_name,
        ELSE 'Other' END AS label, count(*) AS n
 FROM incidents GROUP BY ALL"""
 
+_INDEX_STATUS = {"NATION_12": "foreign path", "NATION_3": "no artifact", "NATION_5": "weights don''t fit the list", "NATION_99": "own model"}
+SQL["forecast_from_index"] = with_recursive(DAILY_CTES, _forecast_ctes(dict.fromkeys(INDEX_OWN, DEMO_CITY_MODELS[INDEX_SHARED]))) + """
+SELECT r.city AS "City", CASE r.city """ + " ".join(
+    f"WHEN '{c}' THEN '{_INDEX_STATUS.get(c, 'own model')}'" for c in INDEX_PATHS) + """ ELSE 'no entry' END AS status,
+  f."Date", f."Predicted Count", f.is_holiday, f.policy
+FROM (SELECT city FROM incidents WHERE city IS NOT NULL UNION SELECT 'NATION_99') r LEFT JOIN forecast f ON f."City" = r.city"""
+
+SQL["probability_quality"] = SQL["class_quality"].split("yhat AS (")[0] + """
+events AS (
+  SELECT s.label, s.p, s.label = t.y13 AS event, t.w FROM truth t JOIN spec s USING (city, location_area, hour, input_date)
+  WHERE input_date >= (SELECT max(date) - INTERVAL 365 DAY FROM incidents)),
+cells AS (
+  SELECT label, least(CAST(floor(p * 4096) AS BIGINT), 4095) AS cell, sum(w) AS w, sum(w * p) AS wp, sum(CASE WHEN event THEN w ELSE 0 END) AS we
+  FROM events GROUP BY ALL),
+ranked AS (
+  SELECT *, sum(w) OVER (PARTITION BY label ORDER BY cell) - w AS before, sum(w) OVER (PARTITION BY label) AS total FROM cells),
+bins AS (
+  SELECT 'width' AS kind, label, cell * 10 // 4096 AS bin, w, wp, we FROM cells
+  UNION ALL SELECT 'weight', label, least((2 * before + w) * 10 // (2 * total), 9), w, wp, we FROM ranked)
+SELECT kind, label, CAST(bin AS INTEGER) AS bin, CAST(sum(w) AS BIGINT) AS n, sum(wp) / sum(w) AS mean_probability,
+  sum(we) / CAST(sum(w) AS DOUBLE) AS observed, sum(wp) / sum(w) - sum(we) / CAST(sum(w) AS DOUBLE) AS gap
+FROM bins GROUP BY 1, 2, 3"""
+
+SQL["incidents_csv_rejects"] = with_() + """
+SELECT CASE WHEN day = 13 THEN 'malformed' WHEN day = 30 AND month IN (4, 6, 9, 11) THEN 'no such date' ELSE 'read' END AS kind,
+  city, count(*) AS n
+FROM incidents GROUP BY ALL"""
+
 SQL["forecast_requested"] = with_recursive(DAILY_CTES, _forecast_ctes()) + """
 SELECT r.ord, r.city, CAST(round_even(sum(f."Predicted Count"), 0) AS BIGINT) AS total
 FROM (VALUES (0, 'NATION_7'), (1, 'NATION_99'), (2, 'NATION_12')) r(ord, city) LEFT JOIN forecast f ON f."City" = r.city

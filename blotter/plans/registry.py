@@ -6,14 +6,15 @@ grows with them. Column names equal the oracle SQL's (plans/oracle.py).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blotter.operators import history as H
-from blotter.schema import OFFENSE_CLASSES
-from blotter.session import materialize
+from blotter.schema import INCIDENT_COLUMNS, OFFENSE_CLASSES
+from blotter.session import checkpoint_dir, materialize
 from blotter.sources.fixtures import incidents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -441,9 +442,12 @@ def q_risk_headline(spark, sf):
 
 from blotter.operators import asof as AO  # noqa: E402
 from blotter.operators import backtest as BT  # noqa: E402
+from blotter.operators import reliability as RB  # noqa: E402
 from blotter.operators import softmax as SM  # noqa: E402
 from blotter.operators import train as TR  # noqa: E402
 from blotter.sources import bundle as BU  # noqa: E402
+from blotter.sources import city_models as CM  # noqa: E402
+from blotter.sources import incidents as IN  # noqa: E402
 from blotter.sources import model_index as MI  # noqa: E402
 from blotter.streaming import daily_counts as ST  # noqa: E402
 
@@ -537,13 +541,24 @@ def q_class_quality(spark, sf):
     return TR.class_quality(_risk_scored(spark, sf), TR.truth_from_incidents(raw))
 
 
+@register("probability_quality")
+def q_probability_quality(spark, sf):
+    """Reliability of the specific classes' probabilities over the last year's scenarios, by bins of equal
+    width and of equal weight."""
+    inc = incidents(spark, sf)
+    recent = inc.where(F.col("date") >= inc.select(F.date_sub(F.max("date"), 365)).scalar())
+    feats = R.risk_features(R.scenarios_from_incidents(recent), R.context_from_incidents(inc))
+    scored = R.score(feats.drop("location_type_in"), R.demo_classifiers(spark))
+    cells = materialize(RB.cell_sums(RB.class_events(scored, TR.truth_from_incidents(recent), R.SCENARIO_KEYS)))
+    kinds = {"width": RB.equal_width(cells, 10), "weight": RB.equal_weight(cells, 10)}
+    a, b = (t.withColumn("kind", F.lit(k)) for k, t in kinds.items())
+    return a.unionByName(b)
+
+
 # --- sources: S3-S7 round trips ------------------------------------------------------------
 
 
 def _bundle(spark, sf) -> dict:
-    from blotter.session import checkpoint_dir
-    import uuid
-
     path = f"{checkpoint_dir(spark).rstrip('/')}/bundle-{uuid.uuid4().hex}"
     BU.write_bundle(BU.bundle_from_incidents(incidents(spark, sf)), path, schema_version="2.1", model_version="demo")
     tables = BU.load_tables(spark, path, None)
@@ -574,6 +589,32 @@ def q_per_city_index(spark, sf):
     return entries
 
 
+@register("forecast_from_index")
+def q_forecast_from_index(spark, sf):
+    """From index to path to city model to forecast, for every city and one without history."""
+    daily = _daily(spark, sf)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
+    DM.write_index(spark, root)
+    asked = daily.select("city").distinct().unionByName(spark.createDataFrame([("NATION_99",)], "city string"))
+    return CM.forecast_by_index(daily, root, MI.read_index(spark, f"{root}/index"), asked, FC.origin_after_last_day(daily))
+
+
+@register("incidents_csv_rejects")
+def q_incidents_csv_rejects(spark, sf):
+    """The incidents as CSV files in which some rows are spoiled, read back as rows and rejects."""
+    inc = incidents(spark, sf)
+    spoiled = {
+        "month": F.when(F.col("day") == 13, F.concat(F.lit("x"), "month")).otherwise(F.col("month").cast("string")),
+        "day": F.when((F.col("day") == 30) & F.col("month").isin(4, 6, 9, 11), F.lit("31")).otherwise(F.col("day").cast("string")),
+    }
+    root = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    inc.select(*[spoiled.get(c, F.col(c)).alias(c) for c in INCIDENT_COLUMNS]).write.option("header", True).csv(root)
+    rows, rejects = IN.read_incidents_csv_rejects(spark, root)
+    city = F.from_csv("text", ", ".join(f"{c} string" for c in INCIDENT_COLUMNS))["city"]
+    kinds = rows.select(F.lit("read").alias("kind"), "city").unionByName(rejects.select(F.col("reason").alias("kind"), city.alias("city")))
+    return kinds.groupBy("kind", "city").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("streaming_daily_counts")
 def q_streaming_daily_counts(spark, sf):
     return ST.stream_incident_counts(spark, incidents(spark, sf))

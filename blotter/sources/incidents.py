@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blotter.schema import INCIDENT_COLUMNS, RAW_INCIDENT_SCHEMA
 
@@ -27,6 +28,33 @@ def read_incidents_csv(spark: SparkSession, path: str, where: Column | None = No
     return df.select(*INCIDENT_COLUMNS, _file_order())
 
 
+MALFORMED, NO_DATE = "malformed", "no such date"
+
+
+def read_incidents_csv_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S1 with a reject table: (rows, rejects). Rejects are rows that don't fit the contract
+    (a value of another type, too few or too many columns) and rows without a date,
+    with their text as far as malformed, the reason and the file order.
+
+    Whole rows are parsed on both sides, so that what is malformed doesn't depend on
+    the columns read later."""
+    df = (
+        spark.read.schema(T.StructType([*RAW_INCIDENT_SCHEMA, T.StructField("_corrupt", T.StringType())]))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", "_corrupt")
+        .option("columnPruning", False)
+        .csv(path)
+    )
+    parts = F.format_string("%04d-%02d-%02d", "year", "month", "day")
+    no_date = F.col("year").isNull() | F.col("month").isNull() | F.col("day").isNull() | parts.try_cast("date").isNull()
+    reason = F.when(F.col("_corrupt").isNotNull(), MALFORMED).when(no_date, NO_DATE)
+    df = df.select(*INCIDENT_COLUMNS, "_corrupt", _file_order(), reason.alias("reason"))
+    line = F.to_csv(F.struct(*INCIDENT_COLUMNS))
+    bad = df.where("reason IS NOT NULL").select(F.coalesce("_corrupt", line).alias("text"), "reason", "row_order")
+    return df.where("reason IS NULL").drop("_corrupt", "reason"), bad
+
+
 def read_incidents_parquet(spark: SparkSession, path: str) -> DataFrame:
     """S1, Parquet form: the same projection; ``row_order`` kept if written."""
     df = spark.read.parquet(path)
