@@ -265,18 +265,21 @@ def _estimates(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    both = pairs.select("a", "b").join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    """The pairs (a, b, la, lb), each with ``ok``: whether full sets of its ends are alike by ``percent``.
+    Distinct; an id of several sets may give a pair both verdicts, and one that is true counts."""
+    both = pairs.join(sets.toDF("a", "sa"), "a", "left").join(sets.toDF("b", "sb"), "b", "left")
 
-    def rows(_, a, b, sa, sb):
+    def rows(_, a, b, la, lb, sa, sb):
         ok = []
         for x, y in zip(sa, sb):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            x, y = np.frombuffer(x or b"", np.uint64), np.frombuffer(y or b"", np.uint64)
             inter = len(np.intersect1d(x, y, assume_unique=True))
-            ok.append(100 * inter >= percent * (len(x) + len(y) - inter))
-        return {"b": b, "ok": ok}
+            ok.append(inter > 0 and 100 * inter >= percent * (len(x) + len(y) - inter))
+        return {"b": b, "la": la, "lb": lb, "ok": ok}
 
     kind = dict(pairs.dtypes)["a"]
-    return map_docs(both, ["a", "b", "sa", "sb"], rows, f"a {kind}, b {kind}, ok boolean").where("ok").select("a", "b")
+    schema = f"a {kind}, b {kind}, la {kind}, lb {kind}, ok boolean"
+    return map_docs(both, ["a", "b", "la", "lb", "sa", "sb"], rows, schema).distinct()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -313,34 +316,51 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return map_docs(docs, ["doc_id", "_t"], rows, f"doc_id {kind}, items binary, print binary", WordHash)
 
 
+def _contracted(edges: DataFrame) -> DataFrame:
+    """(id, label) for every id on an edge: its smallest neighbour's smallest neighbour, itself included. Ids
+    of one label are connected; the converse need not hold, so several rounds of it may be needed."""
+    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
+    near = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("near")).withColumnRenamed("a", "id"))
+    far = near.select(F.col("id").alias("near"), F.col("near").alias("label"))
+    return near.join(far, "near").select("id", "label")
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed pairs that connect all that the candidates, if alike by ``percent``, connect.
 
     In rounds: each component of what is confirmed so far deals the candidates that lead out of it to
-    ``shares`` groups, and the likeliest of each group is confirmed. Components contract to their labels,
+    ``shares`` groups, and the likeliest of each group is confirmed. Components contract towards their labels,
     candidates tried or inside a component go, and ``shares`` grows, so that components whose candidates
-    fail, however many these are, try more at once. It ends when no candidate is left."""
+    fail, however many these are, try more at once. Once no more candidates are left than were tried, the
+    next round tries them all, which at most doubles the work. It ends when no candidate is left. A round's
+    contraction need not be complete: of what it leaves apart, more is tried later."""
     rest = pairs.select("a", "b", "est", F.col("a").alias("la"), F.col("b").alias("lb"))
-    links, shares = None, 1
+    links, shares, spent, left = None, 1, 0, None
     while True:
         ways = rest.select("a", "b", "est", "la", "lb", F.explode(F.array("la", "lb")).alias("own"))
         group = F.pmod(F.xxhash64("a", "b"), F.lit(shares)).alias("group")
         best = ways.groupBy("own", group).agg(F.max(F.struct("est", "a", "b", "la", "lb")).alias("m"))
-        best = materialize(best.select("m.a", "m.b", "m.la", "m.lb").distinct())
-        done = materialize(_confirmed(best, sets, percent).distinct())
-        links = done if links is None else links.union(done)
-        step = connected(best.join(done, ["a", "b"], "left_semi").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        best = best.select("m.a", "m.b", "m.la", "m.lb").distinct()
+        if left is not None and left <= spent:
+            best = rest.select("a", "b", "la", "lb")
+        tried = materialize(_confirmed(best, sets, percent))
+        done = tried.where("ok").select("a", "b", "la", "lb")
+        links = done.select("a", "b") if links is None else links.union(done.select("a", "b"))
+        if left is not None and left <= spent:
+            return links
+        step = _contracted(done.select(F.col("la").alias("a"), F.col("lb").alias("b")))
         rest = (
-            rest.join(best.select("a", "b"), ["a", "b"], "left_anti")
+            rest.join(tried.select("a", "b"), ["a", "b"], "left_anti")
             .join(step.toDF("la", "na"), "la", "left")
             .join(step.toDF("lb", "nb"), "lb", "left")
             .select("a", "b", "est", F.coalesce("na", "la").alias("la"), F.coalesce("nb", "lb").alias("lb"))
             .where("la <> lb")
         )
         rest = materialize(rest)
-        if rest.isEmpty():
+        spent, left = spent + tried.count(), rest.count()
+        if not left:
             return links
-        shares *= 4 if shares == 1 else 8
+        shares *= 4 if shares == 1 else 16
 
 
 def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent: int = 80) -> DataFrame:
