@@ -129,9 +129,13 @@ def daily_city(inc: DataFrame, backfill: str = BACKFILL_FRAME, dropna: bool = Tr
     The result (days x cities rows) is materialised once: every forecast part
     reads it several times.
     """
-    s = city_day_summary(inc)
-    dense = daily_city_dense(inc, s)
-    stats = city_year_stats(inc, s)
+    return daily_city_of(city_day_summary(inc), backfill, dropna)
+
+
+def daily_city_of(summary: DataFrame, backfill: str = BACKFILL_FRAME, dropna: bool = True) -> DataFrame:
+    """``daily_city`` from the rows of ``city_day_summary``, wherever these come from."""
+    dense = daily_city_dense(summary, summary)
+    stats = city_year_stats(summary, summary)
     joined = dense.join(stats, ["city", "year"], "left").select("date", "city", "crime_count", "year", *STAT_COLS)
     out = fill_stats(joined, STAT_COLS, backfill)
     return materialize(out.na.drop("any") if dropna else out)

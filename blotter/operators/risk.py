@@ -106,10 +106,28 @@ def context_from_incidents(inc: DataFrame) -> RiskContext:
     return RiskContext(**t)
 
 
-def context_from_bundle(spark: SparkSession, daily: DataFrame, location_areas: DataFrame) -> RiskContext:
-    """Bundle path without legacy lookups (Q21): city stats from the daily
-    series; every other lookup is empty, so the defaults apply, and the
+def context_from_bundle(
+    spark: SparkSession, daily: DataFrame, location_areas: DataFrame, legacy: DataFrame | None = None
+) -> RiskContext:
+    """Bundle path: city stats from the daily series, the other lookups from the bundle's
+    ``legacy_lookups``. Without these (Q21) they are empty, so the defaults apply, and the
     typical-offense domain is empty (code -1)."""
+    if legacy is not None:
+
+        def kind(name: str, keys: list[str], value: str, out: str) -> DataFrame:
+            return legacy.where(F.col("kind") == name).select(*keys, F.col(value).alias(out))
+
+        typical = kind("hour_typical", ["city", "hour"], "label", "hour_typical_crime")
+        return RiskContext(
+            city_stats=L.city_stats_latest(daily),
+            loc_total=kind("loc_total", ["location_area"], "amount", "location_total_crimes"),
+            loc_daily=kind("avg_loc", ["location_area"], "amount", "avg_location_daily_freq"),
+            hour_typical=typical,
+            hour_diversity=kind("avg_div", ["city", "hour"], "amount", "avg_crime_diversity"),
+            city_cats=_ranked_domain(daily, "city"),
+            loc_cats=_ranked_domain(location_areas, location_areas.columns[0]),
+            htc_cats=_ranked_domain(typical, "hour_typical_crime"),
+        )
     empty_loc = spark.createDataFrame([], "location_area string, v double")
     return RiskContext(
         city_stats=L.city_stats_latest(daily),

@@ -822,6 +822,16 @@ FROM rows
 """.replace("\n, truth", ", truth", 1)
 
 SQL["bundle_daily_city"] = SQL["daily_city_filled"]
+SQL["bundle_increments_daily"] = SQL["daily_city_filled"]
+SQL["bundle_increments_lookups"] = " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, {cols} FROM ({SQL[key]})"
+    for kind, key, cols in (
+        ("loc_total", "location_totals", "NULL AS city, NULL AS hour, location_area, location_total_crimes AS amount, NULL AS label"),
+        ("avg_loc", "location_daily_mean", "NULL AS city, NULL AS hour, location_area, avg_location_daily_freq AS amount, NULL AS label"),
+        ("hour_typical", "hour_typical", "city, hour, NULL AS location_area, NULL AS amount, hour_typical_crime AS label"),
+        ("avg_div", "hour_diversity", "city, hour, NULL AS location_area, avg_crime_diversity AS amount, NULL AS label"),
+    )
+)
 SQL["bundle_offense_distribution"] = SQL["offense_distribution_partial"]
 
 SQL["per_city_index"] = with_() + """

@@ -446,6 +446,7 @@ from blotter.operators import reliability as RB  # noqa: E402
 from blotter.operators import softmax as SM  # noqa: E402
 from blotter.operators import train as TR  # noqa: E402
 from blotter.sources import bundle as BU  # noqa: E402
+from blotter.sources import bundle_states as BS  # noqa: E402
 from blotter.sources import city_models as CM  # noqa: E402
 from blotter.sources import incidents as IN  # noqa: E402
 from blotter.sources import model_index as MI  # noqa: E402
@@ -578,6 +579,26 @@ def q_bundle_offense_distribution(spark, sf):
     return H.offense_distribution(dist, by=["city"]).withColumnRenamed("city", "City")
 
 
+def _increments(spark, sf) -> dict:
+    """The bundle of two increments: odd and even months, so that their days interleave; the first comes twice."""
+    inc = incidents(spark, sf)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/states-{uuid.uuid4().hex}"
+    odd = F.month("date") % 2 == 1
+    for batch, rows in (("odd", odd), ("even", ~odd), ("odd", odd)):
+        BS.apply_increment(inc.where(rows), path, batch)
+    return BS.bundle_from_states(BS.read_states(spark, path))
+
+
+@register("bundle_increments_daily")
+def q_bundle_increments_daily(spark, sf):
+    return _increments(spark, sf)["daily_city"].select("date", "city", "crime_count", "year", *D.STAT_COLS)
+
+
+@register("bundle_increments_lookups")
+def q_bundle_increments_lookups(spark, sf):
+    return _increments(spark, sf)["legacy_lookups"]
+
+
 @register("per_city_index")
 def q_per_city_index(spark, sf):
     inc = incidents(spark, sf)
