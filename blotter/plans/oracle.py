@@ -843,6 +843,12 @@ FROM (SELECT DISTINCT city FROM incidents WHERE city IS NOT NULL)
 """
 
 SQL["streaming_daily_counts"] = SQL["daily_city_counts"]
+SQL["streaming_merged_counts"] = SQL["daily_city_counts"]
+SQL["streaming_late_counts"] = with_(DAILY_CTES) + """
+SELECT * FROM counts
+WHERE month(date) % 2 = 0
+  AND date + INTERVAL 1 DAY <= (SELECT max(date) FROM counts WHERE month(date) % 2 = 1) - INTERVAL 2 DAY
+"""
 
 SQL["forecast_holiday_points"] = with_recursive(DAILY_CTES, _forecast_ctes()) + "SELECT * FROM forecast WHERE is_holiday = 1"
 SQL["risk_class_order"] = with_(LOOKUP_CTES, RISK_CTES) + """

@@ -451,6 +451,7 @@ from blotter.sources import city_models as CM  # noqa: E402
 from blotter.sources import incidents as IN  # noqa: E402
 from blotter.sources import model_index as MI  # noqa: E402
 from blotter.streaming import daily_counts as ST  # noqa: E402
+from blotter.streaming import late_counts as LC  # noqa: E402
 
 
 @register("rare_label_fold")
@@ -641,6 +642,16 @@ def q_streaming_daily_counts(spark, sf):
     return ST.stream_incident_counts(spark, incidents(spark, sf))
 
 
+@register("streaming_merged_counts")
+def q_streaming_merged_counts(spark, sf):
+    return LC.merged_counts(spark, LC.stream_out_of_order(spark, incidents(spark, sf)))
+
+
+@register("streaming_late_counts")
+def q_streaming_late_counts(spark, sf):
+    return LC.late_counts(spark, LC.stream_out_of_order(spark, incidents(spark, sf)))
+
+
 # --- report pieces: P9, A30 -----------------------------------------------------------------
 
 from blotter.plans import reports as RP  # noqa: E402
