@@ -316,24 +316,14 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return map_docs(docs, ["doc_id", "_t"], rows, f"doc_id {kind}, items binary, print binary", WordHash)
 
 
-def _contracted(edges: DataFrame) -> DataFrame:
-    """(id, label) for every id on an edge: its smallest neighbour's smallest neighbour, itself included. Ids
-    of one label are connected; the converse need not hold, so several rounds of it may be needed."""
-    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-    near = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("near")).withColumnRenamed("a", "id"))
-    far = near.select(F.col("id").alias("near"), F.col("near").alias("label"))
-    return near.join(far, "near").select("id", "label")
-
-
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed pairs that connect all that the candidates, if alike by ``percent``, connect.
 
     In rounds: each component of what is confirmed so far deals the candidates that lead out of it to
-    ``shares`` groups, and the likeliest of each group is confirmed. Components contract towards their labels,
+    ``shares`` groups, and the likeliest of each group is confirmed. Components contract to their labels,
     candidates tried or inside a component go, and ``shares`` grows, so that components whose candidates
     fail, however many these are, try more at once. Once no more candidates are left than were tried, the
-    next round tries them all, which at most doubles the work. It ends when no candidate is left. A round's
-    contraction need not be complete: of what it leaves apart, more is tried later."""
+    next round tries them all, which at most doubles the work. It ends when no candidate is left."""
     rest = pairs.select("a", "b", "est", F.col("a").alias("la"), F.col("b").alias("lb"))
     links, shares, spent, left = None, 1, 0, None
     while True:
@@ -348,7 +338,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         links = done.select("a", "b") if links is None else links.union(done.select("a", "b"))
         if left is not None and left <= spent:
             return links
-        step = _contracted(done.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        step = connected(done.select(F.col("la").alias("a"), F.col("lb").alias("b")))
         rest = (
             rest.join(tried.select("a", "b"), ["a", "b"], "left_anti")
             .join(step.toDF("la", "na"), "la", "left")
