@@ -66,12 +66,18 @@ def _city_sums(data: DataFrame, part) -> dict[str, np.ndarray]:
     return dict(zip(names, np.split(rows.column("v").to_numpy(), first[1:]))) if len(names) else {}
 
 
-def prepared(rows: DataFrame) -> DataFrame:
+def prepared(rows: DataFrame, width: int | None = None) -> DataFrame:
     """The solver's rows, written once for all iterations; a row without a city, label or feature raises in the job
-    rather than vanish."""
+    rather than vanish. With ``width``, the number of features, each is written as a column of its own, which
+    takes a fraction of the room of arrays."""
     whole = F.forall("x", lambda v: v.isNotNull()) & F.col("city").isNotNull() & F.col("label").isNotNull()
     checked = F.when(F.coalesce(whole, F.lit(False)), F.col("x")).otherwise(F.raise_error(F.lit("a training row lacks a city, label or feature")))
-    return materialize(rows.select("city", F.col("label").cast("int").alias("label"), F.col("w").cast("double").alias("w"), checked.alias("x")))
+    head = ["city", F.col("label").cast("int").alias("label"), F.col("w").cast("double").alias("w")]
+    if width is None:
+        return materialize(rows.select(*head, checked.alias("x")))
+    checked = F.when(F.size("x") == width, checked).otherwise(F.raise_error(F.lit(f"a training row has not {width} features")))
+    kept = materialize(rows.select(*head, checked.alias("x")).select("city", "label", "w", *[F.get("x", F.lit(i)).alias(f"x{i}") for i in range(width)]))
+    return kept.select("city", "label", "w", F.array(*[f"x{i}" for i in range(width)]).alias("x"))
 
 
 def fit_cities(

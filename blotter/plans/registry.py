@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blotter.operators import history as H
-from blotter.schema import INCIDENT_COLUMNS, OFFENSE_CLASSES
+from blotter.schema import INCIDENT_COLUMNS, OFFENSE_CLASSES, RISK_FEATURES
 from blotter.session import checkpoint_dir, materialize
 from blotter.sources.fixtures import incidents
 
@@ -28,6 +28,11 @@ def register(name: str):
     return deco
 
 
+def _kept_incidents(spark: SparkSession, sf: str) -> DataFrame:
+    """The incidents written once, for queries that read them several times: the joins they come from then run once."""
+    return materialize(incidents(spark, sf))
+
+
 def _named(inc: DataFrame) -> DataFrame:
     """Incidents with a city, with the city column named as the app names it."""
     return inc.where(F.col("city").isNotNull()).withColumnRenamed("city", "City")
@@ -411,15 +416,15 @@ def q_offense_distribution_of_city(spark, sf):
 from blotter.operators import risk as R  # noqa: E402
 
 
-def _risk_scored(spark, sf) -> DataFrame:
-    inc = incidents(spark, sf)
+def _risk_scored(spark, sf, inc: DataFrame | None = None) -> DataFrame:
+    inc = _kept_incidents(spark, sf) if inc is None else inc
     feats = R.risk_features(R.scenarios_from_incidents(inc), R.context_from_incidents(inc))
     return R.score(feats.drop("location_type_in"), R.demo_classifiers(spark))  # no type is asked for
 
 
 @register("risk_features")
 def q_risk_features(spark, sf):
-    inc = incidents(spark, sf)
+    inc = _kept_incidents(spark, sf)
     return R.risk_features(R.scenarios_from_incidents(inc), R.context_from_incidents(inc))
 
 
@@ -472,18 +477,18 @@ def q_rare_labels_applied(spark, sf):
 @register("lookups_as_of")
 def q_lookups_as_of(spark, sf):
     """Every incident's scenario with the lookups of the rows before its day."""
-    inc = incidents(spark, sf)
+    inc = _kept_incidents(spark, sf)
     return AO.lookups_as_of(inc, R.scenarios_from_incidents(inc))
 
 
 @register("city_classifier_fit")
 def q_city_classifier_fit(spark, sf):
     """M11 per city on days before the last year, with the loss on the days after and convergence."""
-    inc = incidents(spark, sf)
+    inc = _kept_incidents(spark, sf)
     rows = TR.as_of_training_rows(inc, R.context_from_incidents(inc)).withColumn("cut", inc.select(F.date_sub(F.max("date"), 365)).scalar())
-    rows = materialize(rows)
-    models, report = SM.fit_cities(SM.prepared(rows.where("input_date < cut")), list(OFFENSE_CLASSES), tol=1e-3)
-    held_out = SM.city_losses(SM.prepared(rows.where("input_date >= cut")), models)
+    width = len(RISK_FEATURES)
+    models, report = SM.fit_cities(SM.prepared(rows.where("input_date < cut"), width), list(OFFENSE_CLASSES), tol=1e-3)
+    held_out = SM.city_losses(SM.prepared(rows.where("input_date >= cut"), width), models)
     held_out = held_out.select("city", F.col("rows").alias("held_out_rows"), F.col("log_loss").alias("held_out_loss"))
     return report.join(held_out, ["city"], "left")
 
@@ -496,7 +501,7 @@ def q_volume_model_fit(spark, sf):
 
 @register("risk_model_fit")
 def q_risk_model_fit(spark, sf):
-    inc = incidents(spark, sf)
+    inc = _kept_incidents(spark, sf)
     return TR.fit_risk_models(inc, R.context_from_incidents(inc))
 
 
@@ -539,15 +544,15 @@ def q_gram_as_of(spark, sf):
 
 @register("class_quality")
 def q_class_quality(spark, sf):
-    raw = incidents(spark, sf)
-    return TR.class_quality(_risk_scored(spark, sf), TR.truth_from_incidents(raw))
+    inc = _kept_incidents(spark, sf)
+    return TR.class_quality(_risk_scored(spark, sf, inc), TR.truth_from_incidents(inc))
 
 
 @register("probability_quality")
 def q_probability_quality(spark, sf):
     """Reliability of the specific classes' probabilities over the last year's scenarios, by bins of equal
     width and of equal weight."""
-    inc = incidents(spark, sf)
+    inc = _kept_incidents(spark, sf)
     recent = inc.where(F.col("date") >= inc.select(F.date_sub(F.max("date"), 365)).scalar())
     feats = R.risk_features(R.scenarios_from_incidents(recent), R.context_from_incidents(inc))
     scored = R.score(feats.drop("location_type_in"), R.demo_classifiers(spark))
@@ -562,7 +567,7 @@ def q_probability_quality(spark, sf):
 
 def _bundle(spark, sf) -> dict:
     path = f"{checkpoint_dir(spark).rstrip('/')}/bundle-{uuid.uuid4().hex}"
-    BU.write_bundle(BU.bundle_from_incidents(incidents(spark, sf)), path, schema_version="2.1", model_version="demo")
+    BU.write_bundle(BU.bundle_from_incidents(_kept_incidents(spark, sf)), path, schema_version="2.1", model_version="demo")
     tables = BU.load_tables(spark, path, None)
     return tables
 
@@ -582,7 +587,7 @@ def q_bundle_offense_distribution(spark, sf):
 
 def _increments(spark, sf) -> dict:
     """The bundle of two increments: odd and even months, so that their days interleave; the first comes twice."""
-    inc = incidents(spark, sf)
+    inc = _kept_incidents(spark, sf)
     path = f"{checkpoint_dir(spark).rstrip('/')}/states-{uuid.uuid4().hex}"
     odd = F.month("date") % 2 == 1
     for batch, rows in (("odd", odd), ("even", ~odd), ("odd", odd)):

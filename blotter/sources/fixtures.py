@@ -1,9 +1,10 @@
 """Adapter: incident rows in the reference's 13-column contract, made from the
 driver's TPC-H-shaped tables (mapping in FIXTURES.md section 2).
 
-One pass over lineitem; orders and customer are joined on their keys
-(shuffle joins at scale, AQE may turn them into broadcasts at runtime),
-nation is a fixed 25-row dimension and is broadcast.
+One pass over lineitem; orders get their customer's nation first, so that the
+lineitem rows are shuffled by order and by part only and carry keys, not names
+(shuffle joins at scale, AQE may turn them into broadcasts at runtime).
+nation is a fixed 25-row dimension and is broadcast last.
 """
 
 from __future__ import annotations
@@ -77,11 +78,12 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", "p_brand")
 
+    placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
     base = (
-        li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        li.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        .drop("o_orderkey")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
     )
     d = F.col("l_shipdate").cast("date")
     nk = F.col("n_nationkey")
