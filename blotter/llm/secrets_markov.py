@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from blotter.llm.common import map_docs, prepare, replace_column, rewrite_docs, span_text, texts_of
 
+#: Characters of text counted at once.
+COUNT_CHARS = 1 << 20
 MIN_RUN = 20
 MIN_RATIO = 15.0
 MIN_RATIO_PER_CHAR = 0.6
@@ -66,8 +68,13 @@ def _trigrams(codes: np.ndarray) -> np.ndarray:
 def count_runs(raw: bytes, least: int = 4) -> np.ndarray:
     """Trigram indexes of the runs of at least ``least`` characters."""
     codes, starts, ends = find_runs(raw, least)
-    out = [_trigrams(np.concatenate(([0, 0], codes[a:b]))) for a, b in zip(starts, ends)]
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
+    step = np.zeros(len(codes) + 1, np.int8)
+    step[starts], step[ends] = 1, -1
+    padded = np.concatenate(([0, 0], codes))
+    first, second = padded[:-2], padded[1:-1]
+    # what comes before a run's edge belongs to another run
+    index = (np.where(second > 0, first, 0) * N + second) * N + codes
+    return index[np.cumsum(step[:-1], dtype=np.int8) > 0]
 
 
 def find_runs(raw: bytes, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,17 +143,26 @@ def fit(docs: DataFrame, text_col: str = "text") -> Markov:
 
     def run(batches):
         total = np.zeros((2, N**3), np.int64)
+        parts, held = ([], []), 0  # plain, secret
+
+        def count():
+            for i, p in enumerate(parts):
+                total[i] += np.bincount(count_runs("\n".join(p).encode("utf-8", "surrogatepass")), minlength=N**3)
+                p.clear()
+
         for batch in batches:
-            secret, plain = [], []
             for t in texts_of(batch.column(0)):
                 spans, at = base_spans(t), 0
                 for _, a, b in sorted(spans, key=lambda s: s[1]):
-                    plain.append(t[at:a] if a > at else "")
+                    parts[0].append(t[at:a] if a > at else "")
                     at = max(at, b)
-                plain.append(t[at:])
-                secret += [t[a:b] for k, a, b in spans if k != "assign"]
-            for i, parts in enumerate((plain, secret)):
-                total[i] += np.bincount(count_runs("\n".join(parts).encode("utf-8", "surrogatepass")), minlength=N**3)
+                parts[0].append(t[at:])
+                parts[1].extend(t[a:b] for k, a, b in spans if k != "assign")
+                held += len(t)
+                if held > COUNT_CHARS:
+                    count()
+                    held = 0
+        count()
         for i in range(2):
             some = np.flatnonzero(total[i])
             yield pa.RecordBatch.from_arrays(

@@ -199,3 +199,30 @@ def test_training_rows_are_bounded_and_ordinary_counts_whole(spark):
     rare = secrets_markov.count_runs(b"qxjzqxjz")[3:]
     without = secrets_markov.fit(prose.where("doc_id NOT IN (1, 3999)"))
     assert (secrets_markov.fit(prose).ratio[rare] < without.ratio[rare]).all()
+
+
+def test_trigram_counts_are_those_of_each_run_alone():
+    import numpy as np
+
+    from blotter.llm import secrets_markov as sm
+
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 4, 50, 400):
+        for least in (1, 4):
+            raw = bytes(rng.choice(list(b"abXY09 -=\n!"), n).tolist())
+            codes, starts, ends = sm.find_runs(raw, least)
+            runs = [sm._trigrams(np.concatenate(([0, 0], codes[a:b]))) for a, b in zip(starts, ends)]
+            assert sm.count_runs(raw, least).tolist() == [int(v) for r in runs for v in r]
+
+
+def test_trigram_counting_takes_runs_together():
+    """Work is by array, not by run: a text of many short runs makes a few calls."""
+    from blotter.llm import secrets_markov as sm
+
+    calls = []
+    kept, sm._trigrams = sm._trigrams, lambda codes: calls.append(1) or kept(codes)
+    try:
+        assert len(sm.count_runs(b"word " * 1000)) == 4000
+    finally:
+        sm._trigrams = kept
+    assert len(calls) <= 1
