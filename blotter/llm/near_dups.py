@@ -7,10 +7,11 @@ class follows one path down each of ``TREES`` independent trees: at each step it
 branches on the minwise token of its set under the step's hash, so two classes of
 similarity s are together after k steps with chance s**k. Nodes are looked at
 after each depth of ``DEPTHS``; a node of at most ``SMALL`` classes is compared
-exhaustively, a larger one branches on, and every class of it is compared with
-the node's leaders (the first under ``LEADERS`` orders, two of them by a hash that the
-node's key seeds), which links groups of
-many near copies in a number of comparisons that grows with their members.
+exhaustively, a larger one branches on and has leaders (the first under ``LEADERS``
+orders, two of them by a hash that the node's key seeds). First every class of large
+nodes tries the two first leaders it meets most often, which connects groups of
+many near copies by at most two candidates a member. Then pairs are made only of classes that
+are not connected: in small nodes, among leaders, and of a class connected to none with at most ``TRIED`` leaders.
 
 What this leaves unconnected in the large nodes of the first depth goes through
 an exact join: of two sets alike by the threshold, each holds the first common item
@@ -38,7 +39,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm.common import map_docs, prepare
@@ -48,6 +49,8 @@ TREES = 12
 DEPTHS = (2, 4, 8)
 SMALL = 24
 LEADERS = 4
+#: Leaders that a class connected to none tries.
+TRIED = 16
 SLACK = 0.16  # four deviations of an estimate from 128 values
 SIGNATURE = 128
 MEMO_WORDS = 400_000
@@ -134,59 +137,97 @@ def _features(docs: DataFrame, text_col: str, width: int) -> DataFrame:
 
 
 def _places(classes: DataFrame) -> DataFrame:
-    """Every class at each node of its paths."""
-    return classes.select("id", "n", F.posexplode("keys").alias("pos", "key")).select(
-        "id", "n", "key", (F.col("pos") % len(DEPTHS)).alias("level"), "pos"
+    """Every class at each node of its paths that it shares, with the node's number of classes."""
+    at = classes.select("id", "n", F.posexplode("keys").alias("pos", "key")).select(
+        "id", "n", "key", (F.col("pos") % len(DEPTHS)).cast("tinyint").alias("level")
     )
+    sizes = materialize(at.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    return materialize(at.join(sizes, "key"))
 
 
-def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a < b) of classes that meet in a small node, or of a class and a
-    leader of a large one, distinct, of sizes that fit the threshold; and the large nodes."""
-    at = _places(classes)
-    first = F.struct(F.xxhash64("id", "key").alias("by"), "id", "n")
-    nodes = at.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.min(F.struct(F.col("id").alias("by"), "id", "n")).alias("l0"),
-        F.min(first).alias("l1"),
-        F.max(first).alias("l2"),
-        F.max(F.struct(F.col("n").alias("by"), "id", "n")).alias("l3"),
+def _fits(x: Column, y: Column) -> Column:
+    """Whether two sets' sizes leave room for the least threshold in use."""
+    return (10 * F.least(x["n"], y["n"]) >= 8 * F.greatest(x["n"], y["n"])) & (x["id"] != y["id"])
+
+
+def _labelled(places: DataFrame, label: DataFrame) -> DataFrame:
+    """The places as (key, size, level, x), x holding the class's id, n, label and whether it is connected to none yet."""
+    found = label.select("id", F.col("label").alias("_l"))
+    x = F.struct("id", "n", F.coalesce("_l", "id").alias("label"), F.col("_l").isNull().alias("alone"))
+    return places.join(found, "id", "left").select("key", "size", "level", x.alias("x"))
+
+
+def _leaders(large: DataFrame) -> DataFrame:
+    """The leaders l0, l1, .. of the large nodes whose classes are not all connected."""
+    seeded = F.struct(F.xxhash64("x.id", "key").alias("by"), "x")
+    first = large.groupBy("key").agg(
+        F.min("x.label").alias("low"),
+        F.max("x.label").alias("high"),
+        F.min(F.struct(F.col("x.id").alias("by"), "x")).alias("l0"),
+        F.min(seeded).alias("l1"),
+        F.max(seeded).alias("l2"),
+        F.max(F.struct(F.col("x.n").alias("by"), "x")).alias("l3"),
     )
-    nodes = materialize(nodes.where("size > 1"))
-    large = nodes.where(F.col("size") > SMALL)
-    # exhaustive comparison in small nodes; at most SMALL ids a list
+    return materialize(first.where("low <> high").select("key", *[F.col(f"l{i}.x").alias(f"l{i}") for i in range(LEADERS)]))
+
+
+def _met(large: DataFrame, leaders: DataFrame) -> DataFrame:
+    """The classes x of large nodes beside their leaders; salted over the leaders' copies."""
+    salted = leaders.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return large.withColumn("salt", F.pmod(F.xxhash64("x.id"), F.lit(SALTS)).cast("int")).join(salted, ["key", "salt"])
+
+
+def _pairs(ends: DataFrame) -> DataFrame:
+    return ends.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+
+
+def _often(ends: DataFrame, most: int) -> DataFrame:
+    """Of a class's ways (p, q) the ``most`` to the leaders that it meets in most nodes."""
+    ways = ends.groupBy("p", "q").agg((-F.count(F.lit(1))).alias("by"))
+    ways = ways.groupBy("p").agg(F.sort_array(F.collect_list(F.struct("by", "q"))).alias("ways"))
+    return ways.select("p", F.explode(F.slice("ways", 1, most)).alias("way")).select("p", "way.q")
+
+
+def _first_candidates(places: DataFrame, label: DataFrame) -> DataFrame:
+    """Two pairs (a < b) at most for each class of a large node: with the first leaders that it meets most often."""
+    large = _labelled(places.where(F.col("size") > SMALL), label)
+    ends = _met(large, _leaders(large)).where(_fits(F.col("x"), F.col("l0")))
+    return _pairs(_often(ends.select(F.col("x.id").alias("p"), F.col("l0.id").alias("q")), 2))
+
+
+def _candidates(places: DataFrame, label: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of classes not connected yet, of sizes that fit the threshold: all that meet in a
+    small node; of large nodes the leaders among themselves, and each class connected to none with
+    the leaders that it meets most often. What large nodes leave apart is for ``_exact``."""
+    at = _labelled(places, label)
+
+    def fit(x: Column, ys: Column) -> Column:
+        return F.transform(F.filter(ys, lambda y: _fits(x, y) & (x["label"] != y["label"])), lambda y: y["id"])
+
+    # exhaustive comparison in small nodes; at most SMALL classes a list
     small = (
-        at.join(nodes.where(F.col("size") <= SMALL).select("key"), "key")
+        at.where(F.col("size") <= SMALL)
         .groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("m"))
+        .agg(F.sort_array(F.collect_list("x")).alias("m"), F.min("x.label").alias("low"), F.max("x.label").alias("high"))
+        .where("low <> high")
         .select(F.posexplode("m").alias("i", "x"), "m")
-        .select("x", F.explode(F.slice("m", F.col("i") + 2, SMALL)).alias("y"))
-    )
-    # large nodes: every member against the leaders; the members are salted over the leaders' copies
-    leaders = large.select(
-        "key", F.array(*[F.struct(F.col(f"l{i}.id").alias("id"), F.col(f"l{i}.n").alias("n")) for i in range(LEADERS)]).alias("leaders"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
-    )
-    star = (
-        at.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-        .join(leaders, ["key", "salt"])
-        .select(F.struct("id", "n").alias("x"), F.explode(F.array_distinct("leaders")).alias("y"))
+        .select(F.col("x.id").alias("p"), F.explode(fit(F.col("x"), F.slice("m", F.col("i") + 2, SMALL))).alias("q"))
     )
-    fits = 10 * F.least("x.n", "y.n") >= 8 * F.greatest("x.n", "y.n")
-    pairs = (
-        small.union(star)
-        .where(fits & (F.col("x.id") != F.col("y.id")))
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
+    large = at.where(F.col("size") > SMALL)
+    leaders = _leaders(large)
+    among = leaders.select(F.array(*[f"l{i}" for i in range(LEADERS)]).alias("m"))
+    among = among.select(F.explode("m").alias("x"), "m").select(F.col("x.id").alias("p"), F.explode(fit(F.col("x"), F.col("m"))).alias("q"))
+    star = _met(large.where("x.alone"), leaders).select(
+        F.col("x.id").alias("p"), F.explode(fit(F.col("x"), F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS)])))).alias("q")
     )
-    return pairs, large.select("key")
+    return _pairs(small.union(among).union(_often(star, TRIED)))
 
 
-def _unsettled(classes: DataFrame, large: DataFrame, label: DataFrame) -> DataFrame:
+def _unsettled(places: DataFrame, label: DataFrame) -> DataFrame:
     """Distinct (doc_id, label) of the classes that share a large node of the first depth with a
     class they are not connected to."""
-    at = _places(classes).where("level = 0").join(large, "key").select("id", "key")
-    at = materialize(at.join(label, "id", "left").select("id", "key", F.coalesce("label", "id").alias("label")))
+    at = _labelled(places.where((F.col("size") > SMALL) & (F.col("level") == 0)), label)
+    at = materialize(at.select("x.id", "key", "x.label"))
     mixed = at.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
     return materialize(at.join(mixed, "key", "left_semi").select(F.col("id").alias("doc_id"), "label").distinct())
 
@@ -251,7 +292,9 @@ def _exact(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _estimates(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """The pairs whose signatures do not rule them out, with the estimate."""
+    """The pairs whose signatures do not rule them out, with the estimate. The pairs are written first, so
+    that few of them are broadcast and no signature is shuffled."""
+    pairs = materialize(pairs)
     sig = classes.select("id", "sig")
     both = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b")
 
@@ -316,15 +359,23 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return map_docs(docs, ["doc_id", "_t"], rows, f"doc_id {kind}, items binary, print binary", WordHash)
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed pairs that connect all that the candidates, if alike by ``percent``, connect.
+def _ends_sets(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """The sets of the pairs' ends. Rows of one id with several texts: the id's set is that of any of them that fits."""
+    # written, so that the planner knows its size: while it may be broadcast, no text is shuffled
+    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    return materialize(_sets(docs.join(ends, "doc_id", "left_semi"), width).where(F.length("items") > 0).select("doc_id", "items"))
+
+
+def _links(pairs: DataFrame, sets: DataFrame, percent: int, label: DataFrame) -> DataFrame:
+    """Confirmed pairs that connect all that the candidates, if alike by ``percent``, connect beyond ``label``.
 
     In rounds: each component of what is confirmed so far deals the candidates that lead out of it to
     ``shares`` groups, and the likeliest of each group is confirmed. Components contract to their labels,
     candidates tried or inside a component go, and ``shares`` grows, so that components whose candidates
     fail, however many these are, try more at once. Once no more candidates are left than were tried, the
     next round tries them all, which at most doubles the work. It ends when no candidate is left."""
-    rest = pairs.select("a", "b", "est", F.col("a").alias("la"), F.col("b").alias("lb"))
+    rest = pairs.join(label.toDF("a", "la"), "a", "left").join(label.toDF("b", "lb"), "b", "left")
+    rest = rest.select("a", "b", "est", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).where("la <> lb")
     links, shares, spent, left = None, 1, 0, None
     while True:
         ways = rest.select("a", "b", "est", "la", "lb", F.explode(F.array("la", "lb")).alias("own"))
@@ -365,20 +416,24 @@ def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent:
         .agg(F.min(F.struct("doc_id", "n", "sig", "keys")).alias("c"))
         .select("print", F.col("c.doc_id").alias("id"), "c.n", "c.sig", "c.keys")
     )
-    candidates, large = _candidates(classes)
-    pairs = materialize(_estimates(candidates, classes, percent / 100 - SLACK))
-    # written, so that the planner knows its size: while it may be broadcast, no text is shuffled
-    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    # rows of one id with several texts: the id's set is that of any of them that fits
-    sets = materialize(_sets(docs.join(ends, "doc_id", "left_semi"), width).where(F.length("items") > 0).select("doc_id", "items"))
-    links = _links(pairs, sets, percent)
+    least = percent / 100 - SLACK
+    places = _places(classes)
+    # groups of many near copies first, by two candidates a member, so that what is connected is not compared again
+    none = classes.select("id", F.col("id").alias("label")).limit(0)
+    pairs = materialize(_estimates(_first_candidates(places, none), classes, least))
+    tried = pairs.select("a", "b", F.col("a").alias("la"), F.col("b").alias("lb"))
+    links = materialize(_confirmed(tried, _ends_sets(docs, pairs, width), percent).where("ok").select("a", "b"))
+    label = connected(links)
+    pairs = materialize(_estimates(_candidates(places, label), classes, least))
+    links = links.union(_links(pairs, _ends_sets(docs, pairs, width), percent, label))
     # what is still apart in large nodes
-    apart = _unsettled(classes, large, connected(links))
+    label = connected(links)
+    apart = _unsettled(places, label)
     if not apart.isEmpty():
         sets = _sets(docs.join(apart, "doc_id", "left_semi"), width).where(F.length("items") > 0)
         sets = materialize(sets.dropDuplicates(["doc_id", "print"]).join(apart, "doc_id"))
-        pairs = materialize(_estimates(_exact(sets, percent), classes, percent / 100 - SLACK))
-        links = links.union(_links(pairs, sets.select("doc_id", "items"), percent))
+        pairs = materialize(_estimates(_exact(sets, percent), classes, least))
+        links = links.union(_links(pairs, sets.select("doc_id", "items"), percent, label))
     # ids that stand for several classes (one id, several texts) tie these together
     member = feats.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "print").join(
         classes.select("print", "id"), "print"

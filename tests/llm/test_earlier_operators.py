@@ -140,6 +140,27 @@ def test_near_copies_need_few_links(spark, monkeypatch):
         assert 1 <= sum(tried) / size < 3
 
 
+def test_near_copies_make_few_candidates(spark, monkeypatch):
+    """The pairs made of a large group of near copies are a few a member, before any is confirmed."""
+    made, estimates = [], near_dups._estimates
+
+    def counted(pairs, classes, least):
+        made.append(pairs.count())
+        return estimates(pairs, classes, least)
+
+    monkeypatch.setattr(near_dups, "_estimates", counted)
+    rng = random.Random(12)
+    texts = []
+    for k in range(600):
+        words = [f"w{j}" for j in range(150)]
+        for _ in range(3):
+            words[rng.randrange(150)] = f"z{k}"
+        texts.append(" ".join(words))
+    got = near_dups.components(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert {r.component_id for r in got} == {0}
+    assert 600 <= sum(made) + 1 < 600 * 5
+
+
 def test_many_failing_candidates_end(spark, monkeypatch):
     """Two groups of near copies, too unlike each other by a little: their many candidates fail in few rounds."""
     rounds, confirmed = [], near_dups._confirmed
