@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blotter.operators import history as H
-from blotter.schema import INCIDENT_COLUMNS, OFFENSE_CLASSES, RISK_FEATURES
+from blotter.schema import INCIDENT_COLUMNS, LOOKUP_STAT_COLS, OFFENSE_CLASSES, RISK_FEATURES, STAT_COLS
 from blotter.session import checkpoint_dir, materialize
 from blotter.sources.fixtures import incidents
 
@@ -28,9 +28,16 @@ def register(name: str):
     return deco
 
 
-def _kept_incidents(spark: SparkSession, sf: str) -> DataFrame:
-    """The incidents written once, for queries that read them several times: the joins they come from then run once."""
-    return materialize(incidents(spark, sf))
+def _kept_incidents(spark: SparkSession, sf: str, columns: list[str] | None = None) -> DataFrame:
+    """The incidents, or those of their columns that a query reads, written once, for queries that read them several
+    times: the joins they come from then run once."""
+    inc = incidents(spark, sf)
+    return materialize(inc.select(*columns) if columns else inc)
+
+
+#: What the tables of a bundle and the risk lookups and scenarios are made from.
+BUNDLE_INPUT = ["date", "year", "city", "location_area", "offense_category_name", *STAT_COLS, "row_order"]
+RISK_INPUT = ["date", "hour", "city", "location_area", "offense_category_clean", *LOOKUP_STAT_COLS, "row_order"]
 
 
 def _named(inc: DataFrame) -> DataFrame:
@@ -417,14 +424,14 @@ from blotter.operators import risk as R  # noqa: E402
 
 
 def _risk_scored(spark, sf, inc: DataFrame | None = None) -> DataFrame:
-    inc = _kept_incidents(spark, sf) if inc is None else inc
+    inc = _kept_incidents(spark, sf, RISK_INPUT) if inc is None else inc
     feats = R.risk_features(R.scenarios_from_incidents(inc), R.context_from_incidents(inc))
     return R.score(feats.drop("location_type_in"), R.demo_classifiers(spark))  # no type is asked for
 
 
 @register("risk_features")
 def q_risk_features(spark, sf):
-    inc = _kept_incidents(spark, sf)
+    inc = _kept_incidents(spark, sf, RISK_INPUT)
     return R.risk_features(R.scenarios_from_incidents(inc), R.context_from_incidents(inc))
 
 
@@ -567,7 +574,7 @@ def q_probability_quality(spark, sf):
 
 def _bundle(spark, sf) -> dict:
     path = f"{checkpoint_dir(spark).rstrip('/')}/bundle-{uuid.uuid4().hex}"
-    BU.write_bundle(BU.bundle_from_incidents(_kept_incidents(spark, sf)), path, schema_version="2.1", model_version="demo")
+    BU.write_bundle(BU.bundle_from_incidents(_kept_incidents(spark, sf, BUNDLE_INPUT)), path, schema_version="2.1", model_version="demo")
     tables = BU.load_tables(spark, path, None)
     return tables
 
@@ -587,7 +594,7 @@ def q_bundle_offense_distribution(spark, sf):
 
 def _increments(spark, sf) -> dict:
     """The bundle of two increments: odd and even months, so that their days interleave; the first comes twice."""
-    inc = _kept_incidents(spark, sf)
+    inc = _kept_incidents(spark, sf, [*BUNDLE_INPUT, "hour", "offense_category_clean"])
     path = f"{checkpoint_dir(spark).rstrip('/')}/states-{uuid.uuid4().hex}"
     odd = F.month("date") % 2 == 1
     for batch, rows in (("odd", odd), ("even", ~odd), ("odd", odd)):

@@ -2,8 +2,9 @@
 driver's TPC-H-shaped tables (mapping in FIXTURES.md section 2).
 
 One pass over lineitem; orders get their customer's nation first, so that the
-lineitem rows are shuffled by order and by part only and carry keys, not names
-(shuffle joins at scale, AQE may turn them into broadcasts at runtime).
+lineitem rows are shuffled by order and by part only and carry keys and days, not
+names and timestamps (shuffle joins at scale, AQE may turn them into broadcasts at
+runtime). What the order key tells is worked out before the part comes in.
 nation is a fixed 25-row dimension and is broadcast last.
 """
 
@@ -71,25 +72,37 @@ def _pick(index: Column, values: list[str], base: int) -> Column:
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incident rows in the raw contract plus ``row_order`` (file-order stand-in)."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_shipdate"
+        "l_orderkey", "l_partkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("day")
     )
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", "p_brand")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        "p_partkey", (F.col("p_size") % 13).alias("place"), F.substring(F.col("p_brand"), 7, 10).alias("brand")
+    )
 
+    d = F.col("day")
+    y = F.year(d)
+    nk = F.col("c_nationkey")
     placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
-    base = (
+    keyed = (
         li.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
-        .drop("o_orderkey")
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        .where(~((nk == 0) & (y < 1997)) & ~((nk == 24) & (y > 2000)))
+        .select(
+            "l_partkey",
+            "day",
+            "c_nationkey",
+            F.when(F.col("l_orderkey") % 50 == 0, F.lit(None).cast("int"))
+            .otherwise((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 24)
+            .cast("tinyint")
+            .alias("hour"),
+            (F.col("l_orderkey") % 211 == 0).alias("unnamed"),
+        )
+    )
+    base = keyed.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
+        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    d = F.col("l_shipdate").cast("date")
     nk = F.col("n_nationkey")
-    y = F.year(d)
-    base = base.where(~((nk == 0) & (y < 1997)) & ~((nk == 24) & (y > 2000)))
-
     years_in = y - F.lit(1995)
     pop_formula = F.lit(20000) + F.lit(1500) * nk + F.lit(250) * years_in
     officers = (
@@ -97,17 +110,14 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).cast("int")
     female = F.floor(officers / F.lit(5)).cast("int")
     rate_null = (nk == 7) & (y < 1998)
-    brand_n = F.substring(F.col("p_brand"), 7, 10).cast("int")
+    brand_n = F.col("brand").cast("int")
     return base.select(
         y.cast("int").alias("year"),
         F.month(d).cast("int").alias("month"),
         F.dayofmonth(d).cast("int").alias("day"),
-        F.when(F.col("l_orderkey") % 50 == 0, F.lit(None).cast("int"))
-        .otherwise((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 24)
-        .cast("int")
-        .alias("hour"),
-        F.when(F.col("l_orderkey") % 211 == 0, F.lit(None).cast("string")).otherwise(F.col("n_name")).alias("city"),
-        _pick(F.col("p_size") % 13, FIXTURE_LOCATIONS, 0).alias("location_area"),
+        F.col("hour").cast("int").alias("hour"),
+        F.when(F.col("unnamed"), F.lit(None).cast("string")).otherwise(F.col("n_name")).alias("city"),
+        _pick(F.col("place"), FIXTURE_LOCATIONS, 0).alias("location_area"),
         _pick(brand_n, FIXTURE_OFFENSES, 1).alias("offense_category_name"),
         F.when((nk == 3) & (y == 1996), F.lit(None).cast("int")).otherwise(pop_formula.cast("int")).alias("population"),
         officers.alias("total_officers"),
