@@ -24,17 +24,35 @@ def _order_col(inc: DataFrame) -> Column:
     return F.col("row_order") if "row_order" in inc.columns else F.col("date")
 
 
-def city_day_summary(inc: DataFrame) -> DataFrame:
+def _count(weight: str | None) -> Column:
+    """Number of incidents: of rows, or by the named count column of counted rows."""
+    return F.sum(weight) if weight else F.count(F.lit(1))
+
+
+def city_day_staff(inc: DataFrame) -> DataFrame:
+    """Incidents counted per (date, city, staffing), with the first and last order of their rows.
+
+    The daily summary, the staffing trends and the last stats all follow from it (with
+    ``weight="n"`` where they count), so that the incidents are read once for them.
+    """
+    order = _order_col(inc)
+    return inc.groupBy("date", "city", *STAT_COLS).agg(
+        F.count(F.lit(1)).alias("n"), F.min(order).alias("row_order"), F.max(order).alias("last_order")
+    )
+
+
+def city_day_summary(inc: DataFrame, weight: str | None = None) -> DataFrame:
     """One pass over incidents: (date, city) -> crime_count and the first row's stats.
 
     The null-city group is kept: its dates still count for the calendar bounds.
+    ``weight`` names the count column of counted rows, as ``city_day_staff`` makes them.
     """
     order = _order_col(inc)
     # per-column min_by with primitive values keeps the aggregate hash-based;
     # with a unique row order it picks the same (first) row for every column
     return materialize(
         inc.groupBy("date", "city").agg(
-            F.count(F.lit(1)).alias("crime_count"),
+            _count(weight).alias("crime_count"),
             F.min(order).alias("ord"),
             *[F.min_by(F.col(c), order).alias(c) for c in STAT_COLS],
         )
@@ -164,7 +182,7 @@ def with_profile_columns(daily: DataFrame) -> DataFrame:
     )
 
 
-def crime_distribution(inc: DataFrame) -> DataFrame:
+def crime_distribution(inc: DataFrame, weight: str | None = None) -> DataFrame:
     """Bundle table: (city, year, offense_category_name, count) -- the partial
     aggregate that A5/A6 finish."""
-    return inc.groupBy("city", "year", "offense_category_name").agg(F.count(F.lit(1)).alias("count"))
+    return inc.groupBy("city", "year", "offense_category_name").agg(_count(weight).alias("count"))

@@ -75,3 +75,12 @@ def materialize_all(frames: dict, max_workers: int = 8) -> dict:
     with ThreadPoolExecutor(max_workers=max_workers) as pool:
         futures = {k: pool.submit(materialize, v) for k, v in frames.items()}
         return {k: f.result() for k, f in futures.items()}
+
+
+def write_all(frames: dict, max_workers: int = 8) -> None:
+    """Write independent frames, by path, as concurrent Spark jobs (see ``materialize_all``)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        for f in [pool.submit(df.write.mode("overwrite").parquet, path) for path, df in frames.items()]:
+            f.result()

@@ -23,28 +23,30 @@ from blotter.operators import daily as D
 from blotter.operators import lookups as L
 from blotter.operators import staffing as S
 from blotter.schema import LOOKUP_STAT_COLS, STAT_COLS
-from blotter.session import materialize
+from blotter.session import materialize, materialize_all, write_all
 
 OFFENSE_KEYS = ["date", "year", "hour", "city", "offense_category_name", "offense_category_clean"]
 PLACE_KEYS = ["date", "year", "location_area"]
 TREND_KEYS = ["month_start", "city", *S.TREND_COLS]
 
 
-def _last(c: str, order) -> list:
-    seen = F.when(F.col(c).isNotNull(), order)
+def _last(c: str) -> list:
+    seen = F.when(F.col(c).isNotNull(), F.col("last_order"))
     return [F.max_by(F.col(c), seen).alias(c), F.max(seen).alias(f"{c}_at")]
 
 
 def partial_states(inc: DataFrame) -> dict[str, DataFrame]:
-    """The partial aggregates of some incident rows, which need ``row_order`` or one row a day and city."""
-    order = F.col("row_order") if "row_order" in inc.columns else F.col("date")
+    """The partial aggregates of some incident rows, which need ``row_order`` or one row a day and city.
+
+    Days, trends and last stats follow from one count of the rows by day, city and staffing."""
     n = F.count(F.lit(1)).alias("n")
+    staff = materialize(D.city_day_staff(inc))
     return {
-        "days": D.city_day_summary(inc),
-        "trends": S.officer_trends(inc),
+        "days": D.city_day_summary(staff, "n"),
+        "trends": S.officer_trends(staff),
         "offenses": inc.groupBy(*OFFENSE_KEYS).agg(n),
         "places": inc.groupBy(*PLACE_KEYS).agg(n),
-        "last": inc.groupBy("city").agg(*[x for c in LOOKUP_STAT_COLS for x in _last(c, order)]),
+        "last": staff.groupBy("city").agg(*[x for c in LOOKUP_STAT_COLS for x in _last(c)]),
     }
 
 
@@ -67,13 +69,12 @@ STATES = ["days", "trends", "offenses", "places", "last"]
 
 def apply_increment(inc: DataFrame, path: str, batch: str) -> None:
     """Write the states of one increment; the same ``batch`` again replaces them."""
-    for name, state in partial_states(inc).items():
-        state.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch}")
+    write_all({f"{path}/{name}/batch={batch}": state for name, state in partial_states(inc).items()})
 
 
 def read_states(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The merged states of all increments under ``path``, each written once for its consumers."""
-    return {name: materialize(_merge(name, spark.read.parquet(f"{path}/{name}").drop("batch"))) for name in STATES}
+    return materialize_all({name: _merge(name, spark.read.parquet(f"{path}/{name}").drop("batch")) for name in STATES})
 
 
 def compact(spark: SparkSession, path: str, to: str, batch: str = "base") -> None:

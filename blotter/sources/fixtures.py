@@ -3,8 +3,9 @@ driver's TPC-H-shaped tables (mapping in FIXTURES.md section 2).
 
 One pass over lineitem; orders get their customer's nation first, so that the
 lineitem rows are shuffled by order and by part only and carry keys and days, not
-names and timestamps (shuffle joins at scale, AQE may turn them into broadcasts at
-runtime). What the order key tells is worked out before the part comes in.
+names and timestamps. Orders are hashed a partition, so that lineitem is streamed by
+them and neither sorted nor spilled; the other joins are shuffle joins at scale, which
+AQE may turn into broadcasts. What the order key tells is worked out before the part comes in.
 nation is a fixed 25-row dimension and is broadcast last.
 """
 
@@ -69,6 +70,13 @@ def _pick(index: Column, values: list[str], base: int) -> Column:
     return F.when((pos >= 1) & (pos <= len(values)), F.try_element_at(arr, pos.cast("int")))
 
 
+def _round4(x: Column) -> Column:
+    """``round(x, 4)``, whose decimal arithmetic only large values and those next to a tie need."""
+    shifted = x * F.lit(10000.0)
+    tie = F.abs(shifted - F.floor(shifted) - F.lit(0.5)) < F.lit(1e-4)
+    return F.when(~tie & (F.abs(x) < 1e6), F.floor(shifted + F.lit(0.5)) / F.lit(10000.0)).otherwise(F.round(x, 4))
+
+
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incident rows in the raw contract plus ``row_order`` (file-order stand-in)."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
@@ -86,7 +94,7 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     nk = F.col("c_nationkey")
     placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
     keyed = (
-        li.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        li.join(placed.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
         .where(~((nk == 0) & (y < 1997)) & ~((nk == 24) & (y > 2000)))
         .select(
             "l_partkey",
@@ -124,7 +132,7 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
         (officers - female).cast("int").alias("male_officer"),
         female.alias("female_officer"),
         F.when(rate_null, F.lit(None).cast("double"))
-        .otherwise(F.round(officers * F.lit(1000.0) / pop_formula, 4).cast("double"))
+        .otherwise(_round4(officers * F.lit(1000.0) / pop_formula).cast("double"))
         .alias("officers_per_1000_people"),
         F.when(rate_null, F.lit(None).cast("double"))
         .otherwise((F.lit(10) + nk + years_in).cast("double"))
