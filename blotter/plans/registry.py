@@ -574,7 +574,8 @@ def q_probability_quality(spark, sf):
 
 def _bundle(spark, sf) -> dict:
     path = f"{checkpoint_dir(spark).rstrip('/')}/bundle-{uuid.uuid4().hex}"
-    BU.write_bundle(BU.bundle_from_incidents(_kept_incidents(spark, sf, BUNDLE_INPUT)), path, schema_version="2.1", model_version="demo")
+    counted = materialize(BU.counted_incidents(incidents(spark, sf).select(*BUNDLE_INPUT)))
+    BU.write_bundle(BU.bundle_from_incidents(counted), path, schema_version="2.1", model_version="demo")
     tables = BU.load_tables(spark, path, None)
     return tables
 
