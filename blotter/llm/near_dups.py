@@ -325,13 +325,16 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_docs(both, ["a", "b", "la", "lb", "sa", "sb"], rows, schema).distinct()
 
 
-def connected(edges: DataFrame) -> DataFrame:
-    """(id, label): the smallest id reachable over the edges, for every id on one.
+def connected(edges: DataFrame, most: int | None = None) -> DataFrame:
+    """(id, label): the smallest id reachable over the edges, of which there are at most ``most``, for every id on one.
 
     Each round takes the smallest label around and then jumps to the label's
     own label; every round is written out, so lineage stays short."""
-    both = materialize(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
-    labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "id"))
+    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct()
+    both = materialize(both, most if most is None else 2 * most)
+    most = both.count()
+    labels = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "id")
+    labels = materialize(labels, most)
     while True:
         near = (
             both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
@@ -341,7 +344,7 @@ def connected(edges: DataFrame) -> DataFrame:
         )
         jump = step.select(F.col("id").alias("label"), F.col("label").alias("far"))
         step = materialize(
-            step.join(jump, "label", "left").select("id", "old", F.least("label", "far").alias("label"))
+            step.join(jump, "label", "left").select("id", "old", F.least("label", "far").alias("label")), most
         )
         labels = step.select("id", "label")
         if step.where("label <> old").isEmpty():
@@ -362,7 +365,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
 def _ends_sets(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """The sets of the pairs' ends. Rows of one id with several texts: the id's set is that of any of them that fits."""
     # written, so that the planner knows its size: while it may be broadcast, no text is shuffled
-    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), 2 * pairs.count())
     return materialize(_sets(docs.join(ends, "doc_id", "left_semi"), width).where(F.length("items") > 0).select("doc_id", "items"))
 
 
@@ -376,7 +379,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, label: DataFrame) ->
     next round tries them all, which at most doubles the work. It ends when no candidate is left."""
     rest = pairs.join(label.toDF("a", "la"), "a", "left").join(label.toDF("b", "lb"), "b", "left")
     rest = rest.select("a", "b", "est", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).where("la <> lb")
-    links, shares, spent, left = None, 1, 0, None
+    links, shares, spent, left, most = None, 1, 0, None, pairs.count()
     while True:
         ways = rest.select("a", "b", "est", "la", "lb", F.explode(F.array("la", "lb")).alias("own"))
         group = F.pmod(F.xxhash64("a", "b"), F.lit(shares)).alias("group")
@@ -384,12 +387,13 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, label: DataFrame) ->
         best = best.select("m.a", "m.b", "m.la", "m.lb").distinct()
         if left is not None and left <= spent:
             best = rest.select("a", "b", "la", "lb")
-        tried = materialize(_confirmed(best, sets, percent))
+        tried = materialize(_confirmed(best, sets, percent), 2 * most)
         done = tried.where("ok").select("a", "b", "la", "lb")
         links = done.select("a", "b") if links is None else links.union(done.select("a", "b"))
         if left is not None and left <= spent:
             return links
-        step = connected(done.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        now = tried.count()
+        step = connected(done.select(F.col("la").alias("a"), F.col("lb").alias("b")), now)
         rest = (
             rest.join(tried.select("a", "b"), ["a", "b"], "left_anti")
             .join(step.toDF("la", "na"), "la", "left")
@@ -397,8 +401,9 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, label: DataFrame) ->
             .select("a", "b", "est", F.coalesce("na", "la").alias("la"), F.coalesce("nb", "lb").alias("lb"))
             .where("la <> lb")
         )
-        rest = materialize(rest)
-        spent, left = spent + tried.count(), rest.count()
+        rest = materialize(rest, most)
+        spent, left = spent + now, rest.count()
+        most = left
         if not left:
             return links
         shares *= 4 if shares == 1 else 16
@@ -414,7 +419,8 @@ def components(docs: DataFrame, text_col: str = "text", width: int = 2, percent:
         feats.where("n > 0 AND doc_id IS NOT NULL")
         .groupBy("print")
         .agg(F.min(F.struct("doc_id", "n", "sig", "keys")).alias("c"))
-        .select("print", F.col("c.doc_id").alias("id"), "c.n", "c.sig", "c.keys")
+        .select("print", F.col("c.doc_id").alias("id"), "c.n", "c.sig", "c.keys"),
+        feats.count(),
     )
     least = percent / 100 - SLACK
     places = _places(classes)

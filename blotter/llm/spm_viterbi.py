@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from blotter.llm.common import map_docs, prepare, texts_of
+from blotter.llm.common import kept, map_docs, prepare, texts_of
 from blotter.llm.token_counts import _RUNS, MARK, MEMO_CHARS, Vocabulary, merge, tokenizer_path
 
 MEMO_SIZE = 400_000
@@ -243,16 +243,9 @@ class Decoder:
         return text.replace(MARK, " ").removeprefix(" ")
 
 
-_CODERS: dict[int, tuple[Encoder, Decoder]] = {}
-
-
 def _coders(vocab: Vocabulary) -> tuple[Encoder, Decoder]:
-    """One pair per worker process and vocabulary, so the memo serves later tasks."""
-    key = id(vocab)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Encoder(vocab), Decoder(vocab)
-    return _CODERS[key]
+    """One pair per worker process and vocabulary, so the memo serves later tasks of this kind."""
+    return kept(("coders", id(vocab)), lambda: (Encoder(vocab), Decoder(vocab)))
 
 
 def _lists(encoded: list[bytes]) -> pa.Array:
@@ -278,7 +271,7 @@ def encode(docs: DataFrame, vocab_path: str | None = None, text_col: str = "text
 
     kind = dict(docs.dtypes)[id_col]
     return map_docs(
-        docs, [id_col, text_col], rows, f"`{id_col}` {kind}, n_tokens bigint, ids array<int>, exact boolean", lambda: _coders(shared.value)
+        docs, [id_col, text_col], rows, f"`{id_col}` {kind}, n_tokens bigint, ids array<int>, exact boolean", lambda: _coders(shared.value), keeps=True
     )
 
 
@@ -290,7 +283,7 @@ def decode(encoded: DataFrame, vocab_path: str | None = None, ids_col: str = "id
         return {"text": [coders[1].decode(np.array([i for i in x or [] if i is not None], np.int64)) for x in lists]}
 
     kind = dict(encoded.dtypes)[id_col]
-    return map_docs(encoded, [id_col, ids_col], rows, f"`{id_col}` {kind}, text string", lambda: _coders(shared.value))
+    return map_docs(encoded, [id_col, ids_col], rows, f"`{id_col}` {kind}, text string", lambda: _coders(shared.value), keeps=True)
 
 
 def attach_ids(docs: DataFrame, vocab_path: str | None = None, text_col: str = "text", ids_col: str = "ids") -> DataFrame:

@@ -52,14 +52,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return conf
 
 
-def materialize(df):
+#: Rows that a file of a table of known size holds at least, and the least number of files.
+FILE_ROWS, FILES = 10_000, 6
+
+
+def materialize(df, most: int | None = None):
     """Write a small intermediate once as a Parquet table in the shared
     ``spark.checkpoint.dir`` and read it back, so several consumers read it
     instead of re-running its lineage over the raw table. This cuts the
     lineage (a lost executor does not replay the raw scan), computes the plan
     once (an RDD checkpoint runs it a second time to write), and keeps
-    columnar reads and size statistics for the planner."""
+    columnar reads and size statistics for the planner.
+
+    ``most`` bounds the table's rows, where that is known: a small one is then written by as few
+    tasks as its rows need, however many partitions it was computed in. Each file costs
+    its executor processes of its own (Hadoop sets permissions by ``chmod``)."""
     spark = df.sparkSession
+    if most is not None:
+        df = df.coalesce(max(FILES, -(-most // FILE_ROWS)))
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/blotter-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
