@@ -1,16 +1,18 @@
 """Collocations: the best phrases of two to four words of each language.
 
-Texts become arrays of 64-bit word ids (0 between pieces), written once. Level by level,
+Texts become arrays of 64-bit word ids (0 between pieces), written once, and then of numbers of
+the frequent words of 32 bits, where runs of other words are one break. Level by level,
 the phrases of ``k`` words that may be frequent are found Apriori-safe: both phrases of
 ``k - 1`` words inside must be frequent, and so must the phrase's own hash be, whose places
-are summed first. Both tests read bitmaps of fixed size
-(``BITS``; a wrong hit only lets one phrase more be counted). The candidates, in shards of at most about
+are summed first. Both tests read bitmaps that grow with the frequent phrases (a wrong hit only lets one phrase
+more be counted). The candidates, in shards of at most about
 ``SHARD``, become double-array tries that are broadcast; numpy advances the states of
 all text positions of a block together, a word a step, and counts accepting states. Spark sums
-the tasks' and shards' counts, which decide what is frequent.
+the tasks' and shards' counts, which decide what is frequent. A shard is a pass over the texts, so tries are
+compact and shards are large.
 
-A double-array trie has one slot a node: the child of node ``s`` by word ``w`` is slot
-``base[s] + w``, if ``check`` there names ``s``.
+A double-array trie has one slot a node: the child of node ``s`` by digit ``d`` of a word is slot
+``base[s] + d``, if ``check`` there names ``s``.
 
 Word ids are hashes of language and word; two words of one id are noticed, and the texts
 are read again with another seed. So all counts are exact, and scores are computed in decimals of 38 digits.
@@ -33,16 +35,20 @@ from pyspark.sql import functions as F
 from blotter.llm.common import prepare
 from blotter.session import materialize
 
-#: Size of the bitmap of frequent phrases: 8 MB.
-BITS = 1 << 26
+#: Least size of a bitmap of likely phrases: 8 MB. It grows with them, to at least ``BITS_EACH`` bits for each.
+BITS, BITS_EACH, PROBES = 1 << 26, 12, 4
 #: Bits of a phrase's hash, and those that say which slice of a sum it belongs to.
 KEY_BITS, SLICE_BITS = 42, 11
 #: Different phrases that a task counts before it passes them on.
 HELD_ROWS = 1_500_000
-#: Phrases of a trie, on average; shards are dealt by hash.
-SHARD = 200_000
+#: Phrases of a trie, on average; shards are dealt by hash. Each takes a pass over the texts, and a trie about 24 bytes a phrase.
+SHARD = 2_000_000
+#: Children of a node that is placed by itself; nodes of fewer are placed together.
+WIDE = 8
 #: Words of a row of ids (whole pieces, so that a longer piece makes a longer row): a batch of rows stays small.
 ROW = 4_096
+#: Bytes that a writer of rows of ids or words holds: an executor has two, beside its Python workers.
+WRITTEN = 16 << 20
 #: Words whose positions are worked on together.
 BLOCK = 400_000
 #: Distinct words that a task counts before it passes them on.
@@ -87,90 +93,155 @@ def phrase_hashes(columns: list[np.ndarray]) -> np.ndarray:
 
 
 class DoubleArray:
-    """A trie of phrases of one length over word ids, in two arrays."""
+    """A trie of phrases of one length over word numbers, in two arrays of 32 bits. A word is two steps, the digits of its
+    label, so that no node is wide and few slots stay empty; words in many phrases have low labels. A phrase is its
+    last slot, from which ``check`` leads back to its words."""
 
     def __init__(self, columns: list[np.ndarray]):
-        self.words = np.unique(np.concatenate(columns)) if len(columns[0]) else np.zeros(0, dtype=np.int64)
-        dense = [np.searchsorted(self.words, c) for c in columns]
+        n, self.depth = len(columns[0]), len(columns)
+        self.words, dense = np.unique(np.concatenate(columns), return_inverse=True)
+        by_use = np.argsort(-np.bincount(dense, minlength=len(self.words)), kind="stable")
+        self.words = self.words[by_use]  # of each label
+        label = np.empty(len(by_use), dtype=np.int32)
+        label[by_use] = np.arange(len(by_use), dtype=np.int32)
+        dense = label[dense.reshape(self.depth, n)]
+        self.digits = int(len(self.words) ** 0.5) + 1
+        dense = np.stack([dense // self.digits, dense % self.digits], 1).reshape(2 * self.depth, n)
         order = np.lexsort(dense[::-1])
-        dense = [d[order] for d in dense]
-        n = len(order)
+        dense = dense[:, order]
         size = 2 * n + len(self.words) + 64
-        self.base, self.check = np.zeros(size, dtype=np.int64), np.full(size, -1, dtype=np.int64)
+        self.base, self.check = np.zeros(size, dtype=np.int32), np.full(size, -1, dtype=np.int32)
         self.check[0] = 0  # the root, which is no node's child: states start there
         self._used = np.zeros(size, dtype=bool)
         self._used[0] = True
         self._tail = 1  # no slot from here on is used
+        self._rng = np.random.default_rng(n)
         node = np.zeros(n, dtype=np.int64)  # of each phrase, so far
         for d in dense:
             new = np.concatenate(([True], (node[1:] != node[:-1]) | (d[1:] != d[:-1]))) if n else np.zeros(0, bool)
             first = np.flatnonzero(new)  # one entry a child
-            child = self._place(node[first], d[first])
+            child = self._place(node[first], d[first].astype(np.int64))
             self.check[child] = node[first]
             node = child[np.cumsum(new) - 1]
-        self.accept = np.full(len(self.base), -1, dtype=np.int64)
-        self.accept[node] = order
-        self.depth = len(columns)
-        del self._used, self._tail
+        self.base, self.check = self.base[: self._tail].copy(), self.check[: self._tail].copy()
+        self.leaf = np.empty(n, dtype=np.int64)  # each phrase's last slot
+        self.leaf[order] = node
+        del self._used, self._tail, self._rng
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "leaf"}
 
     def _grow(self, to: int) -> None:
-        more = max(to, 2 * len(self.base)) - len(self.base)
         if to > len(self.base):
-            self.base = np.append(self.base, np.zeros(more, dtype=np.int64))
-            self.check = np.append(self.check, np.full(more, -1, dtype=np.int64))
+            more = max(to, len(self.base) * 5 // 4) - len(self.base)
+            self.base = np.append(self.base, np.zeros(more, dtype=np.int32))
+            self.check = np.append(self.check, np.full(more, -1, dtype=np.int32))
             self._used = np.append(self._used, np.zeros(more, dtype=bool))
 
     def _place(self, parent: np.ndarray, label: np.ndarray) -> np.ndarray:
-        """Slots of one level's children. Nodes with several take one of many tried bases where all are free, or else the
-        end, widest first; the many single children take the slots left."""
+        """Slots of one level's children. Wide nodes take one of many tried bases where all are free, or else the end, widest
+        first. Narrow ones try bases together, round by round; single children take the slots left."""
         child = np.zeros(len(parent), dtype=np.int64)
         parents, at, fan = np.unique(parent, return_index=True, return_counts=True)
-        tried = np.random.default_rng(len(parents))
         for k in np.argsort(-fan, kind="stable"):
-            if fan[k] == 1:
+            if fan[k] <= WIDE:
                 break
-            mine = label[at[k] : at[k] + fan[k]]
-            shape = mine - mine[0]
-            self._grow(self._tail + int(shape[-1]) + 1)
-            low = max(1, self._tail - 8 * len(self.words))
-            places = np.sort(tried.integers(low, self._tail + 1, 256))
-            for n in (8, len(shape)):  # a few children tell most of the bases that fail
-                places = places[~self._used[places[:, None] + shape[:n]].any(axis=1)]
-            place = int(places[0]) if len(places) else self._tail
-            slots = place + shape
-            self._used[slots] = True
-            self._tail = max(self._tail, int(slots[-1]) + 1)
-            self.base[parents[k]] = place - mine[0]
-            child[at[k] : at[k] + fan[k]] = slots
+            self._place_one(parents[k], label[at[k] : at[k] + fan[k]], child[at[k] : at[k] + fan[k]])
+        for f in range(min(WIDE, int(fan.max(initial=0))), 1, -1):
+            left = np.flatnonzero(fan == f)
+            for _ in range(200):
+                if not len(left):
+                    break
+                left = self._place_many(parents, label, child, at, left, f)
+            for k in left:
+                self._place_one(parents[k], label[at[k] : at[k] + f], child[at[k] : at[k] + f])
         single = np.flatnonzero(fan == 1)
-        self._grow(self._tail + len(single))
-        slots = np.flatnonzero(~self._used)[: len(single)]
+        slots = np.flatnonzero(~self._used[: self._tail])[: len(single)]
+        more = len(single) - len(slots)
+        self._grow(self._tail + more)
+        slots = np.append(slots, np.arange(self._tail, self._tail + more))
         self._used[slots] = True
-        self._tail = max(self._tail, int(slots[-1]) + 1 if len(slots) else 0)
+        self._tail += more
         self.base[parents[single]] = slots - label[at[single]]
         child[at[single]] = slots
         return child
 
-    def counts(self, ids: np.ndarray) -> np.ndarray:
-        """Occurrences of each phrase in a block: all positions advance together, a word a step."""
-        n = len(self.accept[self.accept >= 0])
-        if not n or len(ids) < self.depth:
-            return np.zeros(n, dtype=np.int64)
-        word = np.searchsorted(self.words, ids)
-        word[word == len(self.words)] = 0
-        word = np.where(self.words[word] == ids, word, -1)
-        at = np.arange(len(ids) - self.depth + 1)
-        state = np.zeros(len(at), dtype=np.int64)
+    def _place_one(self, parent: int, mine: np.ndarray, child: np.ndarray) -> None:
+        shape = mine - mine[0]
+        self._grow(self._tail + int(shape[-1]) + 1)
+        low = max(1, self._tail - 8 * self.digits)
+        places = np.sort(self._rng.integers(low, self._tail + 1, 256))
+        for n in (8, len(shape)):  # a few children tell most of the bases that fail
+            places = places[~self._used[places[:, None] + shape[:n]].any(axis=1)]
+        place = int(places[0]) if len(places) else self._tail
+        child[:] = place + shape
+        self._used[child] = True
+        self._tail = max(self._tail, int(child[-1]) + 1)
+        self.base[parent] = place - mine[0]
+
+    def _place_many(self, parents: np.ndarray, label: np.ndarray, child: np.ndarray, at: np.ndarray, left: np.ndarray, f: int) -> np.ndarray:
+        """Tries one base for each of the nodes ``left``, of ``f`` children; those that could not be placed."""
+        self._tail = max(self._tail, min(len(self._used), self._tail + len(left) * f // 4))
+        mine = label[at[left][:, None] + np.arange(f)]
+        shape = mine - mine[:, :1]
+        room = self._tail - shape[:, -1]
+        place = self._rng.integers(1, np.maximum(room, 2))
+        slots = place[:, None] + shape
+        self._grow(int(slots.max()) + 1)
+        fine = (room > 1) & ~self._used[slots].any(axis=1)
+        left_slots, owner = np.unique(slots[fine].ravel(), return_index=True)  # of two that want a slot, the first has it
+        won = np.bincount(owner // f, minlength=int(fine.sum())) == f
+        some = np.flatnonzero(fine)[won]
+        self._used[slots[some]] = True
+        self.base[parents[left[some]]] = place[some] - mine[some, 0]
+        child[at[left[some]][:, None] + np.arange(f)] = slots[some]
+        return np.delete(left, some)
+
+    def labels(self, ids: np.ndarray) -> np.ndarray:
+        """Labels of words; -1 for those of no phrase."""
+        if not hasattr(self, "_label"):
+            order = np.argsort(self.words, kind="stable")
+            self._label = self.words[order], order.astype(np.int32)
+            if len(order) and self._label[0][-1] < 1 << 28 and ids.dtype == np.int32:
+                self._label = np.full(int(self._label[0][-1]) + 2, -1, dtype=np.int32), None
+                self._label[0][self.words] = np.arange(len(order), dtype=np.int32)
+        table, order = self._label
+        if order is None:
+            return table[np.minimum(ids, len(table) - 1)]
+        at = np.minimum(np.searchsorted(table, ids), len(table) - 1)
+        return np.where(table[at] == ids, order[at], -1)
+
+    def slots(self, ids: np.ndarray) -> np.ndarray:
+        """Last slots of the phrases at all places of a block: all positions advance together, a word a step."""
+        if not len(self.words) or len(ids) < self.depth:
+            return np.zeros(0, dtype=np.int64)
+        word = self.labels(ids)
+        at = np.flatnonzero(word[: len(ids) - self.depth + 1] >= 0)
+        state = np.zeros(len(at), dtype=np.int32)
         for step in range(self.depth):
             w = word[at + step]
-            live = w >= 0
-            at, w, state = at[live], w[live], state[live]
-            slot = self.base[state] + w
-            live = (slot > 0) & (slot < len(self.check))
-            slot = np.where(live, slot, 0)
-            live &= self.check[slot] == state
-            at, state = at[live], slot[live]
-        return np.bincount(self.accept[state], minlength=n)
+            high, live = w // self.digits, w >= 0
+            for digit in (high, w - high * self.digits):
+                slot = self.base[state] + digit
+                live &= (slot > 0) & (slot < len(self.check))
+                slot = np.where(live, slot, 0)
+                live &= self.check[slot] == state
+                state = slot
+            at, state = at[live], state[live]
+        return state.astype(np.int64)
+
+    def counts(self, ids: np.ndarray) -> np.ndarray:
+        """Occurrences of each phrase in a block."""
+        return np.bincount(self.slots(ids), minlength=len(self.check))[self.leaf]
+
+    def phrases(self, slots: np.ndarray) -> list[np.ndarray]:
+        """The words of the phrases that end in these slots."""
+        digits = []
+        for _ in range(2 * self.depth):
+            parent = self.check[slots]
+            digits.append(slots - self.base[parent])
+            slots = parent
+        return [self.words[hi * self.digits + lo] for lo, hi in zip(digits[::2], digits[1::2])][::-1]
 
 
 def _arrow(schema: str) -> pa.Schema:
@@ -227,12 +298,12 @@ def _encoded(docs: DataFrame, seed: int) -> DataFrame:
     return docs.mapInArrow(run, _ENCODED)
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Rows of ids put together to about ``BLOCK`` words; each row ends with a break."""
+def _gathered(batches: Iterator[pa.RecordBatch], kind: type = np.int32) -> Iterator[np.ndarray]:
+    """Rows of word numbers (or ids) put together to about ``BLOCK`` words; each row ends with a break."""
     held, size = [], 0
     for batch in batches:
         for blob in batch.column(0):
-            held.append(np.frombuffer(blob.as_buffer(), dtype=np.int64))
+            held.append(np.frombuffer(blob.as_buffer(), dtype=kind))
             size += len(held[-1])
             if size > BLOCK:
                 yield np.concatenate(held)
@@ -241,6 +312,54 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
+class _Numbers:
+    """Numbers of the frequent words, from 1 on in the order of their ids; 0 for all others. Ids are hashes, so their first bits lead close to them."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids = np.append(np.sort(ids), np.iinfo(np.int64).max)
+        self.shift = max(0, 62 - len(ids).bit_length() - 1)
+        self.start = np.searchsorted(self.ids, (np.arange(1 << 62 - self.shift) << self.shift) + (1 << 62)).astype(np.int32)
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        at = self.start[(ids & (1 << 62) - 1) >> self.shift]
+        behind = np.flatnonzero(self.ids[at] < ids)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.ids[at[behind]] < ids[behind]]
+        return np.where(self.ids[at] == ids, at + 1, 0).astype(np.int32)
+
+
+def _numbered(words: DataFrame, sent) -> DataFrame:
+    """The frequent words with their numbers as ``w1``."""
+    schema = "w1 int, lang string, phrase string, a bigint"
+    target = _arrow(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(sent.value.of(batch.column(0).to_numpy())), *batch.columns[1:]], schema=target)
+
+    return words.select("w1", "lang", "phrase", "a").mapInArrow(run, schema)
+
+
+def _renamed(blocks: DataFrame, sent) -> DataFrame:
+    """Blocks of word numbers. Only frequent words are in frequent phrases: between those with such a neighbour, one break stands for all others."""
+    schema = "ids binary"
+    target = _arrow(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids in _gathered(batches, np.int64):
+            some = sent.value.of(ids)
+            near = np.concatenate(([False], some != 0, [False]))
+            some[~(near[:-2] | near[2:])] = 0
+            some = some[(some != 0) | np.append(False, some[:-1] != 0)]  # one break after each run
+            ends = np.flatnonzero(some == 0)
+            ends = ends[np.searchsorted(ends, np.arange(ROW, len(some), ROW))]
+            parts = np.split(some, np.unique(ends[ends + 1 < len(some)]) + 1)
+            yield pa.RecordBatch.from_arrays([pa.array([p.tobytes() for p in parts], pa.binary())], schema=target)
+
+    return materialize(blocks.mapInArrow(run, schema), block=WRITTEN)
+
+
 def _names(k: int) -> list[str]:
     return [f"w{i}" for i in range(1, k + 1)]
 
@@ -248,7 +367,7 @@ def _names(k: int) -> list[str]:
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows of word ids or keys, with the sums of their counts."""
     rows, n = np.concatenate(keys), np.concatenate(counts)
-    order = np.lexsort(rows.T[::-1])
+    order = np.lexsort(rows.T[::-1]) if rows.shape[1] > 2 else np.argsort(rows[:, 0] if rows.shape[1] == 1 else rows[:, 0] << 32 | rows[:, 1])
     rows, n = rows[order], n[order]
     first = np.flatnonzero(np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1)))) if len(rows) else np.zeros(0, np.int64)
     return rows[first], np.add.reduceat(n, first) if len(first) else n
@@ -279,8 +398,9 @@ class _Sums:
         keys, counts = _merged(self.keys, self.counts)
         self.keys, self.counts, self.held = [keys], [counts], len(keys)
 
-    def packed(self, slices) -> pa.RecordBatch:
-        """(slice, keys, counts) rows of what is held, which is then dropped. ``slices(keys)`` says which slice a row is in."""
+    def packed(self, slices, mask: int = -1) -> pa.RecordBatch:
+        """(slice, keys, counts) rows of what is held, which is then dropped. ``slices(keys)`` says which slice a row is in;
+        the bits of a key outside ``mask`` are those of its slice."""
         self._merge()
         keys, counts = self.keys[0], self.counts[0]
         at = slices(keys)
@@ -289,7 +409,7 @@ class _Sums:
         kinds, first = np.unique(at, return_index=True)
         ends = np.append(first[1:], len(at))
         self.drop()
-        low = keys.astype("<u4") if keys.shape[1] == 1 else keys
+        low = (keys & mask).astype("<u4")
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(kinds.astype(np.int32)),
@@ -317,7 +437,7 @@ def _unpacked(packed: DataFrame, width: int, schema: str, emit) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(emit(at, sums.keys[0], sums.counts[0]), schema=target)
                     sums = _Sums(width)
                 at = s
-                rows = np.frombuffer(keys, dtype="<u4" if width == 1 else np.int64).reshape(-1, width).astype(np.int64)
+                rows = np.frombuffer(keys, dtype="<u4").reshape(-1, width).astype(np.int64)
                 sums.add(rows, np.frombuffer(counts, dtype=np.int64 if len(counts) == 8 * len(rows) else "<u4").astype(np.int64))
         if at is not None:
             sums._merge()
@@ -326,111 +446,107 @@ def _unpacked(packed: DataFrame, width: int, schema: str, emit) -> DataFrame:
     return packed.repartition("slice").sortWithinPartitions("slice").mapInArrow(run, schema)
 
 
-def _broadcast_bits(rows: DataFrame):
-    """The broadcast bitmap of (place, bits) rows: at most ``BITS / 64`` sums come to the driver, however many there were."""
-    table = rows.groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros(BITS >> 6, dtype=np.uint64)
-    bits[table.column("place").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
-    return rows.sparkSession.sparkContext.broadcast(bits)
-
-
-def _places(hashes: np.ndarray) -> list[pa.Array]:
-    """(place, bits) of hashed phrases: words of the bitmap."""
-    at = np.unique(hashes & (BITS - 1))
-    place, first = np.unique(at >> 6, return_index=True)
-    bits = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first) if len(at) else np.zeros(0, np.uint64)
-    return [pa.array(place.astype(np.int32)), pa.array(bits.view(np.int64))]
-
-
-def _hit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & (BITS - 1)
-    return bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) == 1
-
-
-def _bitmap(phrases: DataFrame, names: list[str]):
-    """The bitmap of phrases that are given word by word."""
-    schema = "place int, bits bigint"
-    target = _arrow(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(_places(phrase_hashes([c.to_numpy() for c in batch.columns])), schema=target)
-
-    return _broadcast_bits(phrases.select(*names).mapInArrow(run, schema))
-
-
-def _safe(ids: np.ndarray, inner: np.ndarray, k: int) -> np.ndarray:
-    """Places of a block where a phrase of ``k`` words starts whose two inner phrases hit the bitmap."""
-    m = len(ids) - k + 2
-    if m < 2:
+class _Bits:
+    """A bitmap of phrases' hashes, read at ``PROBES`` places each, so that few others hit however many there are."""
+
+    def __init__(self, n: int):
+        self.bits = np.zeros(max(BITS, 1 << (BITS_EACH * n - 1).bit_length()) >> 6, dtype=np.uint64)
+
+    def _places(self, hashes: np.ndarray) -> Iterator[np.ndarray]:
+        """One place of each hash after the other; the caller says which hashes still count."""
+        mixed = hashes.astype(np.uint64) * _MIX
+        at, step = (mixed >> np.uint64(24)).astype(np.int64), (mixed & np.uint64((1 << 24) - 1)).astype(np.int64) * 2 + 1
+        some = None
+        for i in range(PROBES):
+            some = yield (at if some is None else at[some]) + i * (step if some is None else step[some]) & 64 * len(self.bits) - 1
+
+    def add(self, hashes: np.ndarray) -> None:
+        for at in self._places(hashes):
+            np.bitwise_or.at(self.bits, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+
+    def hit(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the hashes were added, and few others."""
+        places, some = self._places(hashes), np.arange(len(hashes))
+        at = next(places)
+        for i in range(PROBES):
+            some = some[self.bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) == 1]
+            at = places.send(some) if i + 1 < PROBES else at
+        out = np.zeros(len(hashes), dtype=bool)
+        out[some] = True
+        return out
+
+
+def _safe(ids: np.ndarray, inner, k: int) -> np.ndarray:
+    """Places of a block where a phrase of ``k`` words starts whose two inner phrases may be frequent."""
+    word = ids != 0
+    m = len(ids) - k + 1
+    if m < 1:
         return np.zeros(0, dtype=np.int64)
-    columns = [ids[i : i + m] for i in range(k - 1)]
-    fine = _hit(inner, phrase_hashes(columns))
-    for c in columns:
-        fine &= c != 0
-    return np.flatnonzero(fine[:-1] & fine[1:])
+    fine = word[:m].copy()
+    for i in range(1, k):
+        fine &= word[i : i + m]
+    at = np.flatnonzero(fine)
+    if inner is None:  # both words are frequent
+        return at
+    starts = np.zeros(len(ids), dtype=bool)
+    starts[at] = starts[at + 1] = True
+    starts = np.flatnonzero(starts)
+    frequent = np.zeros(len(ids), dtype=bool)
+    frequent[starts[inner.value.hit(phrase_hashes([ids[starts + i] for i in range(k - 1)]))]] = True
+    return at[frequent[at] & frequent[at + 1]]
 
 
 def _likely(blocks: DataFrame, inner, k: int, least: int):
-    """The bitmap of Apriori-safe phrases of ``k`` words whose hash of ``KEY_BITS`` bits has at least ``least`` places:
-    all frequent ones, and few others."""
+    """The broadcast bitmap of Apriori-safe phrases of ``k`` words whose hash of ``KEY_BITS`` bits has at least ``least``
+    places: all frequent ones, and few others. Four bytes of each come to the driver."""
     low = KEY_BITS - SLICE_BITS
+    schema = "slice int, hashes binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # bits of a slice's number come first in a key, so that a key packs into the low ones
-        sums = _Sums(2)
-
-        def packed() -> Iterator[pa.RecordBatch]:
-            sums._merge()
-            keys, counts = sums.keys[0], sums.counts[0]
-            kinds, first = np.unique(keys[:, 0], return_index=True)
-            ends = np.append(first[1:], len(keys))
-            sums.drop()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(kinds.astype(np.int32)),
-                    pa.array([keys[x:y, 1].astype("<u4").tobytes() for x, y in zip(first, ends)], pa.binary()),
-                    pa.array([_small(counts[x:y]) for x, y in zip(first, ends)], pa.binary()),
-                ],
-                schema=_PACKED_ARROW,
-            )
-
+        sums = _Sums(1)
+        slices = lambda keys: keys[:, 0] >> low
         for ids in _gathered(batches):
-            at = _safe(ids, inner.value, k)
+            at = _safe(ids, inner, k)
             h, n = np.unique(phrase_hashes([ids[at + i] for i in range(k)]), return_counts=True)
-            if sums.add(np.stack((h >> low, h & ((1 << low) - 1)), 1), n):
-                yield from packed()
-        yield from packed()
+            if sums.add(h[:, None], n):
+                yield sums.packed(slices, (1 << low) - 1)
+        if sums.held:
+            yield sums.packed(slices, (1 << low) - 1)
 
     def emit(s: int, keys: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
-        return _places(s << low | keys[counts >= least, 0])
+        return [pa.array([s], pa.int32()), pa.array([keys[counts >= least, 0].astype("<u4").tobytes()], pa.binary())]
 
-    return _broadcast_bits(_unpacked(blocks.mapInArrow(run, _PACKED), 1, "place int, bits bigint", emit))
+    table = _unpacked(blocks.mapInArrow(run, _PACKED), 1, schema, emit).toArrow()
+    found = [(s, np.frombuffer(h, "<u4").astype(np.int64)) for s, h in zip(*(c.to_pylist() for c in table.columns))]
+    bits = _Bits(sum(len(h) for _, h in found))
+    for s, h in found:
+        bits.add(s << low | h)
+    return blocks.sparkSession.sparkContext.broadcast(bits)
 
 
 def _small(counts: np.ndarray) -> bytes:
     return counts.astype("<u4").tobytes() if counts.max() < 1 << 32 else counts.tobytes()
 
 
-def _candidates(blocks: DataFrame, inner, k: int, least: int) -> DataFrame:
-    """Distinct phrases of ``k`` words that may have ``least`` places."""
+def _candidates(blocks: DataFrame, inner, likely, k: int) -> DataFrame:
+    """Distinct phrases of ``k`` words that are Apriori-safe and likely."""
     names = _names(k)
-    schema = ", ".join(f"{n} bigint" for n in names)
-    likely = _likely(blocks, inner, k, least)
+    schema = ", ".join(f"{n} int" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(k)
         slices = lambda keys: phrase_hashes(list(keys.T)) & 255
         for ids in _gathered(batches):
-            at = _safe(ids, inner.value, k)
-            at = at[_hit(likely.value, phrase_hashes([ids[at + i] for i in range(k)]))]
-            if sums.add(*_merged([np.stack([ids[at + i] for i in range(k)], 1)], [np.ones(len(at), np.int64)])):
+            at = _safe(ids, inner, k)
+            at = at[likely.value.hit(phrase_hashes([ids[at + i] for i in range(k)]))]
+            if sums.add(*_merged([np.stack([ids[at + i] for i in range(k)], 1).astype(np.int64)], [np.ones(len(at), np.int64)])):
                 yield sums.packed(slices)
         if sums.held:
             yield sums.packed(slices)
 
     def emit(s: int, keys: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
-        return [pa.array(np.ascontiguousarray(c)) for c in keys.T]
+        return [pa.array(c.astype(np.int32)) for c in keys.T]
 
     return materialize(_unpacked(blocks.mapInArrow(run, _PACKED), k, schema, emit))
 
@@ -438,14 +554,16 @@ def _candidates(blocks: DataFrame, inner, k: int, least: int) -> DataFrame:
 def _counted(blocks: DataFrame, candidates: DataFrame, k: int, shard: int, least: int) -> DataFrame:
     """(words, a): the candidates that have ``least`` places, counted by tries that are broadcast shard by shard."""
     names = _names(k)
-    schema = ", ".join(f"{n} bigint" for n in (*names, "a"))
+    schema = ", ".join(f"{n} int" for n in names) + ", a bigint"
     shards = -(-candidates.count() // shard)
     dealt = candidates.withColumn("shard", F.pmod(F.xxhash64(*names), F.lit(shards))) if shards else candidates
     out = None
     for s in range(shards):
         table = dealt.where(F.col("shard") == s).select(*names).toArrow()
-        columns = [table.column(n).to_numpy() for n in names]
-        sent = candidates.sparkSession.sparkContext.broadcast((DoubleArray(columns), columns))
+        trie = DoubleArray([table.column(n).to_numpy() for n in names])
+        del table
+        sent = candidates.sparkSession.sparkContext.broadcast(trie)
+        del trie
         sums = _unpacked(blocks.mapInArrow(_trie_counts(sent), _PACKED), 1, schema, _phrases_of(sent, least))
         part = materialize(sums)
         sent.unpersist()
@@ -456,18 +574,16 @@ def _counted(blocks: DataFrame, candidates: DataFrame, k: int, shard: int, least
 
 
 def _trie_counts(sent):
-    """A task's counts of a shard's phrases: (number of the phrase, count), packed by runs of numbers."""
+    """A task's counts of a shard's phrases: (last slot of the phrase, count), packed by runs of slots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, columns = sent.value
-        sums = np.zeros(len(columns[0]), dtype=np.int64)
+        trie, sums = sent.value, _Sums(1)
         for ids in _gathered(batches):
-            sums += trie.counts(ids)
-        at = np.flatnonzero(sums)
-        if len(at):
-            one = _Sums(1)
-            one.add(at[:, None], sums[at])
-            yield one.packed(lambda keys: keys[:, 0] >> 12)
+            slots, n = np.unique(trie.slots(ids), return_counts=True)
+            if sums.add(slots[:, None], n):
+                yield sums.packed(lambda keys: keys[:, 0] >> 14)
+        if sums.held:
+            yield sums.packed(lambda keys: keys[:, 0] >> 14)
 
     return run
 
@@ -475,8 +591,7 @@ def _trie_counts(sent):
 def _phrases_of(sent, least: int):
     def emit(s: int, keys: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
         enough = counts >= least
-        at = keys[enough, 0]
-        return [pa.array(c[at]) for c in sent.value[1]] + [pa.array(counts[enough])]
+        return [pa.array(c) for c in sent.value.phrases(keys[enough, 0])] + [pa.array(counts[enough])]
 
     return emit
 
@@ -513,7 +628,7 @@ def collocations(
     texts = docs.select(F.coalesce(docs[lang_col], F.lit("und")).alias("lang"), docs[text_col].alias("text"))
     seed = 0
     while True:
-        encoded = materialize(_encoded(texts, seed))
+        encoded = materialize(_encoded(texts, seed), block=WRITTEN)
         counts = encoded.where("id is not null").groupBy("lang", "id", "word").agg(F.sum("n").alias("a"))
         counts = materialize(counts)
         if counts.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
@@ -521,12 +636,16 @@ def collocations(
         seed += 1  # two words share an id
     totals = counts.groupBy("lang").agg(F.sum("a").alias("n"))
     words = counts.where(F.col("a") >= least).select(F.col("id").alias("w1"), "lang", F.col("word").alias("phrase"), "a")
-    blocks = encoded.where("ids is not null").select("ids")
+    numbers = docs.sparkSession.sparkContext.broadcast(_Numbers(words.select("w1").toArrow().column("w1").to_numpy()))
+    words = materialize(_numbered(words, numbers))
+    blocks = _renamed(encoded.where("ids is not null").select("ids"), numbers)
+    numbers.unpersist()
 
-    tables = {1: words}
+    tables, likely = {1: words}, None
     for k in range(2, LONGEST + 1):
-        inner = _bitmap(tables[k - 1], _names(k - 1))
-        found = _counted(blocks, _candidates(blocks, inner, k, least), k, shard, least)
+        # what was likely of k - 1 words holds all that is frequent
+        inner, likely = likely, _likely(blocks, likely, k, least)
+        found = _counted(blocks, _candidates(blocks, inner, likely, k), k, shard, least)
         # the first and last cut also give the phrase its text
         rows = _with(found, tables[k - 1], list(range(1, k)), "f_first", "head")
         rows = _with(rows, words, [k], "f_last", "tail")

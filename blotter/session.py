@@ -56,7 +56,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 FILE_ROWS, FILES = 10_000, 6
 
 
-def materialize(df, most: int | None = None):
+def materialize(df, most: int | None = None, block: int | None = None):
     """Write a small intermediate once as a Parquet table in the shared
     ``spark.checkpoint.dir`` and read it back, so several consumers read it
     instead of re-running its lineage over the raw table. This cuts the
@@ -66,13 +66,17 @@ def materialize(df, most: int | None = None):
 
     ``most`` bounds the table's rows, where that is known: a small one is then written by as few
     tasks as its rows need, however many partitions it was computed in. Each file costs
-    its executor processes of its own (Hadoop sets permissions by ``chmod``)."""
+    its executor processes of its own (Hadoop sets permissions by ``chmod``). ``block`` bounds the bytes
+    that the writer of a file holds before it passes them on, for wide tables."""
     spark = df.sparkSession
     if most is not None:
         df = df.coalesce(max(FILES, -(-most // FILE_ROWS)))
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/blotter-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if block is not None:
+        writer = writer.option("parquet.block.size", block)
+    writer.parquet(path)
     return spark.read.parquet(path)
 
 

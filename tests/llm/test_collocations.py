@@ -91,6 +91,40 @@ def test_trie_counts(k):
     assert got.tolist() == [want[p] for p in zip(*(c.tolist() for c in columns))]
 
 
+def test_trie_is_compact():
+    """Slots follow the phrases, also where hot words have many followers; phrases come back from their slots."""
+    rng = np.random.default_rng(5)
+    pairs = np.unique(rng.zipf(1.2, (400_000, 2)).clip(1, 60_000) * 977 % 60_013, axis=0).astype(np.int32)
+    columns = list(pairs[rng.permutation(len(pairs))].T)
+    trie = collocations.DoubleArray(columns)
+    assert len(trie.base) < 5 * len(pairs)
+    assert all((a == b).all() for a, b in zip(trie.phrases(trie.leaf), columns))
+
+
+def test_bitmap_grows_with_its_phrases():
+    hashes = np.unique(np.random.default_rng(6).integers(0, 1 << collocations.KEY_BITS, 9_000_000))
+    some, others = hashes[::2], hashes[1::2]
+    bits = collocations._Bits(len(some))
+    bits.add(some)
+    assert bits.hit(some).all() and bits.hit(others[:500_000]).mean() < 0.02 and bits.bits.nbytes < 64 * len(some)
+
+
+def test_candidates_of_many_phrases_take_one_pass(spark, monkeypatch):
+    """All pairs of 480 words occur: more than 200,000 phrases, one trie, and no candidate that is not frequent."""
+    words = [f"w{i}" for i in range(480)]
+    rows = [("en", ". ".join(f"{a} {b}" for b in words)) for a in words] * 2 + [("en", " ".join(words[::-1]))]
+    built, init = [], collocations.DoubleArray.__init__
+
+    def counted(self, columns):
+        built.append((len(columns), len(columns[0])))
+        init(self, columns)
+
+    monkeypatch.setattr(collocations.DoubleArray, "__init__", counted)
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = collocations.collocations(docs, least=2, top=300_000)
+    assert got.count() == 480 * 480 and [n for k, n in built if k == 2] == [480 * 480]
+
+
 def test_scores_beyond_64_bits(spark):
     a, left, right = 9 * 10**15, 9 * 10**15 + 7, 9 * 10**18
     row = spark.createDataFrame([(a, left, right)], "a long, l long, r long")
