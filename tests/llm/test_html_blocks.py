@@ -83,6 +83,23 @@ def test_regions_decide_on_unmarked_pages(monkeypatch):
     assert main_text(f"<body>{menu}{body}{foot}").split("\n\n") != expected
 
 
+def test_regions_decide_on_marked_pages(monkeypatch):
+    """Dense text beside the main element is text too, short lines and lines of links there are not."""
+    long = ["word " * 30 + str(i) for i in range(5)]
+    menu = "".join(f"<div><a href=/{i}>item {i}</a></div>" for i in range(4))
+    page = (
+        f"<body>{menu}<div>Site</div><p>{long[0]}</p><p>{long[1]}</p><article><p>{long[2]}</p><div class=ad>Buy</div><p>Short.</p></article>"
+        f"<p>{long[3]}</p>{menu}<div>Terms</div>{menu}<p>{long[4]}</p><div>me 2024</div></body>"
+    )
+    got = main_text(page).split("\n\n")
+    assert set(long) <= set(got) and got.index(long[2]) + 1 == got.index("Short.")
+    assert not {"Buy", "Terms", "item 0"} & set(got)
+    assert main_text(f"<main><p>{long[0]}</p></main><div>me 2024</div><div>Terms</div>") == long[0]
+    assert main_text(f"<main></main><p>{long[0]}</p>") == long[0]  # nothing is in the marked element
+    monkeypatch.setattr("blotter.llm.html_blocks.regions", lambda x: [(0, len(x))])
+    assert main_text(page).split("\n\n") != got
+
+
 def test_table(spark):
     rows = [(1, "http://a/", PAGE, 9), (1, "http://a/", PAGE, 9), (None, None, None, 9), (3, "u", "<article>" + "<p>xy</p>" * 50_000, 9)]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
